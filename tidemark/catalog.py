@@ -19,6 +19,9 @@ from tidemark.plans.features import FeatureDefinition, FeatureSet, summarize
 from tidemark.plans.patterns import PatternDefinition, PatternSet, alert_summary, detect
 from tidemark.sources import wire
 from tidemark.sources.events import map_columns, parse_json_records, to_json_records
+from tidemark.streaming.features import stream_all
+from tidemark.streaming.patterns import stream_patterns
+from tidemark.streaming.run import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1149,7 +1152,7 @@ def dq_staleness(spark, d):
     r AS (SELECT feature_name, value, row_number() OVER (PARTITION BY feature_name ORDER BY et DESC, seq DESC) AS rn FROM h QUALIFY rn <= 2000),
     e AS (SELECT feature_name, quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM r WHERE rn > 1000 GROUP BY feature_name),
     b AS (SELECT feature_name, rn <= 1000 AS now, len(list_filter(e.e, lambda x: x < r.value)) AS bin FROM r JOIN e USING (feature_name)),
-    g AS (SELECT n.feature_name, bin, count(*) FILTER (b.now AND b.bin = bins.bin) AS a, count(*) FILTER (NOT b.now AND b.bin = bins.bin) AS z
+    g AS (SELECT n.feature_name, bins.bin, count(*) FILTER (b.now AND b.bin = bins.bin) AS a, count(*) FILTER (NOT b.now AND b.bin = bins.bin) AS z
           FROM (SELECT DISTINCT feature_name FROM b) n, (SELECT unnest(range(10)) AS bin) bins JOIN b ON b.feature_name = n.feature_name GROUP BY ALL),
     t AS (SELECT feature_name, count(*) FILTER (now) AS current, count(*) FILTER (NOT now) AS baseline FROM b GROUP BY feature_name)
     SELECT feature_name, current, baseline, round(sum(((a + 0.5) / (current + 5) - (z + 0.5) / (baseline + 5))
@@ -1175,3 +1178,64 @@ def reconcile(spark, d):
     stored = fresh.filter(F.col("window_end") <= moment(MID_US)).withColumn("feature_value", F.when(r6(v) >= 300, v + 0.01).otherwise(v))
     out = monitor.reconcile(fresh, stored, sample_rate=1.0)
     return out.select("entity_id", us("window_end"), "status")
+
+
+# --- streams -------------------------------------------------------------------------------------------------------
+
+
+def event_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The events table as a stream of files."""
+    schema = table(spark, d, "events").schema
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return as_events(raw)
+
+
+def _drained(features: FeatureSet, spark: SparkSession, d: str) -> DataFrame:
+    return tidy(drain(stream_all(features, event_stream(spark, d), 600)))
+
+
+def _closed(sql: str, behind: int) -> str:
+    """Windows closed by the stream's watermark, which has millisecond resolution."""
+    return f"""SELECT * FROM ({sql}) WHERE window_end_us <=
+    (SELECT (max(epoch_us(ts)) // 1000) * 1000 - {behind * US} FROM events)"""
+
+
+def _register_streams() -> None:
+    def add(name: str, f: FeatureDefinition, sql: str) -> None:
+        query(name, _closed(sql, 630))(lambda spark, d: _drained(FeatureSet((f,)), spark, d))
+
+    base = {"session_gap_seconds": GAP}
+    add("stream_tumbling", feature("avg", "tumbling", window_size_seconds=DAY), sql_windows("avg", DAY))
+    add("stream_tumbling_distinct", feature("distinct_count", "tumbling", window_size_seconds=DAY), sql_windows("distinct_count", DAY))
+    add("stream_sliding", feature("sum", "sliding", window_size_seconds=DAY, slide_seconds=6 * HOUR), sql_windows("sum", DAY, 6 * HOUR))
+    add("stream_session", feature("count", "session", **base, max_session_seconds=None), sql_sessions("count", GAP * US))
+
+
+_register_streams()
+
+
+# A session is emitted when a later event of the user closes it, or when the watermark passes its end.
+SQL_STREAM_CAPPED = f"""SELECT * EXCLUDE (nxt) FROM (
+    SELECT *, lead(window_start_us) OVER (PARTITION BY entity_id ORDER BY window_start_us) AS nxt
+    FROM ({SQL_CAPPED.replace("AGG", SQL_AGG["count"])}))
+    WHERE nxt IS NOT NULL
+       OR window_end_us + 1 <= (SELECT (max(epoch_us(ts)) // 1000) * 1000 - {630 * US} FROM events)"""
+
+
+@query("stream_session_capped", SQL_STREAM_CAPPED)
+def stream_session_capped(spark, d):
+    f = feature("count", "session", session_gap_seconds=GAP, max_session_seconds=CAP)
+    return _drained(FeatureSet((f,)), spark, d)
+
+
+@query(
+    "stream_patterns",
+    f"""SELECT 'browse_to_purchase' AS pattern_name, entity_id, t2 AS match_ts_us FROM ({SQL_SEQ} SELECT * FROM m)
+    UNION ALL SELECT 'abandoned', entity_id, due FROM ({SQL_ABS} SELECT * FROM m)
+      WHERE due <= (SELECT (max(epoch_us(ts)) // 1000) * 1000 FROM events)
+    UNION ALL SELECT 'rapid_clicks', entity_id, us FROM ({SQL_FREQ} SELECT * FROM s WHERE hit)
+    UNION ALL SELECT 'high_value', CAST(user_id AS VARCHAR), epoch_us(ts) FROM events WHERE event_type = 'purchase' AND value >= 200""",
+)
+def patterns_on_stream(spark, d):
+    alerts = drain(stream_patterns(event_stream(spark, d), PATTERNS, 0))
+    return alerts.select("pattern_name", "entity_id", us("match_ts"))

@@ -26,12 +26,17 @@ FOLD_ROWS = 512
 
 
 def greedy_chain(
-    points: DataFrame, keys: Sequence[str], x: str, distance: int, limit: int | None = None, fold: int | None = None
+    points: DataFrame, keys: Sequence[str], x: str, distance: int, limit: int | None = None, fold: int | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
-    """Selected points as (keys, x). ``points`` holds distinct (keys, x) with an integral ``x``."""
+    """Selected points as (keys, x). ``points`` holds distinct (keys, x) with an integral ``x``.
+
+    ``bounded`` says that no key holds more than ``limit`` points.
+    """
     keys, fold = list(keys), FOLD_ROWS if fold is None else fold
-    points = points.select(*keys, x)
-    cut, piece = with_slices(points, keys, x, limit)
+    # The points are counted, split and folded: they are worked out once.
+    points = runtime.pin(points.select(*keys, x))
+    cut, piece = with_slices(points, keys, x, limit, bounded=bounded)
     here = F.col(x)
     seen = running(cut, keys, [x], piece, {"__prev": Running("last", here, inclusive=False)})
     head = F.col("__prev").isNull() | (here - F.col("__prev") >= F.lit(distance))

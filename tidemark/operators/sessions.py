@@ -47,7 +47,9 @@ def long_sessions(cells: DataFrame, keys: Sequence[str], rule: SessionRule) -> D
     )
 
 
-def sessionize(rows: DataFrame, keys: Sequence[str], us: str, rule: SessionRule, limit: int | None = None) -> DataFrame:
+def sessionize(
+    rows: DataFrame, keys: Sequence[str], us: str, rule: SessionRule, limit: int | None = None, bounded: bool = False
+) -> DataFrame:
     """Add ``session_start`` (epoch microseconds) to every row."""
     keys = list(keys)
     cells = session_cells(rows, keys, us, rule)
@@ -59,17 +61,19 @@ def sessionize(rows: DataFrame, keys: Sequence[str], us: str, rule: SessionRule,
     long = long_sessions(cells, keys, rule)
     group = [*keys, "__session"]
     short_rows = join_on(placed, long, group, "left_anti").withColumn("session_start", F.col("__session"))
-    long_rows = split_long(join_on(placed, long, group, "left_semi"), keys, us, rule, limit)
+    long_rows = split_long(join_on(placed, long, group, "left_semi"), keys, us, rule, limit, bounded)
     return short_rows.unionByName(long_rows).drop("__session")
 
 
-def split_long(rows: DataFrame, keys: list[str], us: str, rule: SessionRule, limit: int | None = None) -> DataFrame:
+def split_long(
+    rows: DataFrame, keys: list[str], us: str, rule: SessionRule, limit: int | None = None, bounded: bool = False
+) -> DataFrame:
     """Cut long sessions: a new part begins at the first event later than the part's start plus the maximum (WIN-4)."""
     group = [*keys, "__session"]
-    starts = greedy_chain(rows.select(*group, us).distinct(), group, us, rule.max_micros + 1, limit)
+    starts = greedy_chain(rows.select(*group, us).distinct(), group, us, rule.max_micros + 1, limit, bounded=bounded)
     starts = starts.withColumn("__start", F.col(us))
     marked = join_on(rows, starts, [*group, us])
-    cut, piece = with_slices(marked, group, us, limit)
+    cut, piece = with_slices(marked, group, us, limit, bounded=bounded)
     # All rows at a start's instant carry the mark, so ties need no further order.
     out = running(cut, group, [us], piece, {"session_start": Running("last", F.col("__start"))})
     return out.drop("__start", *([piece] if piece else []))

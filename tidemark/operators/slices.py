@@ -40,13 +40,16 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
 
 
 def with_slices(
-    df: DataFrame, keys: Sequence[str], order: str, limit: int | None = None, name: str = "__slice"
+    df: DataFrame, keys: Sequence[str], order: str, limit: int | None = None, name: str = "__slice", bounded: bool = False
 ) -> tuple[DataFrame, str | None]:
     """Add a slice number that grows with ``order`` within each key.
 
     Returns the frame and the name of the slice column, or None when no key holds more than ``limit`` rows. Rows with
-    an equal order value are always in the same slice. Rows must have a non-null order value.
+    an equal order value are always in the same slice. Rows must have a non-null order value. ``bounded`` says that the
+    caller has already found no key to be hot, so the rows need not be counted again.
     """
+    if bounded:
+        return df, None
     limit = limit or runtime.HOT_GROUP_ROWS
     x = _axis(df, order)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(x).alias("__lo"), F.max(x).alias("__hi"))

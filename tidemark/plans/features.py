@@ -289,7 +289,10 @@ def _windowed(rows: DataFrame, spec: _Spec, row_limit: int | None) -> tuple[Data
     kind = spec.window[0]
     if kind == "session":
         rule: W.SessionRule = spec.window[1]
-        placed = sessionize(rows.withColumn("__us", F.unix_micros("ts")), ["entity_id"], "__us", rule, row_limit)
+        # No session holds more rows than its key.
+        bounded = rule.max_micros is None or hot_groups(rows, ["entity_id"], row_limit) is None
+        rows = rows.withColumn("__us", F.unix_micros("ts"))
+        placed = sessionize(rows, ["entity_id"], "__us", rule, row_limit, bounded)
         return placed, ["entity_id", "session_start"]
     f = spec.first
     w = (
@@ -367,7 +370,8 @@ def _fused_sessions(rows: DataFrame, spec: _Spec, row_limit: int | None) -> Data
     width = F.lit(rule.join_micros)
     with_cell = rows.withColumn("__cell", F.col("__us") - F.pmod(F.col("__us"), width))
     back = join_on(with_cell, marked, ["entity_id", "__cell"], "inner").drop("__cell")
-    parts = split_long(back, keys, "__us", rule, row_limit)
+    bounded = hot_groups(rows, keys, row_limit) is None
+    parts = split_long(back, keys, "__us", rule, row_limit, bounded)
     return _long(short, spec.features, *_bounds(spec)).unionByName(
         _long(_from_rows(parts, spec, ["entity_id", "session_start"]), spec.features, *_bounds(spec))
     )

@@ -225,7 +225,7 @@ def frequency(events: DataFrame, p: PatternDefinition, row_limit: int | None = N
         numbered, ["entity_id"], ORDER, "__rn", "__us", n - 1, "__since", piece is not None, row_limit
     )
     closing = back.filter(F.col("__us") - F.col("__since") <= F.lit(p.window_micros))
-    chosen = closing if n == 1 else greedy_chain(closing, ["entity_id"], "__rn", n, row_limit)
+    chosen = closing if n == 1 else greedy_chain(closing, ["entity_id"], "__rn", n, row_limit, bounded=piece is None)
     members = chosen.select(
         "entity_id", F.col("__rn").alias("__close"), F.explode(F.sequence(F.col("__rn") - (n - 1), "__rn")).alias("__rn")
     )

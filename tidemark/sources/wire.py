@@ -120,7 +120,10 @@ def decode(messages: DataFrame, defaults: Mapping[int, Mapping[str, Any]] = DEFA
         magic_ok.alias("__magic"),
         F.when(magic_ok, version).alias("__version"),
         F.when(magic_ok & (F.length(value) > HEADER_BYTES), text).alias("__text"),
-    ).withColumn("__p", F.from_json("__text", PAYLOAD, opts))
+    )
+    # A filter on the outcome must not be moved below the parse, where it would parse again for every condition:
+    # nothing moves through a generator.
+    parsed = parsed.select("*", F.explode(F.array(F.from_json("__text", PAYLOAD, opts))).alias("__p"))
 
     def filled(name: str) -> Column:
         raw = F.col(f"__p.{name}")
