@@ -23,7 +23,7 @@ def as_of(
     """Requests (all rows kept) with column ``record``: a struct of the matching record's columns, or null.
 
     Equal times match. ``tie`` orders records of equal time, the last one wins. ``forward`` looks for the earliest
-    record at or after the request instead.
+    record at or after the request instead, and then the first of equal time wins.
     """
     keys = list(keys)
     # With few distinct keys asked for, all other records are discarded before anything is shuffled.

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,8 +22,9 @@ from pyspark.sql import types as T
 from tidemark import runtime
 from tidemark.operators.joins import join_on
 
-# Cells of the first, uniform cut per slice wanted; cells that still hold too many rows are cut again.
+# A range with too many rows is cut into this many cells per slice wanted.
 CELLS_PER_SLICE = 4
+MAX_DEPTH = 10
 
 
 def _axis(df: DataFrame, order: str) -> Column:
@@ -52,47 +54,45 @@ def with_slices(
         return df, None
     limit = limit or runtime.HOT_GROUP_ROWS
     x = _axis(df, order)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(x).alias("__lo"), F.max(x).alias("__hi"))
-    hot = runtime.pin_if_any(sizes.filter((F.col("__n") > limit) & (F.col("__hi") > F.col("__lo"))))
-    if hot is None:
+    measures = [F.count(F.lit(1)).alias("__n"), F.min(x).alias("__lo"), F.max(x).alias("__hi")]
+    nodes = df.groupBy(*keys).agg(*measures).filter(F.col("__n") > limit).withColumn("__path", F.lit([]).cast("array<bigint>"))
+    levels: list[DataFrame] = []
+    leaves: list[DataFrame] = []
+    for depth in range(MAX_DEPTH + 1):
+        # Cells that are too full are cut into equal parts of their own range, again and again: a burst ends up in
+        # cells as narrow as it needs.
+        too_full = (F.col("__n") > limit) & (F.col("__hi") > F.col("__lo"))
+        split = runtime.pin_if_any(nodes.filter(too_full)) if depth < MAX_DEPTH else None
+        if split is None:
+            leaves.append(nodes.select(*keys, "__path"))
+            break
+        if levels:
+            leaves.append(nodes.filter(~too_full).select(*keys, "__path"))
+        cells = F.ceil(F.col("__n") / F.lit(limit)) * CELLS_PER_SLICE
+        step = ((F.col("__hi") - F.col("__lo")) / cells).cast("double")
+        levels.append(
+            runtime.broadcast_if_small(split.select(*keys, "__path", F.col("__lo").alias("__from"), step.alias("__step")))
+        )
+        inside = _place(df, keys, x, levels).filter(F.size("__path") == depth + 1)
+        nodes = runtime.pin(inside.groupBy(*keys, "__path").agg(*measures))
+    if not levels:
         return df, None
-
-    cells = F.ceil(F.col("__n") / F.lit(limit)) * CELLS_PER_SLICE
-    grid = hot.select(
-        *keys, F.col("__lo").alias("__g0"), ((F.col("__hi") - F.col("__lo")) / cells).cast("double").alias("__step")
-    )
-    cell = F.floor((x - F.col("__g0")) / F.col("__step")).cast("bigint")
-    if keys:
-        grid = runtime.broadcast_if_small(grid)
-        placed = join_on(df, grid, keys).withColumn("__cell", cell)
-    else:
-        one = grid.first()
-        placed = df.withColumn("__g0", F.lit(one["__g0"])).withColumn("__step", F.lit(one["__step"]))
-        placed = placed.withColumn("__cell", cell)
-
-    histogram = (
-        placed.filter(F.col("__cell").isNotNull())
-        .groupBy(*keys, "__cell")
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(x).alias("__c0"), F.max(x).alias("__c1"))
-    )
-    earlier = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    parts = F.ceil(F.col("__n") / F.lit(limit)).cast("bigint")
-    layout = histogram.select(
-        *keys,
-        "__cell",
-        "__c0",
-        ((F.col("__c1") - F.col("__c0")) / parts).cast("double").alias("__width"),
-        parts.alias("__parts"),
-        F.coalesce(F.sum(parts).over(earlier), F.lit(0)).alias("__base"),
+    numbers = reduce(DataFrame.unionByName, leaves).withColumn(
+        name, F.row_number().over(Window.partitionBy(*keys).orderBy("__path")).cast("bigint")
     )
-    layout = runtime.broadcast_if_small(runtime.pin(layout))
-    sub = F.when(
-        F.col("__width") > 0,
-        F.least(F.col("__parts") - 1, F.floor((x - F.col("__c0")) / F.col("__width")).cast("bigint")),
-    ).otherwise(F.lit(0))
-    out = join_on(placed, layout, [*keys, "__cell"])
-    out = out.withColumn(name, F.coalesce(F.col("__base") + sub, F.lit(0)).cast("bigint"))
-    return out.drop("__g0", "__step", "__cell", "__c0", "__width", "__parts", "__base"), name
+    numbers = runtime.broadcast_if_small(runtime.pin(numbers))
+    out = join_on(_place(df, keys, x, levels), numbers, [*keys, "__path"])
+    return out.withColumn(name, F.coalesce(F.col(name), F.lit(0))).drop("__path"), name
+
+
+def _place(df: DataFrame, keys: Sequence[str], x: Column, levels: Sequence[DataFrame]) -> DataFrame:
+    """Rows with the path of cells they fall into; rows of keys that are not hot have an empty path."""
+    placed = df.withColumn("__path", F.lit([]).cast("array<bigint>"))
+    for level in levels:
+        cell = F.floor((x - F.col("__from")) / F.col("__step")).cast("bigint")
+        deeper = F.when(F.col("__step").isNotNull(), F.concat("__path", F.array(cell))).otherwise(F.col("__path"))
+        placed = join_on(placed, level, [*keys, "__path"]).withColumn("__path", deeper).drop("__from", "__step")
+    return placed
 
 
 @dataclass(frozen=True)
