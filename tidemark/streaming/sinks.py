@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
+from tidemark.functions.columns import interval
 from tidemark.plans import dual, store
 from tidemark.streaming.run import state_settings
 
@@ -224,6 +225,13 @@ def start(stream: DataFrame, sink: Callable[[DataFrame, int], Any], checkpoint:
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def dedup_stream(features: DataFrame) -> DataFrame:
-    """Streaming features without repeats of the same window (SINK-2, DUAL-2); state ends with the watermark."""
-    return features.dropDuplicatesWithinWatermark(["entity_id", "feature_name", "window_end"])
+def dedup_stream(
+    features: DataFrame, keys: Sequence[str] = ("entity_id", "feature_name", "window_end"), time: str = "window_end",
+    within_seconds: float = 300.0,
+) -> DataFrame:
+    """A stream of feature records without repeats (SINK-2, DUAL-2).
+
+    For records read from a topic or files. Repeats are found for at least ``within_seconds`` of event time. Windows
+    computed by this package are emitted once and need no such step.
+    """
+    return features.withWatermark(time, interval(within_seconds)).dropDuplicatesWithinWatermark(list(keys))
