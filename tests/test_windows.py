@@ -30,7 +30,7 @@ def test_sliding(spark):
     assert len(assigned(spark, lambda ts: W.sliding(ts, 60, 15), [50])) == 4
     # Size not a multiple of the slide: ends are multiples of the slide.
     got = assigned(spark, lambda ts: W.sliding(ts, 60, 25), [50, -10])
-    assert got == [(-10, -60, 0), (-10, -35, 25), (50, 15, 75), (50, 40, 100)]
+    assert got == [(-10, -60, 0), (-10, -35, 25), (-10, -10, 50), (50, 15, 75), (50, 40, 100)]
     with pytest.raises(ValueError):
         W.sliding(F.col("ts"), 30, 60)
 

@@ -27,15 +27,18 @@ FOLD_ROWS = 512
 
 def greedy_chain(
     points: DataFrame, keys: Sequence[str], x: str, distance: int, limit: int | None = None, fold: int | None = None,
-    bounded: bool = False,
+    bounded: bool = False, few: bool = False,
 ) -> DataFrame:
     """Selected points as (keys, x). ``points`` holds distinct (keys, x) with an integral ``x``.
 
-    ``bounded`` says that no key holds more than ``limit`` points.
+    ``bounded`` says that no key holds more than ``limit`` points, ``few`` that besides no key has more than ``fold``
+    selected ones: then every island can be folded, and nothing needs to be counted.
     """
     keys, fold = list(keys), FOLD_ROWS if fold is None else fold
-    # The points are counted, split and folded: they are worked out once.
-    points = runtime.pin(points.select(*keys, x))
+    points = points.select(*keys, x)
+    if not (bounded and few):
+        # Counted, split and folded: worked out once.
+        points = runtime.pin(points)
     cut, piece = with_slices(points, keys, x, limit, bounded=bounded)
     here = F.col(x)
     seen = running(cut, keys, [x], piece, {"__prev": Running("last", here, inclusive=False)})
@@ -46,7 +49,7 @@ def greedy_chain(
     rest = seen.filter(here - F.col("__island") >= F.lit(distance)).select(*keys, "__island", x)
 
     group = [*keys, "__island"]
-    big = hot_groups(rest, group, fold)
+    big = None if bounded and few else hot_groups(rest, group, fold)
     small_rest = rest
     if big is not None:
         small_rest = join_on(rest, big.select(*group), group, "left_anti")

@@ -8,12 +8,14 @@ many events the key has, and decomposable aggregates never shuffle raw events.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark import runtime
 from tidemark.functions.windows import SessionRule
-from tidemark.operators.chain import greedy_chain
+from tidemark.operators.chain import FOLD_ROWS, greedy_chain
 from tidemark.operators.joins import join_on
 from tidemark.operators.slices import Running, running, with_slices
 
@@ -37,6 +39,33 @@ def session_cells(rows: DataFrame, keys: Sequence[str], us: str, rule: SessionRu
     return cells.withColumn("__session", F.last("__opens", ignorenulls=True).over(w)).drop("__opens")
 
 
+@dataclass(frozen=True)
+class SessionFacts:
+    """What is known about sessions before they are cut: decides how much machinery the cut needs."""
+
+    any_long: bool
+    # No key holds more rows than the limit.
+    bounded: bool
+    # No session is cut into more parts than a single expression may collect.
+    few_parts: bool
+
+
+def session_facts(cells: DataFrame, keys: Sequence[str], rule: SessionRule, limit: int | None = None) -> SessionFacts:
+    """Facts from pinned cells with a row count ``__rows``: one small job, no pass over the events."""
+    per_session = cells.groupBy(*keys, "__session").agg(
+        (F.max("__hi") - F.min("__lo")).alias("__span"), F.sum("__rows").alias("__rows")
+    )
+    per_key = per_session.groupBy(*keys).agg(F.max("__span").alias("__span"), F.sum("__rows").alias("__rows"))
+    most = per_key.agg(F.max("__span").alias("span"), F.max("__rows").alias("rows")).first()
+    if most["span"] is None:
+        return SessionFacts(False, True, True)
+    return SessionFacts(
+        most["span"] > rule.max_micros,
+        most["rows"] <= (limit or runtime.HOT_GROUP_ROWS),
+        most["span"] // rule.max_micros < FOLD_ROWS,
+    )
+
+
 def long_sessions(cells: DataFrame, keys: Sequence[str], rule: SessionRule) -> DataFrame:
     """Sessions whose events span more than the maximum length."""
     return (
@@ -47,33 +76,38 @@ def long_sessions(cells: DataFrame, keys: Sequence[str], rule: SessionRule) -> D
     )
 
 
-def sessionize(
-    rows: DataFrame, keys: Sequence[str], us: str, rule: SessionRule, limit: int | None = None, bounded: bool = False
-) -> DataFrame:
+def sessionize(rows: DataFrame, keys: Sequence[str], us: str, rule: SessionRule, limit: int | None = None) -> DataFrame:
     """Add ``session_start`` (epoch microseconds) to every row."""
     keys = list(keys)
-    cells = session_cells(rows, keys, us, rule)
+    group = [*keys, "__session"]
+    cells = session_cells(rows, keys, us, rule, [F.count(F.lit(1)).alias("__rows")])
+    facts = None
+    if rule.max_micros is not None:
+        cells = runtime.pin(cells)
+        facts = session_facts(cells, keys, rule, limit)
     placed = join_on(
         rows.withColumn("__cell", cell(F.col(us), rule)), cells.select(*keys, "__cell", "__session"), [*keys, "__cell"]
     ).drop("__cell")
-    if rule.max_micros is None:
+    if facts is None or not facts.any_long:
         return placed.withColumnRenamed("__session", "session_start")
     long = long_sessions(cells, keys, rule)
-    group = [*keys, "__session"]
     short_rows = join_on(placed, long, group, "left_anti").withColumn("session_start", F.col("__session"))
-    long_rows = split_long(join_on(placed, long, group, "left_semi"), keys, us, rule, limit, bounded)
+    long_rows = split_long(join_on(placed, long, group, "left_semi"), keys, us, rule, facts, limit)
     return short_rows.unionByName(long_rows).drop("__session")
 
 
 def split_long(
-    rows: DataFrame, keys: list[str], us: str, rule: SessionRule, limit: int | None = None, bounded: bool = False
+    rows: DataFrame, keys: list[str], us: str, rule: SessionRule, facts: SessionFacts, limit: int | None = None
 ) -> DataFrame:
     """Cut long sessions: a new part begins at the first event later than the part's start plus the maximum (WIN-4)."""
     group = [*keys, "__session"]
-    starts = greedy_chain(rows.select(*group, us).distinct(), group, us, rule.max_micros + 1, limit, bounded=bounded)
+    starts = greedy_chain(
+        rows.select(*group, us).distinct(), group, us, rule.max_micros + 1, limit,
+        bounded=facts.bounded, few=facts.bounded and facts.few_parts,
+    )
     starts = starts.withColumn("__start", F.col(us))
     marked = join_on(rows, starts, [*group, us])
-    cut, piece = with_slices(marked, group, us, limit, bounded=bounded)
+    cut, piece = with_slices(marked, group, us, limit, bounded=facts.bounded)
     # All rows at a start's instant carry the mark, so ties need no further order.
     out = running(cut, group, [us], piece, {"session_start": Running("last", F.col("__start"))})
     return out.drop("__start", *([piece] if piece else []))

@@ -16,12 +16,13 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import runtime
 from tidemark.functions import aggregates as A
 from tidemark.functions import columns as C
 from tidemark.functions import windows as W
 from tidemark.operators.joins import join_on
 from tidemark.operators.percentiles import ranked_percentile
-from tidemark.operators.sessions import long_sessions, session_cells, sessionize, split_long
+from tidemark.operators.sessions import cell, long_sessions, session_cells, session_facts, sessionize, split_long
 from tidemark.operators.slices import hot_groups
 
 OUTPUT = ("entity_id", "feature_name", "feature_value", "window_start", "window_end", "event_count")
@@ -289,10 +290,7 @@ def _windowed(rows: DataFrame, spec: _Spec, row_limit: int | None) -> tuple[Data
     kind = spec.window[0]
     if kind == "session":
         rule: W.SessionRule = spec.window[1]
-        # No session holds more rows than its key.
-        bounded = rule.max_micros is None or hot_groups(rows, ["entity_id"], row_limit) is None
-        rows = rows.withColumn("__us", F.unix_micros("ts"))
-        placed = sessionize(rows, ["entity_id"], "__us", rule, row_limit, bounded)
+        placed = sessionize(rows.withColumn("__us", F.unix_micros("ts")), ["entity_id"], "__us", rule, row_limit)
         return placed, ["entity_id", "session_start"]
     f = spec.first
     w = (
@@ -358,20 +356,21 @@ def _fused_sessions(rows: DataFrame, spec: _Spec, row_limit: int | None) -> Data
     rule: W.SessionRule = spec.window[1]
     rows = rows.withColumn("__us", F.unix_micros("ts"))
     keys, group = ["entity_id"], ["entity_id", "__session"]
-    cells = session_cells(rows, keys, "__us", rule, _partials(rows, spec))
+    cells = session_cells(rows, keys, "__us", rule, [*_partials(rows, spec), F.count(F.lit(1)).alias("__rows")])
+    facts = None
+    if rule.max_micros is not None:
+        # Cells are one row per key and gap: kept, because sessions over the length limit ask for them again.
+        cells = runtime.pin(cells)
+        facts = session_facts(cells, keys, rule, row_limit)
     merged = _merged(cells, spec, group, F.max("__hi").alias("__last")).withColumnRenamed("__session", "session_start")
-    if rule.max_micros is None:
+    if facts is None or not facts.any_long:
         return _long(merged, spec.features, *_bounds(spec))
     # Sessions within the length limit come from merged cells; only the longer ones go back to their events.
     short = merged.filter(F.col("__last") - F.col("session_start") <= F.lit(rule.max_micros))
-    plain = session_cells(rows, keys, "__us", rule)
-    long = long_sessions(plain, keys, rule)
-    marked = join_on(plain, long, group, "left_semi").select("entity_id", "__cell", "__session")
-    width = F.lit(rule.join_micros)
-    with_cell = rows.withColumn("__cell", F.col("__us") - F.pmod(F.col("__us"), width))
-    back = join_on(with_cell, marked, ["entity_id", "__cell"], "inner").drop("__cell")
-    bounded = hot_groups(rows, keys, row_limit) is None
-    parts = split_long(back, keys, "__us", rule, row_limit, bounded)
+    long = long_sessions(cells, keys, rule)
+    marked = join_on(cells, long, group, "left_semi").select("entity_id", "__cell", "__session")
+    back = join_on(rows.withColumn("__cell", cell(F.col("__us"), rule)), marked, ["entity_id", "__cell"], "inner")
+    parts = split_long(back.drop("__cell"), keys, "__us", rule, facts, row_limit)
     return _long(short, spec.features, *_bounds(spec)).unionByName(
         _long(_from_rows(parts, spec, ["entity_id", "session_start"]), spec.features, *_bounds(spec))
     )

@@ -160,15 +160,15 @@ def decode(messages: DataFrame, defaults: Mapping[int, Mapping[str, Any]] = DEFA
         out.append(to_epoch(F.col("timestamp").cast("timestamp")).alias("broker_time"))
     if "headers" in messages.columns:
         given = F.filter("headers", lambda h: h["value"].isNotNull())
+        pairs = F.transform(given, lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")))
         # A repeated header keeps its last value.
-        merged = F.aggregate(
-            given, F.create_map().cast("map<string,string>"),
-            lambda acc, h: F.map_from_entries(
-                F.concat(
-                    F.filter(F.map_entries(acc), lambda e: e["key"] != h["key"]),
-                    F.array(F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))),
-                )
-            ),
+        last = F.aggregate(
+            pairs, F.lit([]).cast("array<struct<key:string,value:string>>"),
+            lambda acc, h: F.concat(F.filter(acc, lambda e: e["key"] != h["key"]), F.array(h)),
+        )
+        names = F.transform(given, lambda h: h["key"])
+        merged = F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_entries(pairs)).otherwise(
+            F.map_from_entries(last)
         )
         out.append(F.coalesce(merged, F.create_map().cast("map<string,string>")).alias("headers"))
     if "key" in messages.columns:
