@@ -132,3 +132,80 @@ def test_dedup_stream(spark, source, tmp_path):
         computed.coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(computed.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     assert drain(dedup_stream(stream, within_seconds=100_000)).count() == computed.count()
+
+
+def test_keyed_state(spark, source):
+    import pandas as pd
+
+    from tidemark.streaming.state import with_state
+
+    ev, read, _ = source
+
+    def count(key, rows, state):
+        if key == "a" and (rows["event_type"] == "c").any():
+            state.clear()
+        n = state.get("n", 0) + len(rows)
+        state.set("n", n)
+        return pd.DataFrame({"entity_id": [key], "n": [n]})
+
+    keyed = read().select(F.col("user_id").alias("entity_id"), "event_type")
+    out = drain(with_state(keyed, count, "entity_id string, n long")).collect()
+    assert max(r.n for r in out if r.entity_id == "h") == sum(1 for e in ev if e[1] == "h")
+    assert max(r.n for r in out if r.entity_id == "a") < sum(1 for e in ev if e[1] == "a")
+
+
+def test_late_split(spark, make_events, tmp_path):
+    from tidemark.streaming.lateness import LateSplit
+
+    kept, late = {}, {}
+    split = LateSplit(
+        str(tmp_path / "wm"), lambda df, b: kept.__setitem__(b, sorted(r.event_id for r in df.collect())),
+        lambda df, b: late.__setitem__(b, sorted(r.event_id for r in df.collect())), 5, 30,
+    )
+    batches = [[("a", 1000), ("b", 1010)], [("c", 970), ("d", 980), ("e", 1100)], [("f", 1060), ("g", 1066)]]
+    for i, rows in enumerate(batches):
+        df = make_events([(k, "u", "x", t, None) for k, t in rows]).withColumn("seq", F.col("event_id"))
+        df = df.withColumn("seq", F.ascii("event_id"))
+        split(df, i)
+    assert kept == {0: ["a", "b"], 1: ["d", "e"], 2: ["g"]} and late == {0: [], 1: ["c"], 2: ["f"]}
+    # The same batch again.
+    split(df, 2)
+    assert late[2] == ["f"]
+
+
+def test_progress_log(spark, source):
+    import time
+
+    from tidemark.plans import monitor
+    from tidemark.streaming.progress import ProgressLog
+
+    _, read, _ = source
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        drain(read().select("event_id"))
+        for _ in range(50):
+            if log.frame(spark).filter("kind = 'input_rows'").count() >= 4:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    got = log.frame(spark)
+    assert got.filter("kind = 'input_rows'").agg(F.sum("value")).first()[0] == 240
+    assert monitor.latency_summary(got.filter("kind = 'batch_ms'")).first()["count"] >= 4
+
+
+def test_messages_from_files(spark, tmp_path):
+    """Kafka's columns from files: good messages are processed, the others set aside."""
+    from tidemark.sources import wire
+    from tidemark.sources.kafka import consume
+
+    df = spark.createDataFrame([("u", "f", 1.0, 10.0)], "entity_id string, feature_name string, feature_value double, timestamp double")
+    m = wire.encode(df, "t").unionByName(wire.encode(df, "t").withColumn("value", F.lit(b"broken")))
+    m.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = wire.decode(spark.readStream.schema(m.schema).parquet(str(tmp_path / "in")))
+    ok, bad = [], []
+    q = consume(stream, lambda d, b: ok.extend(d.collect()), str(tmp_path / "cp"), "1 second", lambda d, b: bad.extend(d.collect()))
+    q.processAllAvailable()
+    q.stop()
+    assert [r.entity_id for r in ok] == ["u"] and [r._error for r in bad] == ["invalid magic byte"]

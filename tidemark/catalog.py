@@ -821,13 +821,13 @@ def online_version(spark, d):
 
 
 def copies(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Online without what has expired by mid-month, offline without errors."""
+    """Online without what has expired by the end, offline without errors."""
     h = history(spark, d)
-    on = store.unexpired(store.online(h), moment(MID_US))
+    on = store.unexpired(store.online(h), moment(NOW_US))
     return on, store.latest(h.filter(F.col("feature_name") != "error"))
 
 
-SQL_COPIES = f"""{SQL_ONLINE}, onl AS (SELECT * FROM o WHERE ex >= {MID_US}),
+SQL_COPIES = f"""{SQL_ONLINE}, onl AS (SELECT * FROM o WHERE ex >= {NOW_US}),
     off AS (SELECT * FROM h WHERE feature_name <> 'error' QUALIFY row_number() OVER
             (PARTITION BY entity_id, feature_name ORDER BY et DESC, it DESC, seq DESC) = 1),
     j AS (SELECT coalesce(n.entity_id, f.entity_id) AS entity_id, coalesce(n.feature_name, f.feature_name) AS feature_name,

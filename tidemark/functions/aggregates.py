@@ -7,7 +7,9 @@ sliding windows and cells of sessions, so only one row per pane or cell is shuff
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 DECOMPOSABLE = ("count", "sum", "avg", "min", "max", "stddev", "first_value", "last_value")
@@ -87,23 +89,20 @@ def merge(aggregation: str, name: str) -> list[Column]:
     return [out.alias(name), n.alias(f"{name}_c")]
 
 
+def window_mean(name: str, group: Sequence[str]) -> Column:
+    """Mean over all parts of a window, added to each part under ``name_w`` before merging a standard deviation."""
+    w = Window.partitionBy(*group)
+    n, m = F.col(f"{name}_n"), F.coalesce(F.col(f"{name}_m"), F.lit(0.0))
+    return (F.sum(n * m).over(w) / F.nullif(F.sum(n).over(w), F.lit(0))).alias(f"{name}_w")
+
+
 def _merged_stddev(name: str) -> Column:
-    """Pairwise merge of (count, mean, squared deviations); one entry per pane or cell of the window."""
-    has_rows = F.col(f"{name}_n") > 0
-    part = F.struct(
-        F.col(f"{name}_n").cast("double").alias("n"), F.col(f"{name}_m").alias("m"), F.col(f"{name}_q").alias("q")
-    )
-    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("q"))
-
-    def add(a: Column, b: Column) -> Column:
-        n, d = a["n"] + b["n"], b["m"] - a["m"]
-        return F.struct(
-            n.alias("n"),
-            (a["m"] + d * b["n"] / n).alias("m"),
-            (a["q"] + b["q"] + d * d * a["n"] * b["n"] / n).alias("q"),
-        )
-
-    def finish(a: Column) -> Column:
-        return F.when(a["n"] >= 2, F.sqrt(a["q"] / (a["n"] - 1))).when(a["n"] == 1, F.lit(0.0))
-
-    return F.aggregate(F.collect_list(F.when(has_rows, part)), zero, add, finish)
+    """Squared deviations inside the parts plus those of the parts' means from the common mean.
+
+    Sums of squares would cancel for values far from zero; nothing is collected, so a window may have any number of
+    parts.
+    """
+    n = F.sum(f"{name}_n")
+    apart = F.col(f"{name}_m") - F.col(f"{name}_w")
+    squares = F.sum(F.col(f"{name}_q") + F.col(f"{name}_n") * apart * apart)
+    return F.when(n >= 2, F.sqrt(squares / (n - 1))).when(n == 1, F.lit(0.0))

@@ -15,11 +15,11 @@ from tidemark.operators.slices import Running, running, with_slices
 
 def tag_lateness(
     events: DataFrame, delay_seconds: float = 5.0, allowed_seconds: float = 30.0, order: str = "seq",
-    tie: str = "event_id", event_time: bool = True, row_limit: int | None = None,
+    tie: str = "event_id", event_time: bool = True, row_limit: int | None = None, start_micros: int = 0,
 ) -> DataFrame:
     """Add ``watermark`` (epoch seconds), ``is_late``, ``lateness_s`` and ``is_dropped`` to each event.
 
-    The watermark never regresses and starts at 0; an event first advances it and is then judged by it. In
+    The watermark never regresses and starts at ``start_micros``; an event first advances it and is then judged by it. In
     processing-time mode (``event_time=False``) there is no watermark and nothing is late.
     """
     if not event_time:
@@ -32,7 +32,7 @@ def tag_lateness(
     cut, piece = with_slices(rows, [], order, row_limit)
     order_by = list(dict.fromkeys([order, tie]))
     run = running(cut, [], order_by, piece, {"__max": Running("max", F.col("__us"))})
-    wm = F.greatest(F.lit(0), F.col("__max") - F.lit(micros(delay_seconds)))
+    wm = F.greatest(F.lit(start_micros), F.col("__max") - F.lit(micros(delay_seconds)))
     behind = wm - F.col("__us")
     return run.select(
         *events.columns,

@@ -325,6 +325,9 @@ def _from_rows(rows: DataFrame, spec: _Spec, group: Sequence[str]) -> DataFrame:
 
 
 def _merged(parts: DataFrame, spec: _Spec, group: Sequence[str], *extra: Column) -> DataFrame:
+    means = [A.window_mean(f"f{i}", group) for i, f in enumerate(spec.features) if f.aggregation == "stddev"]
+    if means:
+        parts = parts.select("*", *means)
     cols = [c for i, f in enumerate(spec.features) for c in A.merge(f.aggregation, f"f{i}")]
     agg = parts.groupBy(*group).agg(*cols, *extra)
     return agg.withColumnsRenamed({f"f{i}_c": f"n{i}" for i in range(len(spec.features))})

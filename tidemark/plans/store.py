@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import runtime
 from tidemark.functions.columns import shift, to_epoch
 from tidemark.operators.asof import as_of
 from tidemark.operators.joins import join_on
@@ -111,19 +112,27 @@ def write_order(time: str = "ingestion_time") -> Column:
     return (t + F.col("seq").cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
+def _deletions(history: DataFrame, op: str, keys: Sequence[str], name: str) -> DataFrame | None:
+    """The last deletion per key, or None when there is none: then the history need not be joined with anything.
+
+    Deletions are few beside writes. Broadcast behind a count, they are checked without a shuffle of the history.
+    """
+    last = history.filter(F.col("op") == op).groupBy(*keys).agg(F.max(write_order()).alias(name))
+    found = runtime.pin_if_any(last)
+    return None if found is None else runtime.broadcast_if_small(found)
+
+
+def _after(writes: DataFrame, deleted: DataFrame | None, keys: Sequence[str], name: str) -> DataFrame:
+    """Writes later than the deletion of their key."""
+    if deleted is None:
+        return writes
+    return join_on(writes, deleted, keys).filter(F.col(name).isNull() | (write_order() > F.col(name))).drop(name)
+
+
 def surviving(history: DataFrame) -> DataFrame:
     """Writes not removed by a later deletion of their entity."""
-    gone = (
-        history.filter(F.col("op") == "delete_entity")
-        .groupBy("entity_id")
-        .agg(F.max(write_order()).alias("__gone"))
-    )
-    rest = history.filter(F.col("op") != "delete_entity")
-    return (
-        join_on(rest, gone, ["entity_id"])
-        .filter(F.col("__gone").isNull() | (write_order() > F.col("__gone")))
-        .drop("__gone")
-    )
+    gone = _deletions(history, "delete_entity", ["entity_id"], "__gone")
+    return _after(history.filter(F.col("op") != "delete_entity"), gone, ["entity_id"], "__gone")
 
 
 def _latest(history: DataFrame, order: Column) -> DataFrame:
@@ -137,20 +146,13 @@ def online(history: DataFrame, by_event_time: bool = False) -> DataFrame:
     The last write by arrival wins, or with ``by_event_time`` the newest event. One row per key and task is shuffled.
     Each key is reduced to its last row before entity deletions are looked up.
     """
-    order = write_order()
     if by_event_time:
-        order = F.when(F.col("op") == "set", F.struct(F.unix_micros("event_time").alias("t"), write_order().alias("w")))
-        deleted = history.filter(F.col("op") == "delete_feature").groupBy(*KEYS).agg(F.max(write_order()).alias("__d"))
-        kept = join_on(surviving(history).filter(F.col("op") == "set"), deleted, KEYS)
-        kept = kept.filter(F.col("__d").isNull() | (write_order() > F.col("__d"))).drop("__d")
-        return _latest(kept, order)
-    last = _latest(history.filter(F.col("op") != "delete_entity"), order)
+        order = F.struct(F.unix_micros("event_time").alias("t"), write_order().alias("w"))
+        deleted = _deletions(history, "delete_feature", KEYS, "__deleted")
+        return _latest(_after(surviving(history).filter(F.col("op") == "set"), deleted, KEYS, "__deleted"), order)
+    last = _latest(history.filter(F.col("op") != "delete_entity"), write_order())
     gone = history.filter(F.col("op") == "delete_entity").groupBy("entity_id").agg(F.max(write_order()).alias("__gone"))
-    return (
-        join_on(last, gone, ["entity_id"])
-        .filter((F.col("op") == "set") & (F.col("__gone").isNull() | (write_order() > F.col("__gone"))))
-        .drop("__gone")
-    )
+    return _after(last, gone, ["entity_id"], "__gone").filter(F.col("op") == "set")
 
 
 def unexpired(view: DataFrame, now: Moment) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
-from tidemark.sources.wire import decode
+from tidemark.sources.wire import dead_letters, decode, good
 
 
 def read_stream(
@@ -35,11 +36,24 @@ def read_range(
 
 
 def consume(
-    decoded: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "5 seconds"
+    decoded: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "5 seconds",
+    dead: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Hand batches to a function; offsets advance only after it returns, a failed batch is repeated (SRC-1, D-16)."""
-    writer = decoded.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return writer.trigger(processingTime=interval).start()
+    """Hand batches to a function; offsets advance only after it returns, a failed batch is repeated (SRC-1, D-16).
+
+    With ``dead``, messages that could not be decoded go there and only good ones are processed (SRC-5).
+    """
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            process(good(batch), batch_id)
+            dead(dead_letters(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = decoded.writeStream.foreachBatch(process if dead is None else split)
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
 
 
 def write_batch(messages: DataFrame, servers: str) -> None:
