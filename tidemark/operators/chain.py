@@ -6,16 +6,20 @@ This is the core of the non-overlapping frequency pattern (points are row number
 
 * a point whose predecessor is at least ``distance`` away is always selected, so points fall into independent islands;
 * within ``distance`` of an island's first point nothing else is selected;
-* in what remains, an island with few points is folded in one expression; a larger one is solved by repeatedly
-  composing the successor function with itself (log2 of the chain length rounds of equi-joins).
+* in what remains, an island with few points is folded in one expression and one with a bounded number is followed in
+  one task; of a larger one each slice is followed on its own, and the slices are connected by repeatedly composing
+  the table of their entries with itself (log2 of the number of slices rounds of equi-joins).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import runtime
 from tidemark.operators.joins import join_on
@@ -64,16 +68,90 @@ def greedy_chain(
     if big is None:
         return selected
     rows = join_on(rest, big.select(*group), group, "left_semi")
-    return selected.unionByName(_orbit(rows, keys, x, distance, limit).select(*keys, x))
+    return selected.unionByName(_large(rows, keys, x, distance, limit, piece is None).select(*keys, x))
 
 
-def _successors(rows: DataFrame, group: list[str], x: str, distance: int, limit: int | None) -> DataFrame:
-    """(group, x, next): the first point at least ``distance`` after x, for the points and the island heads."""
-    starts = rows.select(*group).distinct().select(*group, F.col("__island").alias(x))
-    every = rows.select(*group, x).unionByName(starts)
-    data = rows.select(*group, F.col(x).alias("__at"), F.lit(1).alias("__data"), F.col(x).alias("__x"))
-    asks = every.select(*group, (F.col(x) + F.lit(distance)).alias("__at"), F.lit(0).alias("__data"), F.col(x).alias("__x"))
-    both, piece = with_slices(data.unionByName(asks), group, "__at", limit)
+def _follow(xs: np.ndarray, first: int, distance: int) -> np.ndarray:
+    """Points selected from sorted ``xs`` when the next one must be at or after ``first``."""
+    picked, i = [], int(np.searchsorted(xs, first))
+    while i < len(xs):
+        picked.append(xs[i])
+        i = int(np.searchsorted(xs, xs[i] + distance))
+    return np.array(picked, dtype=np.int64)
+
+
+def _exits(xs: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points of a slice at which a selection coming from before it can enter, and where it leaves: (entries, asks).
+
+    The point before an entry is less than ``distance`` from the slice's start. ``asks`` is the earliest place for the
+    next selected point after the slice.
+    """
+    n = len(xs)
+    nxt = np.searchsorted(xs, xs + distance)
+    last = np.where(nxt < n, nxt, np.arange(n))
+    while True:
+        further = last[last]
+        if np.array_equal(further, last):
+            break
+        last = further
+    entries = int(np.searchsorted(xs, xs[0] + distance)) + 1
+    return xs[:entries], xs[last[:entries]] + distance
+
+
+def _large(rows: DataFrame, keys: list[str], x: str, distance: int, limit: int | None, bounded: bool) -> DataFrame:
+    """Selected points of islands too large for an expression; the island's first point is left out.
+
+    Each slice of an island holds a bounded number of points and is followed on its own. What connects slices is a
+    table of possible entries and where they lead, which is solved by composing it with itself.
+    """
+    group = [*keys, "__island"]
+    cut, piece = with_slices(rows, group, x, limit, bounded=bounded)
+    types = {f.name: f.dataType for f in cut.schema.fields}
+    out = T.StructType([T.StructField(c, types[c]) for c in [*group, x]])
+    if piece is None:
+
+        def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+            head = int(pdf["__island"].iloc[0])
+            picked = _follow(np.sort(pdf[x].to_numpy(np.int64)), head + distance, distance)
+            return _repeat(pdf, group, **{x: picked})
+
+        return cut.groupBy(*group).applyInPandas(whole, out)
+
+    cut = runtime.pin(cut)
+    places = T.StructType([*[T.StructField(c, types[c]) for c in [*group, piece, x]], T.StructField("__ask", T.LongType())])
+
+    def ways(pdf: pd.DataFrame) -> pd.DataFrame:
+        entries, asks = _exits(np.sort(pdf[x].to_numpy(np.int64)), distance)
+        return _repeat(pdf, [*group, piece], **{x: entries, "__ask": asks})
+
+    doors = runtime.pin(cut.groupBy(*group, piece).applyInPandas(ways, places))
+    heads = doors.select(*group).distinct().select(*group, F.col("__island").alias(x))
+    asks = doors.select(*group, x, "__ask").unionByName(heads.withColumn("__ask", F.col(x) + F.lit(distance)))
+    step = runtime.pin(_next_point(doors.select(*group, x), asks, group, x, limit).filter(F.col("next").isNotNull()))
+    entered = _orbit(step, heads, group, x)
+    entered = join_on(entered, doors.select(*group, x, piece), [*group, x], "inner")
+    entered = entered.select(*group, piece, F.col(x).alias("__first"))
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        picked = _follow(np.sort(pdf[x].to_numpy(np.int64)), int(pdf["__first"].iloc[0]), distance)
+        return _repeat(pdf, group, **{x: picked})
+
+    return join_on(cut, entered, [*group, piece], "inner").groupBy(*group, piece).applyInPandas(inside, out)
+
+
+def _repeat(pdf: pd.DataFrame, columns: Sequence[str], **values: np.ndarray) -> pd.DataFrame:
+    """A group's constant columns beside new values."""
+    out = pd.DataFrame(values)
+    for i, c in enumerate(columns):
+        out.insert(i, c, pdf[c].iloc[0])
+    return out
+
+
+def _next_point(points: DataFrame, asks: DataFrame, group: list[str], x: str, limit: int | None) -> DataFrame:
+    """(group, x, next): the first point at or after ``__ask``."""
+    data = points.select(*group, F.col(x).alias("__at"), F.lit(1).alias("__data"), F.col(x).alias("__x"))
+    wanted = asks.select(*group, F.col("__ask").alias("__at"), F.lit(0).alias("__data"), F.col(x).alias("__x"))
+    both, piece = with_slices(data.unionByName(wanted), group, "__at", limit)
     found = running(
         both, group, ["__at", "__data"], piece,
         {"next": Running("last", F.when(F.col("__data") == 1, F.col("__x")))}, reverse=True,
@@ -81,10 +159,8 @@ def _successors(rows: DataFrame, group: list[str], x: str, distance: int, limit:
     return found.filter(F.col("__data") == 0).select(*group, F.col("__x").alias(x), "next")
 
 
-def _orbit(rows: DataFrame, keys: list[str], x: str, distance: int, limit: int | None) -> DataFrame:
-    """Points reached from each island head by following successors; the head itself is left out."""
-    group = [*keys, "__island"]
-    step = runtime.pin(_successors(rows, group, x, distance, limit).filter(F.col("next").isNotNull()))
+def _orbit(step: DataFrame, heads: DataFrame, group: list[str], x: str) -> DataFrame:
+    """Points reached from the heads by following ``step``; the heads themselves are left out."""
     levels = [step]
     while True:
         after = step.select(*group, F.col(x).alias("next"), F.col("next").alias("__then"))
@@ -97,7 +173,7 @@ def _orbit(rows: DataFrame, keys: list[str], x: str, distance: int, limit: int |
         if step.filter(F.col(x) == F.col("__island")).isEmpty():
             break
         levels.append(step)
-    found = rows.select(*group).distinct().select(*group, F.col("__island").alias(x))
+    found = heads
     for level in reversed(levels):
         onward = join_on(level, found, [*group, x], "left_semi").select(*group, F.col("next").alias(x))
         found = runtime.pin(found.unionByName(onward).distinct())
