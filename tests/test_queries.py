@@ -8,6 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tidemark import catalog
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -29,7 +30,7 @@ def same(a, b):
     return a == b
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, DATA)
     cols = sorted(df.columns)
@@ -52,4 +53,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry.queries())
