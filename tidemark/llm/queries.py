@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark import runtime
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.warc import page_report, read_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +26,25 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query(
+    "op1_warc_archive",
+    """
+    WITH p AS (SELECT page_id, url, coalesce(html, '') h FROM pages),
+    d AS (SELECT page_id, url, h, sha1(h) s, max(page_id) OVER (PARTITION BY h) AS last_id FROM p)
+    SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(s, 1 + 10 * (i // 8)::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31)::INT, 1)), '') AS payload_digest,
+           CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> last_id THEN last_id END AS refers_to, coalesce(url, '') AS target_uri
+    FROM d
+    """,
+)
+def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = runtime.scratch_path(spark, "warc")
+    write_archive(table(spark, sf_dir, "pages"), path)
+    return page_report(read_archive(spark, path))
+
+
 @query(
     "op9_exact_dedup",
     r"""
