@@ -58,3 +58,14 @@ def attach(left: DataFrame, groups: DataFrame, key: str, size: str, how: str = "
 
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def may_match(left: DataFrame, column: str, wanted: DataFrame, slots: int = 1 << 18) -> DataFrame:
+    """Rows of ``left`` whose key may be in ``wanted``: a cheap filter before a shuffled join, never too strict.
+
+    The keys are reduced to at most ``slots`` hash slots, so what is broadcast has a fixed bound; with very many keys
+    all slots are taken and all rows pass.
+    """
+    slot = F.pmod(F.xxhash64(column), F.lit(slots))
+    taken = wanted.select(slot.alias("__slot")).distinct()
+    return left.withColumn("__slot", slot).join(F.broadcast(taken), "__slot", "left_semi").drop("__slot")

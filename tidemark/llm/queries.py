@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import runtime
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.warc import page_report, read_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +47,38 @@ def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_report(read_archive(spark, path))
 
 
+LINE_MIN_CHARS = 24
+LINES_SQL = f"""
+    lines AS (SELECT doc_id, p AS pos, raw, trim(raw, chr(32) || chr(9) || chr(13)) AS line
+              FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM documents)),
+    firsts AS (SELECT line, length(line) AS n, min(doc_id::HUGEINT * 2147483648 + pos) AS ord FROM lines WHERE length(line) >= {LINE_MIN_CHARS} GROUP BY line),
+    halves AS (SELECT line, n, ord, unnest([n, n + 1]) AS m FROM firsts),
+    keyed AS (SELECT line, ord, m, unnest(['h' || left(line, (m - 1) // 2), 't' || right(line, (m - 1) // 2)]) AS half FROM halves),
+    near AS (SELECT DISTINCT b.line FROM keyed a JOIN keyed b ON a.half = b.half AND a.m = b.m AND a.ord < b.ord
+             WHERE abs(length(a.line) - length(b.line)) <= 1 AND levenshtein(a.line, b.line) = 1),
+    judged AS (SELECT l.*, f.ord IS NOT NULL AND f.ord <> doc_id::HUGEINT * 2147483648 + pos AS again,
+                      f.ord IS NOT DISTINCT FROM doc_id::HUGEINT * 2147483648 + pos AND l.line IN (SELECT line FROM near) AS close
+               FROM lines l LEFT JOIN firsts f ON l.line = f.line)
+"""
+
+
+@query(
+    "op3_line_dedup",
+    f"""
+    WITH {LINES_SQL}
+    SELECT doc_id, count(pos)::BIGINT AS n_lines, count(*) FILTER (again)::BIGINT AS n_repeated, count(*) FILTER (close)::BIGINT AS n_near,
+           sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT again AND NOT close), '')) AS text_sha256
+    FROM documents LEFT JOIN judged USING (doc_id) GROUP BY doc_id
+    """,
+)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs, min_chars=LINE_MIN_CHARS).select(
+        "doc_id", F.col("__lines").cast("long").alias("n_lines"), F.col("__repeated").alias("n_repeated"), F.col("__near").alias("n_near"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 @query(
     "op9_exact_dedup",
     r"""
