@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import runtime
+from tidemark.llm import bpe
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
@@ -47,6 +48,23 @@ def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_report(read_archive(spark, path))
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file; the package is looked up when a query needs it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_bpe_automaton")
+def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = bpe.read_spec(vocabulary("word_bpe_49k.json"))
+    texts = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), spec), spec)
+    return texts.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 LINE_MIN_CHARS = 24
 LINES_SQL = f"""
     lines AS (SELECT doc_id, p AS pos, raw, trim(raw, chr(32) || chr(9) || chr(13)) AS line
