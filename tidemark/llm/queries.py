@@ -12,6 +12,7 @@ from tidemark.llm import bpe
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.token_files import read_tokens, write_tokens
 from tidemark.llm.warc import page_report, read_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +98,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = runtime.scratch_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), bpe.read_spec(vocabulary("byte_bpe_50k.json")), path, end_id=2)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query(
     "op9_exact_dedup",
     r"""
