@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import runtime
 from tidemark.llm import bpe
 from tidemark.llm.common import table
+from tidemark.llm.decontamination import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.token_files import read_tokens, write_tokens
@@ -116,3 +117,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
