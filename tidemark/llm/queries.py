@@ -12,6 +12,7 @@ from tidemark.llm import bpe
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.licenses import scan
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.token_files import read_tokens, write_tokens
 from tidemark.llm.warc import page_report, read_archive, write_archive
@@ -99,6 +100,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_license_scan")
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["start"], s["end"])), ",")
+    return scan(table(spark, sf_dir, "documents")).withColumn("spans", spans)
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = runtime.scratch_path(spark, "tokens")
