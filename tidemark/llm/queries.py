@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import runtime
-from tidemark.llm import bpe
+from tidemark.llm import bpe, toxicity
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
@@ -100,6 +100,16 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SEVERE = 0.5
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), split_severe=True)
+    return toxicity.score(docs, model).withColumn("toxic", F.col("severity") >= SEVERE)
+
+
 @query("op6_license_scan")
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["start"], s["end"])), ",")
