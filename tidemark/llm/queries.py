@@ -12,6 +12,7 @@ from tidemark.llm import bpe, toxicity
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.jaccard_join import similar_components
 from tidemark.llm.licenses import scan
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.token_files import read_tokens, write_tokens
@@ -110,6 +111,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("toxic", F.col("severity") >= SEVERE)
 
 
+@query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents"), percent=90, size=3)
+
+
 @query("op6_license_scan")
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["start"], s["end"])), ",")
