@@ -15,6 +15,7 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.jaccard_join import similar_components
 from tidemark.llm.licenses import scan
 from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.lm_scoring import score_texts
 from tidemark.llm.token_files import read_tokens, write_tokens
 from tidemark.llm.warc import page_report, read_archive, write_archive
 
@@ -122,6 +123,12 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).withColumn("spans", spans)
 
 
+@query("op7_lm_scoring")
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = bpe.read_spec(vocabulary("byte_bpe_50k.json"))
+    return score_texts(table(spark, sf_dir, "documents"), spec, vocabulary=50_257, end_id=50_256)
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = runtime.scratch_path(spark, "tokens")
