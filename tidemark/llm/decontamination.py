@@ -192,11 +192,4 @@ def contaminated(
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options: Column) -> DataFrame:
     """``docs`` without the contaminated documents; rows without an identifier stay."""
     bad = stored(contaminated(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    # Documents whose hash slot no contaminated document has need no shuffle.
-    slots = F.lit(1 << 18)
-    marked = docs.withColumn("__slot", F.pmod(F.xxhash64(F.col(id_col).cast("long")), slots))
-    taken = F.broadcast(bad.select(F.pmod(F.xxhash64("__bad"), slots).alias("__slot")).distinct())
-    away = marked.join(taken, "__slot", "left_anti")
-    near = marked.join(taken, "__slot", "left_semi")
-    near = near.join(bad, near[id_col].cast("long") == F.col("__bad"), "left_anti")
-    return away.unionByName(near).select(*docs.columns)
+    return docs.join(bad, docs[id_col].cast("long") == F.col("__bad"), "left_anti").select(*docs.columns)
