@@ -67,7 +67,7 @@ def test_windows_equal_batch(source):
 
 def test_capped_sessions_equal_batch(source):
     ev, read, batch = source
-    fs = FeatureSet(tuple(FeatureDefinition(f"{a}_c", a, "session", 0, "v", session_gap_seconds=20, max_session_seconds=50, allowed_lateness_seconds=0) for a in ("count", "sum", "min", "max", "avg")))
+    fs = FeatureSet(tuple(FeatureDefinition(f"{a}_c", a, "session", 0, "v", session_gap_seconds=20, max_session_seconds=50, allowed_lateness_seconds=0) for a in ("count", "sum", "min", "max", "avg", "stddev", "first_value", "last_value")))
     want, got = tidy(fs.compute(batch)), tidy(drain(stream_all(fs, read(), 0)))
     # Only sessions still open at the end are missing.
     assert set(got) <= set(want)
@@ -78,6 +78,45 @@ def test_capped_sessions_equal_batch(source):
         stream_all(FeatureSet((FeatureDefinition("p", "percentile", "session", 0, "v", session_gap_seconds=20),)), read())
 
 
+@pytest.fixture(scope="module")
+def disordered(spark, make_events, tmp_path_factory):
+    """The same events, each up to 60 s late: an event may come two files after later ones."""
+    ev = some_events(seed=4)
+    rng = random.Random(7)
+    arrival = sorted(ev, key=lambda e: e[3] + rng.uniform(0, 60))
+    folder = str(tmp_path_factory.mktemp("disordered"))
+    for k in range(6):
+        part = make_events([(f"{i:04d}", u, t, ts, {"v": i % 7}) for i, u, t, ts in arrival[40 * k: 40 * (k + 1)]])
+        part.coalesce(1).write.mode("append").parquet(folder)
+    # A last event far away lets the watermark pass all others.
+    make_events([("9999", "z", "a", ev[-1][3] + 10_000, {"v": 0})]).coalesce(1).write.mode("append").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    return ev, lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder), spark.read.parquet(folder)
+
+
+def test_patterns_do_not_depend_on_arrival(disordered):
+    ev, read, _ = disordered
+    last = ev[-1][3] + 10_000
+    s = PatternDefinition("s", "sequence", ("a", "b", "c"), 40)
+    f = PatternDefinition("f", "frequency", ("a", "b"), 30, min_occurrences=3)
+    a = PatternDefinition("a", "absence", ("a", "c"), 25)
+    out = drain(stream_patterns(read(), PatternSet((s, f, a)), 120)).cache()
+    by = lambda n: found(out.filter(F.col("pattern_name") == n))
+    assert by("s") == replay.sequence(ev, ("a", "b", "c"), 40)
+    assert by("f") == replay.frequency(ev, ("a", "b"), 3, 30)
+    assert by("a") == replay.absence(ev, "a", "c", 25, last)
+
+
+def test_capped_sessions_do_not_depend_on_arrival(disordered):
+    _, read, batch = disordered
+    fs = FeatureSet(tuple(
+        FeatureDefinition(f"{a}_c", a, "session", 0, "v", session_gap_seconds=20, max_session_seconds=50, allowed_lateness_seconds=0)
+        for a in ("count", "sum", "avg", "stddev", "first_value", "last_value")
+    ))
+    want = [r for r in tidy(fs.compute(batch)) if r[1] != "z"]
+    assert tidy(drain(stream_all(fs, read(), 120))) == want
+
+
 def found(alerts):
     rows = alerts.select("entity_id", to_epoch(F.col("match_ts")).alias("t"), F.transform("matched_events", lambda e: e["event_id"].cast("int")).alias("ids"))
     return sorted((r.entity_id, r.t, tuple(r.ids)) for r in rows.collect())

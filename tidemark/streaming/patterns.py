@@ -1,12 +1,12 @@
 """Event patterns on streams (CEP-1..10): a small state machine per key, with event-time timers.
 
-State per key is bounded by the pattern's definition: the steps matched so far, one pending trigger, or fewer than n
-recent events. Rows of a micro-batch are put in (ts, arrival) order per key before they are applied.
+Events wait until the watermark has passed them and are applied in (ts, arrival) order, whichever micro-batch brought
+them, so the alerts are those of the batch operators. Besides the waiting events, state per key is bounded by the
+pattern's definition: the steps matched so far, one pending trigger, or fewer than n recent events.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 from typing import Any
 
@@ -14,10 +14,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
 from tidemark.functions.columns import interval
 from tidemark.plans.patterns import PatternDefinition, PatternSet, as_alerts, event_struct, pattern_events, threshold
+from tidemark.streaming.ordered import OrderedProcessor
 
 STATE = "us array<bigint>, ids array<string>, types array<string>"
 MATCH = T.StructType([
@@ -31,19 +32,17 @@ MATCH = T.StructType([
 Event = tuple[int, str, str]
 
 
-class PatternMachine(StatefulProcessor):
-    """Common part: ordered input, kept events in state, one timer that ends their validity."""
+class PatternMachine(OrderedProcessor):
+    """Common part: kept events in state, and the time that ends their validity."""
 
-    def __init__(self, types: tuple[str, ...], window_us: int, occurrences: int = 1) -> None:
+    def __init__(self, types: tuple[str, ...], window_us: int, occurrences: int = 1, seq_type: str = "string") -> None:
+        super().__init__([("us", "bigint"), ("seq", seq_type), ("event_id", "string"), ("event_type", "string")])
         self.types, self.window_us, self.occurrences = types, window_us, occurrences
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.kept = handle.getValueState("kept", STATE)
 
-    def close(self) -> None:
-        pass
-
     def step(self, kept: list[Event], e: Event) -> tuple[list[Event], list[tuple[int, list[Event]]]]:
         """New kept events and matches as (time, events)."""
         raise NotImplementedError
@@ -52,46 +51,33 @@ class PatternMachine(StatefulProcessor):
         """Matches when the window of the kept events has passed."""
         return []
 
-    def _load(self) -> list[Event]:
-        if not self.kept.exists():
-            return []
-        us, ids, types = self.kept.get()
-        return [(int(u), i, t) for u, i, t in zip(us, ids, types, strict=True)]
-
-    def _save(self, kept: list[Event]) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if not kept:
-            self.kept.clear()
-            return
-        self.kept.update(([e[0] for e in kept], [e[1] for e in kept], [e[2] for e in kept]))
-        self.handle.registerTimer(-(-(self.valid_until(kept)) // 1000))
-
     def valid_until(self, kept: list[Event]) -> int:
         return kept[0][0] + self.window_us
 
-    def _frame(self, key: Any, found: list[tuple[int, list[Event]]]) -> Iterator[pd.DataFrame]:
-        if found:
-            rows = [
-                {"entity_id": key[0], "match_us": t, "us": [e[0] for e in es], "ids": [e[1] for e in es], "types": [e[2] for e in es]}
-                for t, es in found
-            ]
-            yield pd.DataFrame(rows, columns=MATCH.names)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        batch = pd.concat(list(rows)).sort_values(["us", "seq"], kind="stable")
-        kept, found = self._load(), []
-        for us, event_id, event_type in zip(batch["us"], batch["event_id"], batch["event_type"], strict=True):
-            kept, matches = self.step(kept, (int(us), event_id, event_type))
+    def advance(self, key, events, until_us):
+        kept: list[Event] = []
+        if self.kept.exists():
+            us, ids, types = self.kept.get()
+            kept = [(int(u), i, t) for u, i, t in zip(us, ids, types, strict=True)]
+        found: list[tuple[int, list[Event]]] = []
+        for us, _, event_id, event_type in events:
+            kept, matches = self.step(kept, (us, event_id, event_type))
             found.extend(matches)
-        self._save(kept)
-        yield from self._frame(key, found)
+        if kept and self.valid_until(kept) <= until_us:
+            found.extend(self.expire(kept))
+            kept = []
+        if kept:
+            self.kept.update(([e[0] for e in kept], [e[1] for e in kept], [e[2] for e in kept]))
+        else:
+            self.kept.clear()
+        rows = [
+            {"entity_id": key[0], "match_us": t, "us": [e[0] for e in es], "ids": [e[1] for e in es], "types": [e[2] for e in es]}
+            for t, es in found
+        ]
+        return rows, self.valid_until(kept) if kept else None
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        kept = self._load()
-        found = self.expire(kept) if kept else []
-        self._save([])
-        yield from self._frame(key, found)
+    def frame(self, rows: list[dict[str, Any]]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=MATCH.names)
 
 
 class SequenceMachine(PatternMachine):
@@ -149,8 +135,9 @@ def stream_pattern(events: DataFrame, p: PatternDefinition, delay_seconds: float
         "entity_id", "event_id", "event_type", F.col("__us").alias("us"), "seq", F.timestamp_micros("__us").alias("ts")
     )
     rows = rows.withWatermark("ts", interval(delay_seconds))
+    seq_type = rows.schema["seq"].dataType.simpleString()
     found = rows.groupBy("entity_id").transformWithStateInPandas(
-        machine(tuple(types), p.window_micros, max(p.min_occurrences, 1)), MATCH, "Append", "EventTime"
+        machine(tuple(types), p.window_micros, max(p.min_occurrences, 1), seq_type), MATCH, "Append", "EventTime"
     )
     entries = F.transform(
         F.arrays_zip("us", "ids", "types"), lambda e: event_struct(e["us"], e["ids"], e["types"])

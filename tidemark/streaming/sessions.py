@@ -1,63 +1,68 @@
-"""Sessions with a length limit on streams (WIN-4): state and an event-time timer per key."""
+"""Sessions with a length limit on streams (WIN-4): state and an event-time timer per key.
+
+Events are applied in time order once the watermark has passed them, so sessions, first and last values are those of
+the batch operator. State per key is one open session besides the waiting events.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
 from tidemark.functions.windows import SessionRule
+from tidemark.streaming.ordered import OrderedProcessor
 
-SUPPORTED = ("count", "sum", "avg", "min", "max", "first_value", "last_value")
+SUPPORTED = ("count", "sum", "avg", "min", "max", "stddev", "first_value", "last_value")
 
-STATE = "start bigint, last bigint, n array<bigint>, s array<double>, lo array<double>, hi array<double>, first array<double>, newest array<double>"
+# Per feature: count, sum, smallest, largest, first, last, and mean and squared deviations for the spread.
+PARTS = ("n", "s", "lo", "hi", "first", "newest", "mean", "m2")
+STATE = "start bigint, last bigint, n array<bigint>, " + ", ".join(f"{c} array<double>" for c in PARTS[1:])
 OUT = T.StructType([
     T.StructField("entity_id", T.StringType()),
     T.StructField("start", T.LongType()),
     T.StructField("last", T.LongType()),
-    *[T.StructField(c, T.ArrayType(T.LongType() if c == "n" else T.DoubleType())) for c in ("n", "s", "lo", "hi", "first", "newest")],
+    *[T.StructField(c, T.ArrayType(T.LongType() if c == "n" else T.DoubleType())) for c in PARTS],
 ])
 
 
-class CappedSessions(StatefulProcessor):
+class CappedSessions(OrderedProcessor):
     """Keeps the open session of a key and emits it when it is over."""
 
     def __init__(self, width: int, join_us: int, gap_us: int, max_us: int) -> None:
+        super().__init__([("us", "bigint"), ("seq", "string"), ("v", "array<double>")])
         self.width, self.join_us, self.gap_us, self.max_us = width, join_us, gap_us, max_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.open = handle.getValueState("session", STATE)
 
-    def close(self) -> None:
-        pass
-
-    def _end(self, s: dict[str, Any]) -> int:
-        return min(s["last"] + self.gap_us, s["start"] + self.max_us)
+    def _over(self, s: dict[str, Any]) -> int:
+        """When the session has ended and nothing can join it any more."""
+        end = min(s["last"] + self.gap_us, s["start"] + self.max_us)
+        return max(end, min(s["last"] + self.join_us, s["start"] + self.max_us) + 1)
 
     def _load(self) -> dict[str, Any] | None:
         if not self.open.exists():
             return None
-        names = ("start", "last", "n", "s", "lo", "hi", "first", "newest")
-        row = dict(zip(names, self.open.get(), strict=True))
+        row = dict(zip(("start", "last", *PARTS), self.open.get(), strict=True))
         return {k: (int(v) if k in ("start", "last") else list(v)) for k, v in row.items()}
 
     def _fresh(self, us: int) -> dict[str, Any]:
-        empty = [None] * self.width
-        return {
-            "start": us, "last": us, "n": [0] * self.width, "s": [0.0] * self.width, "lo": list(empty), "hi": list(empty),
-            "first": list(empty), "newest": list(empty),
-        }
+        made: dict[str, Any] = {"start": us, "last": us}
+        for c in PARTS:
+            made[c] = [0] * self.width if c == "n" else [0.0 if c in ("s", "mean", "m2") else None] * self.width
+        return made
 
     def _add(self, s: dict[str, Any], us: int, values: Sequence[float | None]) -> None:
         s["last"] = max(s["last"], us)
         for i, v in enumerate(values):
-            if v is None or pd.isna(v):
+            if v is None or v != v:
                 continue
             v = float(v)
             if s["n"][i] == 0:
@@ -65,16 +70,13 @@ class CappedSessions(StatefulProcessor):
             s["n"][i] += 1
             s["s"][i] += v
             s["lo"][i], s["hi"][i], s["newest"][i] = min(s["lo"][i], v), max(s["hi"][i], v), v
+            off = v - s["mean"][i]
+            s["mean"][i] += off / s["n"][i]
+            s["m2"][i] += off * (v - s["mean"][i])
 
-    def _frame(self, key: Any, done: list[dict[str, Any]]) -> Iterator[pd.DataFrame]:
-        if done:
-            yield pd.DataFrame([{"entity_id": key[0], **s} for s in done], columns=OUT.names)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        batch = pd.concat(list(rows)).sort_values(["us", "seq"], kind="stable")
+    def advance(self, key, events, until_us):
         s, done = self._load(), []
-        for us, values in zip(batch["us"], batch["v"], strict=True):
-            us = int(us)
+        for us, _, values in events:
             if s is not None and us - s["last"] <= self.join_us and us <= s["start"] + self.max_us:
                 self._add(s, us, values)
                 continue
@@ -82,18 +84,27 @@ class CappedSessions(StatefulProcessor):
                 done.append(s)
             s = self._fresh(us)
             self._add(s, us, values)
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.open.update(tuple(s[k] for k in ("start", "last", "n", "s", "lo", "hi", "first", "newest")))
-        # The session is certainly over once nothing can join it any more.
-        over = max(self._end(s), min(s["last"] + self.join_us, s["start"] + self.max_us) + 1)
-        self.handle.registerTimer(-(-over // 1000))
-        yield from self._frame(key, done)
+        if s is not None and self._over(s) <= until_us:
+            done.append(s)
+            s = None
+        if s is None:
+            self.open.clear()
+        else:
+            self.open.update(tuple(s[k] for k in ("start", "last", *PARTS)))
+        return [{"entity_id": key[0], **d} for d in done], None if s is None else self._over(s)
+
+    def frame(self, rows: list[dict[str, Any]]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=OUT.names)
+
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        s = self._load()
-        self.open.clear()
-        yield from self._frame(key, [s] if s is not None else [])
+def _arrival(rows: DataFrame) -> Column:
+    """The arrival part of the order, as text that sorts like it."""
+    if "__order" not in rows.columns:
+        return F.lit("")
+    if isinstance(rows.schema["__order"].dataType, T.StructType):
+        return F.col("__order.s").cast("string")
+    number = F.expr("pmod(__order, cast('20000000000000000000' as decimal(38,0)))")
+    return F.lpad(number.cast("decimal(20,0)").cast("string"), 20, "0")
 
 
 def capped_sessions(rows: DataFrame, features: Sequence[Any], rule: SessionRule) -> DataFrame:
@@ -103,9 +114,8 @@ def capped_sessions(rows: DataFrame, features: Sequence[Any], rule: SessionRule)
     unsupported = [f.name for f in features if f.aggregation not in SUPPORTED]
     if unsupported:
         raise ValueError(f"not available for length-limited sessions on streams: {unsupported}")
-    seq = F.col("__order").cast("string") if "__order" in rows.columns else F.lit("")
     cols = [F.col(f"v{i}") for i in range(len(features))]
-    slim = rows.select("entity_id", "ts", F.unix_micros("ts").alias("us"), seq.alias("seq"), F.array(*cols).alias("v"))
+    slim = rows.select("entity_id", "ts", F.unix_micros("ts").alias("us"), _arrival(rows).alias("seq"), F.array(*cols).alias("v"))
     done = slim.groupBy("entity_id").transformWithStateInPandas(
         CappedSessions(len(features), rule.join_micros, rule.gap_micros, rule.max_micros), OUT, "Append", "EventTime"
     )
@@ -113,7 +123,12 @@ def capped_sessions(rows: DataFrame, features: Sequence[Any], rule: SessionRule)
     entries = []
     for i, f in enumerate(features):
         n = F.col("n")[i]
-        v = F.col("s")[i] / n if f.aggregation == "avg" else F.col(pick[f.aggregation])[i].cast("double")
+        if f.aggregation == "avg":
+            v = F.col("s")[i] / n
+        elif f.aggregation == "stddev":
+            v = F.when(n > 1, F.sqrt(F.col("m2")[i] / (n - 1))).otherwise(F.lit(0.0))
+        else:
+            v = F.col(pick[f.aggregation])[i].cast("double")
         entries.append(F.struct(F.lit(f.name).alias("feature_name"), v.alias("feature_value"), n.alias("event_count")))
     return (
         done.select(
