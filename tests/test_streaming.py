@@ -219,7 +219,7 @@ def test_progress_log(spark, source):
     from tidemark.streaming.progress import ProgressLog
 
     _, read, _ = source
-    log = ProgressLog()
+    log = ProgressLog(spark)
     spark.streams.addListener(log)
     try:
         drain(read().select("event_id"))

@@ -6,6 +6,7 @@ Times are returned as epoch microseconds and doubles are rounded to 6 digits, so
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tidemark.plans.patterns import PatternDefinition, PatternSet, alert_summary
 from tidemark.sources import wire
 from tidemark.sources.events import map_columns, parse_json_records, to_json_records
 from tidemark.streaming.features import stream_all
-from tidemark.streaming.patterns import stream_patterns
+from tidemark.streaming.patterns import stream_pattern, stream_patterns
 from tidemark.streaming.run import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,7 @@ HOUR, DAY = 3600, 86_400
 US = 1_000_000
 NOW_US = 1_706_659_200 * US  # 2024-01-31 00:00 UTC, after the last event
 MID_US = 1_705_320_000 * US  # 2024-01-15 12:00 UTC
+MID = datetime.fromtimestamp(MID_US // US, timezone.utc)
 AGGS = (
     "count", "sum", "avg", "min", "max", "distinct_count", "percentile", "stddev", "first_value", "last_value",
 )
@@ -389,13 +391,22 @@ def features_keyed_by_property(spark, d):
 
 @query(
     "backfill_range",
-    f"""WITH {EV} SELECT entity_id, us - us % {DAY * US} AS window_start_us, us - us % {DAY * US} + {DAY * US} AS window_end_us,
-    round(sum(value), 6) AS feature_value, count(*) AS event_count FROM ev
-    WHERE us >= {MID_US} - 7 * {DAY * US} AND us < {MID_US} GROUP BY ALL""",
+    f"""WITH {EV}, w AS (SELECT entity_id, us - us % {DAY * US} AS window_start_us, us - us % {DAY * US} + {DAY * US} AS window_end_us,
+      round(sum(value), 6) AS feature_value, count(*) AS event_count FROM ev GROUP BY ALL)
+    SELECT * FROM w WHERE window_start_us >= {MID_US} - 7 * {DAY * US} AND window_end_us <= {MID_US}""",
 )
 def backfill_range(spark, d):
-    ev = events(spark, d)
-    return tidy(monitor.backfill(DAILY_SUM, ev, moment(MID_US), 7))
+    return tidy(monitor.backfill(DAILY_SUM, events(spark, d), MID, 7))
+
+
+@query(
+    "backfill_sessions",
+    f"""SELECT * FROM ({SQL_CAPPED.replace("AGG", SQL_AGG["sum"])})
+    WHERE window_start_us >= {MID_US} - 7 * {DAY * US} AND window_end_us < {MID_US}""",
+)
+def backfill_sessions(spark, d):
+    f = feature("sum", "session", session_gap_seconds=GAP, max_session_seconds=CAP)
+    return tidy(monitor.backfill(FeatureSet((f,)), events(spark, d), MID, 7))
 
 
 # --- lateness ------------------------------------------------------------------------------------------------------
@@ -1217,23 +1228,66 @@ _register_streams()
 # A session is emitted when a later event of the user closes it, or when the watermark passes its end.
 SQL_STREAM_CAPPED = f"""SELECT * EXCLUDE (nxt) FROM (
     SELECT *, lead(window_start_us) OVER (PARTITION BY entity_id ORDER BY window_start_us) AS nxt
-    FROM ({SQL_CAPPED.replace("AGG", SQL_AGG["count"])}))
+    FROM (CAPPED))
     WHERE nxt IS NOT NULL
+          AND nxt <= (SELECT (max(epoch_us(ts)) // 1000) * 1000 - {630 * US} FROM events)
        OR window_end_us + 1 <= (SELECT (max(epoch_us(ts)) // 1000) * 1000 - {630 * US} FROM events)"""
 
 
-@query("stream_session_capped", SQL_STREAM_CAPPED)
-def stream_session_capped(spark, d):
-    f = feature("count", "session", session_gap_seconds=GAP, max_session_seconds=CAP)
-    return _drained(FeatureSet((f,)), spark, d)
+def _register_capped_streams() -> None:
+    for agg in ("count", "stddev", "first_value", "last_value"):
+        f = feature(agg, "session", session_gap_seconds=GAP, max_session_seconds=CAP)
+        name = "stream_session_capped" + ("" if agg == "count" else f"_{agg}")
+        query(name, SQL_STREAM_CAPPED.replace("CAPPED", SQL_CAPPED.replace("AGG", SQL_AGG[agg])))(
+            lambda spark, d, f=f: _drained(FeatureSet((f,)), spark, d)
+        )
+
+
+_register_capped_streams()
+
+
+# Arrival is up to an hour after the event; one write per week of arrivals, so files can bring events in any order
+# within a week, and the watermark waits for eight days.
+WAIT = 8 * DAY
+
+
+def disordered_stream(spark: SparkSession, d: str) -> DataFrame:
+    raw = table(spark, d, "events")
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(3600)) * US
+    late = raw.withColumn("__week", F.floor(arrival / (7 * DAY * US)))
+    path = runtime.scratch_path(spark, "disordered")
+    first, last = late.agg(F.min("__week"), F.max("__week")).first()
+    for week in range(first, last + 1) if first is not None else ():
+        late.filter(F.col("__week") == week).drop("__week").write.mode("append").parquet(path)
+    return as_events(spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path))
+
+
+def _passed(sql: str, column: str, types: tuple[str, ...]) -> str:
+    """Rows that the watermark of the pattern's own events has passed."""
+    kinds = ", ".join(f"'{t}'" for t in types)
+    return f"""SELECT * FROM ({sql}) WHERE {column} <=
+    (SELECT (max(epoch_us(ts)) // 1000) * 1000 - {WAIT * US} FROM events WHERE event_type IN ({kinds}))"""
+
+
+def _register_disordered() -> None:
+    for name, p in (("sequence", SEQUENCE), ("absence", ABSENCE), ("frequency", FREQUENCY)):
+        query(f"stream_{name}_disordered", _passed(ORACLES[f"cep_{name}"], "match_ts_us", p.event_types))(
+            lambda spark, d, p=p: shown(drain(stream_pattern(disordered_stream(spark, d), p, WAIT)))
+        )
+    f = feature("last_value", "session", session_gap_seconds=GAP, max_session_seconds=CAP)
+    sql = SQL_STREAM_CAPPED.replace("CAPPED", SQL_CAPPED.replace("AGG", SQL_AGG["last_value"])).replace(str(630 * US), str((WAIT + 30) * US))
+    query("stream_session_disordered", sql)(lambda spark, d: tidy(drain(stream_all(FeatureSet((f,)), disordered_stream(spark, d), WAIT))))
+
+
+_register_disordered()
 
 
 @query(
     "stream_patterns",
-    f"""SELECT 'browse_to_purchase' AS pattern_name, entity_id, t2 AS match_ts_us FROM ({SQL_SEQ} SELECT * FROM m)
-    UNION ALL SELECT 'abandoned', entity_id, due FROM ({SQL_ABS} SELECT * FROM m)
-      WHERE due <= (SELECT (max(epoch_us(ts)) // 1000) * 1000 FROM events)
-    UNION ALL SELECT 'rapid_clicks', entity_id, us FROM ({SQL_FREQ} SELECT * FROM s WHERE hit)
+    f"""WITH w AS (SELECT (max(epoch_us(ts)) // 1000) * 1000 AS upto FROM events WHERE event_type = 'click')
+    SELECT 'browse_to_purchase' AS pattern_name, entity_id, t2 AS match_ts_us FROM ({SQL_SEQ} SELECT * FROM m), w WHERE t2 <= upto
+    UNION ALL SELECT 'abandoned', entity_id, due FROM ({SQL_ABS} SELECT * FROM m), w WHERE due <= upto
+    UNION ALL SELECT 'rapid_clicks', entity_id, us FROM ({SQL_FREQ} SELECT * FROM s WHERE hit), w WHERE us <= upto
     UNION ALL SELECT 'high_value', CAST(user_id AS VARCHAR), epoch_us(ts) FROM events WHERE event_type = 'purchase' AND value >= 200""",
 )
 def patterns_on_stream(spark, d):

@@ -36,7 +36,7 @@ def greedy_chain(
     """Selected points as (keys, x). ``points`` holds distinct (keys, x) with an integral ``x``.
 
     ``bounded`` says that no key holds more than ``limit`` points, ``few`` that besides no key has more than ``fold``
-    selected ones: then every island can be folded, and nothing needs to be counted.
+    selected ones. Islands are folded up to ``fold`` points in any case.
     """
     keys, fold = list(keys), FOLD_ROWS if fold is None else fold
     points = points.select(*keys, x)
@@ -53,7 +53,7 @@ def greedy_chain(
     rest = seen.filter(here - F.col("__island") >= F.lit(distance)).select(*keys, "__island", x)
 
     group = [*keys, "__island"]
-    big = None if bounded and few else hot_groups(rest, group, fold)
+    big = hot_groups(rest, group, fold)
     small_rest = rest
     if big is not None:
         small_rest = join_on(rest, big.select(*group), group, "left_anti")

@@ -18,14 +18,14 @@ from tidemark.operators.slices import Running, running, with_slices
 def ranked_percentile(rows: DataFrame, group: Sequence[str], v: str, percentile: float, limit: int | None = None) -> DataFrame:
     """(group, value, n): linear interpolation at ``percentile / 100 * (n - 1)``, by distributed ranking."""
     group = list(group)
-    rows = rows.filter(F.col(v).isNotNull()).select(*group, v)
-    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    # Equal values are counted first: prices and counts have few distinct values, and a hot value becomes one row.
+    rows = rows.filter(F.col(v).isNotNull()).groupBy(*group, v).agg(F.count(F.lit(1)).alias("__times"))
+    counts = rows.groupBy(*group).agg(F.sum("__times").alias("n"))
     cut, piece = with_slices(rows, group, v, limit)
-    ranked = running(cut, group, [v], piece, {"__rank": Running("sum", F.lit(1))})
+    ranked = running(cut, group, [v], piece, {"__rank": Running("sum", F.col("__times"))})
     at = F.lit(percentile / 100.0) * (F.col("n") - 1)
-    picked = join_on(ranked, counts, group).filter(
-        (F.col("__rank") == F.floor(at) + 1) | (F.col("__rank") == F.ceil(at) + 1)
-    )
+    holds = lambda r: (F.col("__rank") >= r) & (F.col("__rank") - F.col("__times") < r)
+    picked = join_on(ranked, counts, group).filter(holds(F.floor(at) + 1) | holds(F.ceil(at) + 1))
     fraction = F.lit(percentile / 100.0) * (F.col("n") - 1) - F.floor(F.lit(percentile / 100.0) * (F.col("n") - 1))
     return (
         picked.groupBy(*group, "n")

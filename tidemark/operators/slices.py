@@ -10,6 +10,7 @@ Slices are derived from exact counts, minima and maxima, so a recomputed task al
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -24,7 +25,6 @@ from tidemark.operators.joins import join_on
 
 # A range with too many rows is cut into this many cells per slice wanted.
 CELLS_PER_SLICE = 4
-MAX_DEPTH = 10
 
 
 def _axis(df: DataFrame, order: str) -> Column:
@@ -58,18 +58,19 @@ def with_slices(
     nodes = df.groupBy(*keys).agg(*measures).filter(F.col("__n") > limit).withColumn("__path", F.lit([]).cast("array<bigint>"))
     levels: list[DataFrame] = []
     leaves: list[DataFrame] = []
-    for depth in range(MAX_DEPTH + 1):
+    for depth in itertools.count():
         # Cells that are too full are cut into equal parts of their own range, again and again: a burst ends up in
         # cells as narrow as it needs.
-        too_full = (F.col("__n") > limit) & (F.col("__hi") > F.col("__lo"))
-        split = runtime.pin_if_any(nodes.filter(too_full)) if depth < MAX_DEPTH else None
+        # A cell is left whole only if it holds a single order value, or values too close together to tell apart.
+        cells = F.ceil(F.col("__n") / F.lit(limit)) * CELLS_PER_SLICE
+        step = ((F.col("__hi") - F.col("__lo")) / cells).cast("double")
+        too_full = (F.col("__n") > limit) & (F.col("__hi") > F.col("__lo")) & (F.col("__lo").cast("double") + step > F.col("__lo").cast("double"))
+        split = runtime.pin_if_any(nodes.filter(too_full))
         if split is None:
             leaves.append(nodes.select(*keys, "__path"))
             break
         if levels:
             leaves.append(nodes.filter(~too_full).select(*keys, "__path"))
-        cells = F.ceil(F.col("__n") / F.lit(limit)) * CELLS_PER_SLICE
-        step = ((F.col("__hi") - F.col("__lo")) / cells).cast("double")
         levels.append(
             runtime.broadcast_if_small(split.select(*keys, "__path", F.col("__lo").alias("__from"), step.alias("__step")))
         )

@@ -226,11 +226,23 @@ MAX_LOOKBACK_DAYS = 365
 
 
 def backfill(features: FeatureSet, events: DataFrame, until: datetime, lookback_days: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:
-    """The same features over a past range [until - lookback, until) (BF-1)."""
+    """The windows and sessions that lie wholly in a past range [until - lookback, until), from all their events (BF-1).
+
+    Windows of a fixed size have their events in the range. Where a session begins depends on the events before it, so
+    session features read the events before the range too; a session is over when the range ends after its last gap.
+    """
     if not 0 < lookback_days <= MAX_LOOKBACK_DAYS:
         raise ValueError(f"lookback must be between 1 and {MAX_LOOKBACK_DAYS} days")
-    since = until - timedelta(days=lookback_days)
-    return features.compute(events.filter((F.col("ts") >= F.lit(since)) & (F.col("ts") < F.lit(until))))
+    start, end = F.lit(until - timedelta(days=lookback_days)), F.lit(until)
+    before = events.filter(F.col("ts") < end)
+    parts = []
+    for sessions in (False, True):
+        own = tuple(f for f in features.definitions if (f.window_type == "session") == sessions)
+        if own:
+            made = FeatureSet(own).compute(before if sessions else before.filter(F.col("ts") >= start))
+            over = F.col("window_end") < end if sessions else F.col("window_end") <= end
+            parts.append(made.filter((F.col("window_start") >= start) & over))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def reconcile(

@@ -10,12 +10,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import from_epoch, to_epoch
 
-# The event vocabulary. It documents the input and is not enforced.
-EVENT_TYPES = (
-    "page_view", "search", "add_to_cart", "remove_from_cart", "purchase",
-    "checkout_start", "product_click", "wishlist_add", "login", "logout",
-)
-
 # An event as a JSON record; properties stay JSON text.
 RECORD = T.StructType([
     T.StructField("event_id", T.StringType()),

@@ -44,7 +44,9 @@ PARTITION_STRATEGIES = ("key_hash", "entity_based", "feature_group", "round_robi
 
 def header(version: Column) -> Column:
     """The 5 header bytes of a schema version."""
-    return F.concat(F.lit(MAGIC), F.unhex(F.lpad(F.hex(version.cast("bigint")), 8, "0")))
+    v = version.cast("bigint")
+    fits = F.when(v.between(0, 2**32 - 1), v).otherwise(F.raise_error(F.concat(F.lit("schema version out of range: "), v.cast("string"))))
+    return F.concat(F.lit(MAGIC), F.unhex(F.lpad(F.hex(fits), 8, "0")))
 
 
 def partition_key(strategy: str = "key_hash", explicit: Column | None = None) -> Column:
@@ -112,7 +114,7 @@ def decode(messages: DataFrame, defaults: Mapping[int, Mapping[str, Any]] = DEFA
     value = F.col("value")
     magic_ok = F.substring(value, 1, 1) == F.lit(MAGIC)
     version = F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("bigint")
-    text = F.try_validate_utf8(F.substring(value, HEADER_BYTES + 1, 1 << 30).cast("string"))
+    text = F.try_validate_utf8(F.substring(value, F.lit(HEADER_BYTES + 1), F.length(value)).cast("string"))
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     transport = [c for c in ("topic", "partition", "offset") if c in messages.columns]
     parsed = messages.select(

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections import deque
+import json
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
+from tidemark import runtime
+
 SAMPLE = T.StructType([
     T.StructField("ts", T.TimestampType()),
     T.StructField("kind", T.StringType()),
@@ -18,10 +21,21 @@ SAMPLE = T.StructType([
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects a few numbers per micro-batch; the oldest are forgotten beyond ``keep`` samples."""
+    """Appends a few numbers per micro-batch to a folder, one small JSON file each; the driver keeps nothing.
+
+    Without a path a new folder is made in the shared one. Read it with ``frame`` or as a table of its own.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None) -> None:
+        self._spark = spark
+        self.path = path or runtime.scratch_path(spark, "progress")
 
-    def __init__(self, keep: int = 20_000) -> None:
-        self._samples: deque[tuple[datetime, str, str, float]] = deque(maxlen=keep)
+    def _append(self, samples: list[tuple[datetime, str, str, float]]) -> None:
+        lines = "".join(json.dumps({"ts": t.isoformat(), "kind": k, "name": n, "value": v}) + "\n" for t, k, n, v in samples)
+        where = self._spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{uuid.uuid4().hex}.json")
+        out = where.getFileSystem(self._spark._jsc.hadoopConfiguration()).create(where)
+        out.write(bytearray(lines.encode()))
+        out.close()
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
@@ -49,13 +63,14 @@ class ProgressLog(StreamingQueryListener):
         if mark:
             reached = datetime.fromisoformat(mark.replace("Z", "+00:00"))
             numbers["watermark_lag_s"] = (at - reached).total_seconds()
-        for kind, value in numbers.items():
-            if value is not None and value == value:
-                self._samples.append((at, kind, name, float(value)))
+        self._append([(at, kind, name, float(v)) for kind, v in numbers.items() if v is not None and v == v])
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         pass
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """The samples so far; append them to a table to keep them."""
-        return spark.createDataFrame(list(self._samples), SAMPLE)
+        """The samples so far."""
+        where = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not where.getFileSystem(self._spark._jsc.hadoopConfiguration()).exists(where):
+            return spark.createDataFrame([], SAMPLE)
+        return spark.read.schema(SAMPLE).json(self.path)
