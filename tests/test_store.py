@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import from_epoch, to_epoch
 from tidemark.plans import dual, store
-from tidemark.streaming.sinks import FeatureStore, StoreSink, write_batch
+from tidemark.streaming.sinks import FeatureStore, StoreSink, committed, unit, write_batch
 
 
 def at(seconds):
@@ -164,24 +164,58 @@ def test_sink_is_replay_safe(spark, tmp_path):
     fs = FeatureStore(spark, str(tmp_path))
     assert pairs(fs.history().select("entity_id", "feature_name", "value")) == [("u", "f", 1), ("u", "f", 2)]
     assert pairs(fs.online()) == [("u", "f", 2)]
-    assert sink.metrics["batches"] == 2 and sink.metrics["records_written"] == 4
+    assert sink.metrics["batches"] == 1 and sink.metrics["records_written"] == 2
 
 
 def test_store_folder(spark, tmp_path):
     fs = FeatureStore(spark, str(tmp_path))
     assert fs.online().count() == 0 and fs.compact() == 0
     w = spark.createDataFrame([("u", "f", 1.0, 10), ("u", "g", 2.0, 9999), ("w", "f", 3.0, 9999)], "entity_id string, feature_name string, value double, ttl_seconds int")
-    assert fs.set_features(w, at(100)) == 0
-    assert fs.delete(spark.createDataFrame([("w",)], "entity_id string"), at(101)) == 1
+    assert fs.set_features(w, at(100)) != fs.delete(spark.createDataFrame([("w",)], "entity_id string"), at(101))
     assert pairs(fs.online()) == [("u", "f", 1), ("u", "g", 2)]
     assert fs.compact(at(200)) == 1
     assert pairs(fs.online()) == [("u", "g", 2)]
-    assert fs.set_features(w.limit(1), at(300)) == 2
+    fs.set_features(w.limit(1), at(300))
     assert pairs(fs.online()) == [("u", "f", 1), ("u", "g", 2)]
+    assert fs.compact(at(305)) == 0 and pairs(fs.online()) == [("u", "f", 1), ("u", "g", 2)]
+    assert len(committed(spark, f"{tmp_path}/online")) == 1  # the batches of the first snapshot are gone
     fs.export_snapshot(str(tmp_path / "snap"), at(305))
     assert spark.read.json(str(tmp_path / "snap")).count() == 1
 
 
+def test_writers_do_not_overwrite_each_other(spark, tmp_path):
+    fs, sink = FeatureStore(spark, str(tmp_path)), StoreSink(str(tmp_path))
+    w = spark.createDataFrame([("z", "f", 9.0)], "entity_id string, feature_name string, value double")
+    sink(computed(spark, ("u", "f", 1, 60)), 0)
+    fs.set_features(w)
+    sink(computed(spark, ("u", "f", 2, 120)), 1)
+    fs.delete(spark.createDataFrame([("u", "f")], "entity_id string, feature_name string"))
+    sink(computed(spark, ("v", "f", 3, 120)), 2)
+    assert pairs(fs.online()) == [("v", "f", 3), ("z", "f", 9)]
+    assert fs.history().filter("op = 'set'").count() == 4
+    before = sorted(map(str, fs.history().collect()))
+    sink(computed(spark, ("v", "f", 3, 120)), 2)
+    assert sorted(map(str, fs.history().collect())) == before
+    # A directory that was not written to its end is not read.
+    half = tmp_path / "online" / unit("crashed", 0) / "event_date=1970-01-01"
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_bytes(b"half")
+    assert pairs(fs.online()) == [("v", "f", 3), ("z", "f", 9)]
+
+
+def test_failed_online_writes_are_retried(spark, tmp_path):
+    def broken(df, path, batch):
+        if path.endswith("online"):
+            raise OSError("online is down")
+        write_batch(df, path, batch)
+
+    StoreSink(str(tmp_path), "sync_both", "queue_retry", writer=broken)(computed(spark, ("u", "f", 1, 60), ("u", "f", 2, 120)), 0)
+    fs = FeatureStore(spark, str(tmp_path))
+    assert fs.online().count() == 0 and fs.history().count() == 2
+    assert fs.retry_failed() == (1, 0) and pairs(fs.online()) == [("u", "f", 2)]
+    assert fs.retry_failed() == (0, 0)
+
+
 @pytest.mark.parametrize(("strategy", "policy", "online", "offline"), [
     ("sync_both", "best_effort", 1, 0), ("online_first", "queue_retry", 1, 0), ("offline_first", "best_effort", 1, 0),
 ])

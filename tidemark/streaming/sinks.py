@@ -1,11 +1,14 @@
 """Writing features from micro-batches (SINK-1..6, DUAL-1, DUAL-6, PIPE-10).
 
-Every micro-batch owns one directory per target, named after its batch id, and overwrites it. A repeated batch
-therefore leaves the same data, which makes the writes exactly-once without a table format.
+Every micro-batch owns one directory per target, named after its writer and batch id, and overwrites it; an ad-hoc write
+or deletion has a writer name of its own, so writers never share a directory. The time of a batch is stored before its
+first attempt and ties are decided by content, so a repeated batch leaves the same data. Only directories with a
+``_SUCCESS`` mark are read. Snapshots list the directories that they replace.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -30,26 +33,43 @@ STRATEGIES: dict[str, tuple[tuple[str, ...], bool]] = {
 FAILURES = ("fail_fast", "best_effort", "queue_retry")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write a batch into its own directory, by event date.
+def unit(writer: str, batch_id: int) -> str:
+    """The directory of one batch of one writer, below a target."""
+    return f"writer={writer}/batch_id={batch_id}"
+
+
+def write_batch(df: DataFrame, path: str, batch: str) -> None:
+    """Write a batch into its own directory ``batch`` (see ``unit``), by event date.
 
     Dates are spread over as many tasks as their size asks for, so one busy date is not written by one task. Files are
     sorted by key, so that lookups skip row groups.
     """
     dated = df.withColumn("event_date", F.to_date("event_time"))
     spread = dated.hint("rebalance", "event_date").sortWithinPartitions("event_date", *store.KEYS, "event_time")
-    spread.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/batch_id={batch_id}")
+    spread.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/{batch}")
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it is not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(where)) if fs.exists(where) else []
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All batches of a target; ``batch_id`` and ``event_date`` are partition columns."""
-    schema = T.StructType([*store.HISTORY.fields, T.StructField("batch_id", T.LongType()), T.StructField("event_date", T.DateType())])
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+def committed(spark: SparkSession, path: str) -> list[str]:
+    """The batches of a target that were written to their end."""
+    found = [f"{w}/{b}" for w in children(spark, path) if w.startswith("writer=") for b in children(spark, f"{path}/{w}")]
+    return [x for x in found if "_SUCCESS" in children(spark, f"{path}/{x}")]
+
+
+def read_batches(spark: SparkSession, path: str, batches: Sequence[str] | None = None) -> DataFrame:
+    """Batches of a target, all committed ones by default; ``writer``, ``batch_id`` and ``event_date`` are partition columns."""
+    extra = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType()), T.StructField("event_date", T.DateType())]
+    schema = T.StructType([*store.HISTORY.fields, *extra])
+    batches = committed(spark, path) if batches is None else batches
+    if not batches:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{b}" for b in batches])
 
 
 def as_writes(computed: DataFrame) -> DataFrame:
@@ -66,8 +86,9 @@ def as_writes(computed: DataFrame) -> DataFrame:
 class StoreSink:
     """A ``foreachBatch`` function that writes a batch of features to the online and offline targets.
 
-    ``on_failure``: ``fail_fast`` fails the batch, which Spark then repeats; ``best_effort`` goes on with the other
-    target; ``queue_retry`` also keeps what the offline target missed for ``retry_failed``.
+    ``on_failure``: ``fail_fast`` fails the batch, which Spark then repeats; ``best_effort`` and ``queue_retry`` go on
+    with the other target and keep what a target missed for ``retry_failed``. ``name`` tells this writer's batches from
+    those of others: streams that write to one store need different names.
     """
 
     path: str
@@ -77,7 +98,8 @@ class StoreSink:
     default_ttl: int | None = store.DEFAULT_TTL_SECONDS
     now: Column | None = None
     convert: Callable[[DataFrame], DataFrame] = as_writes
-    writer: Callable[[DataFrame, str, int], None] = write_batch
+    writer: Callable[[DataFrame, str, str], None] = write_batch
+    name: str = "stream"
     metrics: dict[str, int] = field(default_factory=lambda: {"records_written": 0, "batches": 0, "batch_errors": 0})
 
     def __post_init__(self) -> None:
@@ -87,18 +109,36 @@ class StoreSink:
             raise ValueError(f"unknown failure policy: {self.on_failure}")
 
     def __call__(self, computed: DataFrame, batch_id: int) -> None:
-        rows = store.records(self.convert(computed), self.now, self.ttl_seconds, self.default_ttl)
+        spark = computed.sparkSession
+        batch = unit(self.name, batch_id)
+        again = all(batch in committed(spark, f"{self.path}/{t}") for t in ("online", "offline"))
+        writes = self.convert(computed)
+        if "seq" not in writes.columns:
+            # Ties are decided by what is written, so a repeated batch decides them alike.
+            parts = [F.to_json(c) if isinstance(writes.schema[c].dataType, T.MapType) else F.col(c).cast("string") for c in writes.columns]
+            writes = writes.withColumn("seq", F.xxhash64(*parts))
+        rows = store.records(writes, self._time(spark, batch), self.ttl_seconds, self.default_ttl)
         # Repeats of the same window's feature within the batch count once (SINK-2).
         rows = dual.dedup(rows, [*store.KEYS, "event_time"])
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write(rows, batch_id)
-            self.metrics["records_written"] += rows.count()
-            self.metrics["batches"] += 1
+            self._write(rows, batch)
+            if not again:
+                self.metrics["records_written"] += rows.count()
+                self.metrics["batches"] += 1
         finally:
             rows.unpersist()
 
-    def _write(self, rows: DataFrame, batch_id: int) -> None:
+    def _time(self, spark: SparkSession, batch: str) -> Column:
+        """When the batch was first attempted: stored, so that a repeat has the same ingestion time."""
+        if self.now is not None:
+            return self.now
+        path = f"{self.path}/times/{batch}"
+        if "_SUCCESS" not in children(spark, path):
+            spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(path)
+        return F.timestamp_micros(F.lit(spark.read.parquet(path).select(F.unix_micros("at")).first()[0]))
+
+    def _write(self, rows: DataFrame, batch: str) -> None:
         targets, ordered = STRATEGIES[self.strategy]
         errors: list[tuple[str, Exception]] = []
         for target in targets:
@@ -107,7 +147,7 @@ class StoreSink:
             try:
                 # The online target only needs the last value per feature (SINK-3).
                 part = dual.last_per_feature(rows, F.struct("event_time", store.write_order())) if target == "online" else rows
-                self.writer(part, f"{self.path}/{target}", batch_id)
+                self.writer(part, f"{self.path}/{target}", batch)
             except Exception as e:  # noqa: BLE001
                 self.metrics["batch_errors"] += 1
                 errors.append((target, e))
@@ -116,8 +156,7 @@ class StoreSink:
         if self.on_failure == "fail_fast" or len(errors) == len(targets):
             raise errors[0][1]
         for target, _ in errors:
-            if self.on_failure == "best_effort" or target == "offline":
-                write_batch(rows, f"{self.path}/failed/{target}", batch_id)
+            write_batch(rows, f"{self.path}/failed/{target}", batch)
 
 
 @dataclass(frozen=True)
@@ -131,49 +170,56 @@ class FeatureStore:
         return read_batches(self.spark, f"{self.path}/offline").select(*store.HISTORY.names)
 
     def online_log(self) -> DataFrame:
-        """The last snapshot and every online batch after it."""
-        base = self._snapshot_version()
-        log = read_batches(self.spark, f"{self.path}/online")
-        if base is not None:
-            kept = self.spark.read.schema(store.HISTORY).parquet(f"{self.path}/snapshots/version={base}")
-            log = log.filter(F.col("batch_id") > base).select(*store.HISTORY.names).unionByName(kept)
-        return log.select(*store.HISTORY.names)
+        """The last snapshot and every online batch that it does not cover."""
+        base = self._snapshot()
+        if base is None:
+            return read_batches(self.spark, f"{self.path}/online").select(*store.HISTORY.names)
+        covered = set(self._covered(base))
+        rest = [b for b in committed(self.spark, f"{self.path}/online") if b not in covered]
+        kept = self.spark.read.schema(store.HISTORY).parquet(f"{self.path}/snapshots/{base}/data")
+        return read_batches(self.spark, f"{self.path}/online", rest).select(*store.HISTORY.names).unionByName(kept)
 
     def online(self) -> DataFrame:
         """The latest value of each key (FS-2)."""
         return store.online(self.online_log())
 
-    def set_features(self, writes: DataFrame, now: Column | None = None, ttl_seconds: int | None = None) -> int:
-        """Write values to both targets as a batch of its own; returns the batch id (FS-1, ON-1, OFF-1)."""
-        batch = self.next_batch()
-        StoreSink(self.path, ttl_seconds=ttl_seconds, now=now, convert=lambda df: df)(writes, batch)
-        return batch
+    def set_features(self, writes: DataFrame, now: Column | None = None, ttl_seconds: int | None = None) -> str:
+        """Write values to both targets under a writer name of its own, which is returned (FS-1, ON-1, OFF-1)."""
+        name = f"adhoc-{uuid.uuid4().hex}"
+        StoreSink(self.path, ttl_seconds=ttl_seconds, now=now, convert=lambda df: df, name=name)(writes, 0)
+        return name
 
-    def delete(self, targets: DataFrame, now: Column | None = None) -> int:
-        """Delete features or whole entities (FS-9, ON-4)."""
-        batch = self.next_batch()
+    def delete(self, targets: DataFrame, now: Column | None = None) -> str:
+        """Delete features or whole entities, under a writer name of its own (FS-9, ON-4)."""
+        name = f"delete-{uuid.uuid4().hex}"
         marks = store.tombstones(targets, now)
         for target in ("online", "offline"):
-            write_batch(marks, f"{self.path}/{target}", batch)
-        return batch
-
-    def next_batch(self) -> int:
-        """One more than the largest batch id; reads directory names only."""
-        ids = [self._largest(f"{self.path}/{t}") for t in ("online", "offline")]
-        return max((i for i in ids if i is not None), default=-1) + 1
+            write_batch(marks, f"{self.path}/{target}", unit(name, 0))
+        return name
 
     def compact(self, now: Column | None = None) -> int:
-        """Write a snapshot of the online state up to the last batch, without expired values; returns the number removed (FS-11).
+        """Write a snapshot of the online state, without expired values; returns the number removed (FS-11).
 
-        Deletions need no mark any more once the values they hide are gone.
+        Deletions need no mark any more once the values they hide are gone. The batches that the snapshot before this
+        one covered are removed from the folder, and that snapshot with them: readers that began with it had a whole
+        compaction's time.
         """
-        upto = self._largest(f"{self.path}/online")
-        if upto is None:
+        batches = committed(self.spark, f"{self.path}/online")
+        base = self._snapshot()
+        if not batches and base is None:
             return 0
         view = self.online()
         kept = view if now is None else store.unexpired(view, now)
         removed = 0 if now is None else store.expired(view, now).count()
-        kept.select(*store.HISTORY.names).write.mode("overwrite").parquet(f"{self.path}/snapshots/version={upto}")
+        version = 0 if base is None else int(base.split("=")[1]) + 1
+        path = f"{self.path}/snapshots/version={version}"
+        kept.select(*store.HISTORY.names).write.mode("overwrite").parquet(f"{path}/data")
+        covers = self.spark.createDataFrame([(b,) for b in batches], "batch string")
+        covers.write.mode("overwrite").parquet(f"{path}/covers")
+        if base is not None:
+            for b in self._covered(base):
+                self._remove(f"{self.path}/online/{b}")
+            self._remove(f"{self.path}/snapshots/{base}")
         return removed
 
     def export_snapshot(self, path: str, now: Column) -> None:
@@ -181,36 +227,36 @@ class FeatureStore:
         store.nested_snapshot(self.online(), now).write.mode("overwrite").json(path)
 
     def retry_failed(self) -> tuple[int, int]:
-        """Write batches the offline target missed; returns how many succeeded and failed (DUAL-6)."""
-        failed, done = f"{self.path}/failed/offline", f"{self.path}/offline"
-        missing = sorted(set(self._batches(failed)) - set(self._batches(done)))
+        """Write the batches that a target missed; returns how many succeeded and failed (DUAL-6)."""
         ok = bad = 0
-        for b in missing:
-            rows = read_batches(self.spark, failed).filter(F.col("batch_id") == b).select(*store.HISTORY.names)
-            try:
-                write_batch(rows, done, b)
-                ok += 1
-            except Exception:  # noqa: BLE001
-                bad += 1
+        for target in ("online", "offline"):
+            failed, done = f"{self.path}/failed/{target}", f"{self.path}/{target}"
+            written = set(committed(self.spark, done))
+            for b in committed(self.spark, failed):
+                if b in written:
+                    continue
+                rows = read_batches(self.spark, failed, [b]).select(*store.HISTORY.names)
+                part = dual.last_per_feature(rows, F.struct("event_time", store.write_order())) if target == "online" else rows
+                try:
+                    write_batch(part, done, b)
+                    ok += 1
+                except Exception:  # noqa: BLE001
+                    bad += 1
+                    continue
+                self._remove(f"{failed}/{b}")
         return ok, bad
 
-    def _batches(self, path: str) -> Sequence[int]:
-        """Batch ids of a target, from its directory names."""
-        return [int(n.split("=")[1]) for n in self._children(path) if n.startswith("batch_id=")]
-
-    def _largest(self, path: str) -> int | None:
-        return max(self._batches(path), default=None)
+    def _snapshot(self) -> str | None:
+        names = [n for n in children(self.spark, f"{self.path}/snapshots") if n.startswith("version=")]
+        whole = [n for n in names if "_SUCCESS" in children(self.spark, f"{self.path}/snapshots/{n}/covers")]
+        return max(whole, key=lambda n: int(n.split("=")[1]), default=None)
 
-    def _snapshot_version(self) -> int | None:
-        names = [n for n in self._children(f"{self.path}/snapshots") if n.startswith("version=")]
-        whole = [n for n in names if "_SUCCESS" in self._children(f"{self.path}/snapshots/{n}")]
-        return max((int(n.split("=")[1]) for n in whole), default=None)
+    def _covered(self, snapshot: str) -> list[str]:
+        return [r.batch for r in self.spark.read.schema("batch string").parquet(f"{self.path}/snapshots/{snapshot}/covers").collect()]
 
-    def _children(self, path: str) -> list[str]:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    def _remove(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def start(stream: DataFrame, sink: Callable[[DataFrame, int], Any], checkpoint: str, **trigger: Any) -> StreamingQuery:
