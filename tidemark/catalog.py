@@ -1165,15 +1165,15 @@ def dq_staleness(spark, d):
     b AS (SELECT feature_name, rn <= 1000 AS now, len(list_filter(e.e, lambda x: x < r.value)) AS bin FROM r JOIN e USING (feature_name)),
     g AS (SELECT n.feature_name, bins.bin, count(*) FILTER (b.now AND b.bin = bins.bin) AS a, count(*) FILTER (NOT b.now AND b.bin = bins.bin) AS z
           FROM (SELECT DISTINCT feature_name FROM b) n, (SELECT unnest(range(10)) AS bin) bins JOIN b ON b.feature_name = n.feature_name GROUP BY ALL),
-    t AS (SELECT feature_name, count(*) FILTER (now) AS current, count(*) FILTER (NOT now) AS baseline FROM b GROUP BY feature_name)
-    SELECT feature_name, current, baseline, round(sum(((a + 0.5) / (current + 5) - (z + 0.5) / (baseline + 5))
+    t AS (SELECT feature_name, count(*) FILTER (now) AS current, count(*) FILTER (NOT now) AS baseline FROM b GROUP BY feature_name),
+    p AS (SELECT feature_name, current, baseline, round(sum(((a + 0.5) / (current + 5) - (z + 0.5) / (baseline + 5))
       * ln(((a + 0.5) / (current + 5)) / ((z + 0.5) / (baseline + 5)))), 6) AS psi
-    FROM g JOIN t USING (feature_name) GROUP BY ALL""",
+    FROM g JOIN t USING (feature_name) GROUP BY ALL)
+    SELECT *, psi > 0.1 AS drifted FROM p""",
 )
 def dq_drift(spark, d):
-    kinds = ["click", "error", "purchase", "signup", "view"]
-    out = monitor.drift(as_computed(spark, d), kinds, tie="seq")
-    return out.select("feature_name", "current", "baseline", r6("psi").alias("psi"))
+    out = monitor.drift(as_computed(spark, d), tie="seq")
+    return out.select("feature_name", "current", "baseline", r6("psi").alias("psi"), "drifted")
 
 
 @query(

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark import runtime
 from tidemark.functions.columns import micros, shift
 from tidemark.plans.features import FeatureSet
 
@@ -178,20 +179,22 @@ def staleness(computed: DataFrame, now: Column, limit_seconds: float = 300.0, ti
 
 
 def drift(
-    values: DataFrame, names: Sequence[str], value: str = "feature_value", time: str = "window_end",
+    values: DataFrame, names: Sequence[str] | None = None, value: str = "feature_value", time: str = "window_end",
     tie: str = "entity_id", key: str = "feature_name", window: int = 1000, threshold: float = 0.1,
 ) -> DataFrame:
     """Population stability index of the last values against those before, on deciles of the latter (DQ-3).
 
-    Shares are smoothed by half a row per bin, so an empty bin is defined. A feature holds any number of values: each
-    is first cut to its last ``2 * window`` ones by a top-n, of which every task sends no more than that.
+    Shares are smoothed by half a row per bin, so an empty bin is defined. All features, or the named ones, are read in
+    one pass; a feature holds any number of values, and every task sends its last ``2 * window`` ones at most.
     """
-    newest = reduce(
-        DataFrame.unionByName, [_newest(values.filter(F.col(key) == n), 2 * window, time, tie) for n in names]
-    )
+    if names is not None:
+        values = values.filter(F.col(key).isin(*names))
     w = Window.partitionBy(key).orderBy(F.col(time).desc(), F.col(tie).desc())
-    ranked = newest.withColumn("__rank", F.row_number().over(w))
+    ranked = values.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= 2 * window)
     ranked = ranked.select(key, F.col(value).alias("__v"), (F.col("__rank") <= window).alias("__now"))
+    # Spark limits groups before the shuffle up to a size that is set by default to fewer rows.
+    with runtime.settings(values.sparkSession, {"spark.sql.optimizer.windowGroupLimitThreshold": str(2 * window)}):
+        ranked = runtime.pin(ranked)
     cuts = [i / PSI_BINS for i in range(1, PSI_BINS)]
     edges = ranked.filter(~F.col("__now")).groupBy(key).agg(F.percentile("__v", F.array(*[F.lit(c) for c in cuts])).alias("__e"))
     bins = ranked.join(edges, key).select(

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from tidemark import runtime
 from tidemark.functions.columns import shift, to_epoch
-from tidemark.operators.asof import as_of
 from tidemark.operators.joins import join_on
+from tidemark.operators.slices import Running, running, with_slices
 
 KEYS = ["entity_id", "feature_name"]
 DEFAULT_TTL_SECONDS = 3600
@@ -194,12 +194,30 @@ def at_time(
     feature leave the past as it was.
     """
     past = surviving(history).filter((F.col("op") == "set") & F.col("feature_name").isin(*names))
-    past = past.select(*KEYS, "value", "value_json", "event_time", "ingestion_time", "seq")
-    asks = spine.select("*", F.explode(F.array(*[F.lit(n) for n in names])).alias("feature_name"))
-    found = as_of(asks, past, KEYS, time, "event_time", ["ingestion_time", "seq"], row_limit=row_limit)
+    # With few entities asked for, the history of all others is discarded before anything is shuffled.
+    asked = spine.select("entity_id").distinct()
+    if asked.limit(runtime.BROADCAST_ROWS + 1).count() <= runtime.BROADCAST_ROWS:
+        past = join_on(past, asked, ["entity_id"], "left_semi", hint=True)
+    record, request = F.struct("value", "value_json", "event_time"), F.struct(*[F.col(c) for c in spine.columns])
+    none = lambda c, df: F.lit(None).cast(df.select(c.alias("c")).schema["c"].dataType)
+    writes = past.select(
+        "entity_id", F.unix_micros("event_time").alias("__us"), F.lit(0).alias("__side"), "ingestion_time", "seq",
+        F.col("feature_name").alias("__name"), record.alias("__record"), none(request, spine).alias("__request"),
+    )
+    asks = spine.select(
+        "entity_id", F.unix_micros(time).alias("__us"), F.lit(1).alias("__side"), F.lit(None).cast("timestamp").alias("ingestion_time"),
+        F.lit(None).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("__name"), none(record, past).alias("__record"),
+        request.alias("__request"),
+    )
+    # One ordered scan per entity carries the last record of every name, so a spine row is moved once.
+    both, piece = with_slices(writes.unionByName(asks), ["entity_id"], "__us", row_limit)
+    last = {f"__r{i}": Running("last", F.when(F.col("__name") == n, F.col("__record"))) for i, n in enumerate(names)}
+    found = running(both, ["entity_id"], ["__us", "__side", "ingestion_time", "seq"], piece, last).filter(F.col("__side") == 1)
+    each = F.array(*[F.struct(F.lit(n).alias("feature_name"), F.col(f"__r{i}").alias("record")) for i, n in enumerate(names)])
+    found = found.select("__request.*", F.explode(each).alias("__f"))
     return found.select(
-        *asks.columns, F.col("record.value").alias("value"), F.col("record.value_json").alias("value_json"),
-        F.col("record.event_time").alias("value_time"),
+        *spine.columns, F.col("__f.feature_name").alias("feature_name"), F.col("__f.record.value").alias("value"),
+        F.col("__f.record.value_json").alias("value_json"), F.col("__f.record.event_time").alias("value_time"),
     )
 
 
