@@ -35,10 +35,17 @@ def test_sliding(spark):
         W.sliding(F.col("ts"), 30, 60)
 
 
-def test_panes():
-    assert W.pane_seconds(86400, 21600) == 21600
-    assert W.pane_seconds(60, 25) == 5
-    assert W.pane_seconds(86400, 86399) is None
+def test_panes(spark):
+    for size, slide in ((86400, 21600), (60, 25), (86400, 86399), (7, 3)):
+        cut = -size % slide
+        for t in (-100_001, -1, 0, 5, 59, 86_400, 123_456):
+            base = t - t % slide
+            want = base + (cut if t % slide >= cut else 0)
+            got = spark.sql(f"select timestamp_seconds({t}) ts").select(F.unix_seconds(W.pane_start(F.col("ts"), size, slide))).first()[0]
+            assert got == want
+            # The pane is in the windows that the event is in: ends are multiples of the slide.
+            ends = [e for e in range(base - size - slide, base + size + 2 * slide, slide) if e % slide == 0]
+            assert [e for e in ends if e - size <= t < e] == [e for e in ends if e - size <= got < e]
 
 
 def test_ready_and_late(spark):

@@ -204,6 +204,8 @@ def _register_windows() -> None:
         "tumbling_offset", feature("sum", "tumbling", window_size_seconds=DAY, offset_seconds=6 * HOUR),
         sql_windows("sum", DAY, offset=6 * HOUR),
     )
+    for agg in ("distinct_count", "percentile"):
+        add(f"sliding_uneven_{agg}", feature(agg, "sliding", window_size_seconds=DAY, slide_seconds=7 * HOUR), sql_windows(agg, DAY, 7 * HOUR))
     add(
         "sliding_nondivisible", feature("sum", "sliding", window_size_seconds=DAY, slide_seconds=7 * HOUR),
         sql_windows("sum", DAY, 7 * HOUR),
@@ -498,7 +500,7 @@ def shown(alerts: DataFrame) -> DataFrame:
     ids = F.concat_ws(",", F.transform("matched_events", lambda e: e["event_id"]))
     return alerts.select(
         "pattern_name", "severity", "entity_id", us("match_ts"), "event_count",
-        r6("time_span_seconds").alias("time_span_seconds"), "message", ids.alias("event_ids"),
+        r6("time_span_seconds").alias("time_span_seconds"), "message", ids.alias("event_ids"), F.to_json("metadata").alias("metadata"),
     )
 
 
@@ -507,7 +509,7 @@ def shown(alerts: DataFrame) -> DataFrame:
     SQL_SEQ + """ SELECT 'browse_to_purchase' AS pattern_name, 'LOW' AS severity, m.entity_id, t2 AS match_ts_us,
     3::BIGINT AS event_count, round((t2 - t0) / 1e6, 6) AS time_span_seconds,
     'Pattern ''browse_to_purchase'' detected for entity ''' || m.entity_id || ''': sequence' AS message,
-    e0.event_id || ',' || e1.event_id || ',' || e2.event_id AS event_ids
+    e0.event_id || ',' || e1.event_id || ',' || e2.event_id AS event_ids, '{}' AS metadata
     FROM m JOIN ev e0 ON e0.entity_id = m.entity_id AND e0.us = t0 JOIN ev e1 ON e1.entity_id = m.entity_id AND e1.us = t1
     JOIN ev e2 ON e2.entity_id = m.entity_id AND e2.us = t2""",
 )
@@ -527,7 +529,7 @@ SQL_ABS = f"""WITH {EV},
     "cep_absence",
     SQL_ABS + """ SELECT 'abandoned' AS pattern_name, 'MEDIUM' AS severity, entity_id, due AS match_ts_us, 1::BIGINT AS event_count,
     0.0::DOUBLE AS time_span_seconds, 'Pattern ''abandoned'' detected for entity ''' || entity_id || ''': absence' AS message,
-    CAST(event_id AS VARCHAR) AS event_ids FROM m""",
+    CAST(event_id AS VARCHAR) AS event_ids, '{"absence_type":"purchase"}' AS metadata FROM m""",
 )
 def cep_absence(spark, d):
     ev = events(spark, d)
@@ -549,7 +551,8 @@ SQL_FREQ = f"""WITH RECURSIVE {EV},
     SQL_FREQ + """ SELECT 'rapid_clicks' AS pattern_name, 'MEDIUM' AS severity, entity_id, us AS match_ts_us,
     len(kept)::BIGINT AS event_count, round((us - kept[1][1]) / 1e6, 6) AS time_span_seconds,
     'Pattern ''rapid_clicks'' detected for entity ''' || entity_id || ''': frequency' AS message,
-    array_to_string(list_transform(kept, lambda x: x[2]), ',') AS event_ids FROM s WHERE hit""",
+    array_to_string(list_transform(kept, lambda x: x[2]), ',') AS event_ids,
+    '{"count":"' || len(kept) || '"}' AS metadata FROM s WHERE hit""",
 )
 def cep_frequency(spark, d):
     return shown(detect(events(spark, d), FREQUENCY))
@@ -560,7 +563,9 @@ def cep_frequency(spark, d):
     f"""WITH {EV} SELECT 'high_value' AS pattern_name, 'HIGH' AS severity, entity_id, us AS match_ts_us, 1::BIGINT AS event_count,
     0.0::DOUBLE AS time_span_seconds,
     'Pattern ''high_value'' detected for entity ''' || entity_id || ''': Purchase of 200 or more' AS message,
-    CAST(event_id AS VARCHAR) AS event_ids FROM ev WHERE event_type = 'purchase' AND value >= 200""",
+    CAST(event_id AS VARCHAR) AS event_ids,
+    '{{"value":"' || value || '","threshold":"200.0","field":"value"}}' AS metadata
+    FROM ev WHERE event_type = 'purchase' AND value >= 200""",
 )
 def cep_threshold(spark, d):
     return shown(detect(events(spark, d), THRESHOLD))

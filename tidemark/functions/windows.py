@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -34,11 +33,15 @@ def sliding(ts: Column, size_seconds: float, slide_seconds: float) -> Column:
     )
 
 
-def pane_seconds(size_seconds: float, slide_seconds: float) -> float | None:
-    """Width of the panes sliding windows are made of, or None when panes would be too narrow to pay off."""
-    size, slide = micros(size_seconds), micros(slide_seconds)
-    pane = math.gcd(size, slide)
-    return pane / 1e6 if pane * 8 >= slide and size > slide else None
+def pane_start(ts: Column, size_seconds: float, slide_seconds: float) -> Column:
+    """Start of the pane of an event: panes are cut at the starts and ends of sliding windows, two per slide at most.
+
+    A pane lies wholly in or out of every window, and a window holds the panes whose start it contains.
+    """
+    slide, cut = micros(slide_seconds), micros(sliding_start(size_seconds, slide_seconds))
+    us = F.unix_micros(ts)
+    within = F.pmod(us, F.lit(slide))
+    return F.timestamp_micros(us - within + (F.when(within >= cut, F.lit(cut)).otherwise(F.lit(0)) if cut else 0))
 
 
 @dataclass(frozen=True)

@@ -15,11 +15,16 @@ from tidemark.operators.joins import join_on
 from tidemark.operators.slices import Running, running, with_slices
 
 
-def ranked_percentile(rows: DataFrame, group: Sequence[str], v: str, percentile: float, limit: int | None = None) -> DataFrame:
-    """(group, value, n): linear interpolation at ``percentile / 100 * (n - 1)``, by distributed ranking."""
+def ranked_percentile(
+    rows: DataFrame, group: Sequence[str], v: str, percentile: float, limit: int | None = None, times: str | None = None
+) -> DataFrame:
+    """(group, value, n): linear interpolation at ``percentile / 100 * (n - 1)``, by distributed ranking.
+
+    ``times`` names a column that says how often a row counts.
+    """
     group = list(group)
     # Equal values are counted first: prices and counts have few distinct values, and a hot value becomes one row.
-    rows = rows.filter(F.col(v).isNotNull()).groupBy(*group, v).agg(F.count(F.lit(1)).alias("__times"))
+    rows = rows.filter(F.col(v).isNotNull()).groupBy(*group, v).agg((F.sum(times) if times else F.count(F.lit(1))).alias("__times"))
     counts = rows.groupBy(*group).agg(F.sum("__times").alias("n"))
     cut, piece = with_slices(rows, group, v, limit)
     ranked = running(cut, group, [v], piece, {"__rank": Running("sum", F.col("__times"))})

@@ -345,13 +345,12 @@ def _fused(events: DataFrame, spec: _Spec, row_limit: int | None) -> DataFrame:
     if kind == "session" and mergeable:
         return _fused_sessions(rows, spec, row_limit)
     f = spec.first
-    pane = W.pane_seconds(f.window_size_seconds, f.slide) if kind == "sliding" and mergeable else None
-    if pane is None:
+    if kind != "sliding" or not mergeable:
         placed, group = _windowed(rows, spec, row_limit)
         return _long(_from_rows(placed, spec, group), spec.features, *_bounds(spec))
     # Sliding windows: aggregate each event once into its pane, then merge panes into windows.
-    panes = rows.withColumn("__pane", W.tumbling(F.col("ts"), pane)).groupBy("entity_id", "__pane").agg(*_partials(rows, spec))
-    panes = panes.withColumn("__w", W.sliding(F.col("__pane.start"), f.window_size_seconds, f.slide))
+    panes = _paned(rows, spec).groupBy("entity_id", "__pane").agg(*_partials(rows, spec))
+    panes = _windows_of_panes(panes, spec)
     return _long(_merged(panes, spec, ["entity_id", "__w"]), spec.features, *_bounds(spec))
 
 
@@ -391,9 +390,12 @@ def _feature_rows(rows: DataFrame, spec: _Spec, group: Sequence[str], payload: s
 
 def _distinct(events: DataFrame, spec: _Spec, row_limit: int | None) -> DataFrame:
     """Exact distinct counts of all features of the specification: duplicates are removed before counting."""
-    placed, group = _windowed(_base_rows(events, spec), spec, row_limit)
-    long = _feature_rows(placed, spec, group, "d")
-    unique = long.groupBy(*group, "feature_name", "__x").agg(F.count(F.lit(1)).alias("n"), *_last(spec))
+    if spec.window[0] == "sliding":
+        unique, group = _pane_values(events, spec, "d")
+    else:
+        placed, group = _windowed(_base_rows(events, spec), spec, row_limit)
+        long = _feature_rows(placed, spec, group, "d")
+        unique = long.groupBy(*group, "feature_name", "__x").agg(F.count(F.lit(1)).alias("n"), *_last(spec))
     last = [F.max("__last").alias("__last")] if spec.window[0] == "session" else []
     agg = unique.groupBy(*group, "feature_name").agg(
         F.count(F.lit(1)).cast("double").alias("feature_value"), F.sum("n").alias("event_count"), *last
@@ -402,7 +404,47 @@ def _distinct(events: DataFrame, spec: _Spec, row_limit: int | None) -> DataFram
     return agg.withColumn("window_start", start).withColumn("window_end", end).select(*OUTPUT)
 
 
+def _paned(rows: DataFrame, spec: _Spec) -> DataFrame:
+    f = spec.first
+    return rows.withColumn("__pane", W.pane_start(F.col("ts"), f.window_size_seconds, f.slide))
+
+
+def _windows_of_panes(panes: DataFrame, spec: _Spec) -> DataFrame:
+    f = spec.first
+    return panes.withColumn("__w", W.sliding(F.col("__pane"), f.window_size_seconds, f.slide))
+
+
+def _pane_values(events: DataFrame, spec: _Spec, payload: str) -> tuple[DataFrame, list[str]]:
+    """Each value of a feature once per sliding window, with its count ``n``; events are counted per pane first."""
+    group = ["entity_id", "__w"]
+    long = _feature_rows(_paned(_base_rows(events, spec), spec), spec, ["entity_id", "__pane"], payload)
+    cells = long.groupBy("entity_id", "__pane", "feature_name", "__x").agg(F.count(F.lit(1)).alias("n"))
+    return _windows_of_panes(cells, spec).groupBy(*group, "feature_name", "__x").agg(F.sum("n").alias("n")), group
+
+
+def _sliding_percentile(events: DataFrame, spec: _Spec, row_limit: int | None) -> DataFrame:
+    """Percentiles from counted values; windows with too many distinct ones are ranked in slices."""
+    values, group = _pane_values(events, spec, "v")
+    full = [*group, "feature_name"]
+    hot = hot_groups(values, full, row_limit)
+    usual = values if hot is None else join_on(values, hot.select(*full), full, "left_anti")
+    wanted = sorted({f.percentile_value for f in spec.features})
+    at = F.create_map(*[x for f in spec.features for x in (F.lit(f.name), F.lit(wanted.index(f.percentile_value)))])
+    many = F.percentile("__x", F.array(*[F.lit(p / 100.0) for p in wanted]), F.col("n")).alias("__p")
+    out = usual.groupBy(*full).agg(many, F.sum("n").alias("event_count"))
+    out = out.select(*full, F.get("__p", at[F.col("feature_name")]).alias("feature_value"), "event_count")
+    if hot is not None:
+        big = join_on(values, hot.select(*full), full, "left_semi")
+        for f in spec.features:
+            ranked = ranked_percentile(big.filter(F.col("feature_name") == f.name), full, "__x", f.percentile_value, row_limit, times="n")
+            out = out.unionByName(ranked.select(*full, F.col("value").alias("feature_value"), F.col("n").cast("bigint").alias("event_count")))
+    start, end = _bounds(spec)
+    return out.withColumn("window_start", start).withColumn("window_end", end).select(*OUTPUT)
+
+
 def _percentile(events: DataFrame, spec: _Spec, row_limit: int | None) -> DataFrame:
+    if spec.window[0] == "sliding":
+        return _sliding_percentile(events, spec, row_limit)
     placed, group = _windowed(_base_rows(events, spec), spec, row_limit)
     hot = hot_groups(placed, group, row_limit)
     usual = placed if hot is None else join_on(placed, hot.select(*group), group, "left_anti")
