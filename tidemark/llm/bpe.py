@@ -6,7 +6,7 @@ a state with an arc v is led to a copy of that state without it, and an arc uv i
 
 All arcs of one token lead to one state, so a state is kept as the map of the arcs it has lost and when; a copy copies
 that map. An arc uv is there if the arc u was there when uv was made and uv has not been lost since. Encoding runs the
-automaton over the bytes of a word: exactly one token that ends at each byte continues an accepted prefix. Decoding
+automaton over the bytes of a word, whose accepted token sequence is unique. Decoding
 emits the labels of the arcs.
 """
 
@@ -26,7 +26,7 @@ from tidemark.llm.common import bounded_batches, text_of
 
 START = 0
 # Words and whitespace-free pieces remembered by a Python worker; beyond this number they are forgotten and met again.
-CACHED = 200_000
+CACHED = 250_000
 CACHED_CHARS = 64
 MARGIN = "</w>"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -116,29 +116,39 @@ class Encoder:
         self.marks = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
         self.words = regex.compile(WORDS)
         self.of_word: dict[str, bytes] = {}
-        self.of_piece: dict[str, bytes] = {}
+        # Two generations of stretches: what is still used when the younger is full moves on.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
-        """Ids of one word: one pass over its bytes, keeping for each prefix the token that ends it."""
+        """Ids of one word: arcs over its bytes from the start state, the longest label first.
+
+        Accepted sequences are unique, so a place that was left again is never on the way.
+        """
         data = word.encode("utf-8", "surrogatepass")
-        n, step, goal = len(data), self.automaton.step, self.automaton.goal
-        states: list[int | None] = [START] + [None] * n
-        ends = [0] * (n + 1)
-        starts = [0] * (n + 1)
-        for i in range(1, n + 1):
-            table = self.final if i == n else self.inner
-            for j in range(max(0, i - self.longest), i):
-                token = table.get(data[j:i])
-                if token is not None and states[j] is not None and step(states[j], token):
-                    states[i], ends[i], starts[i] = goal[token], token, j
+        n, step, goal, longest = len(data), self.automaton.step, self.automaton.goal, self.longest
+        at, state, end = 0, START, min(len(data), longest)
+        out: list[int] = []
+        came: list[tuple[int, int, int]] = []
+        left: set[int] = set()
+        while at < n:
+            while end > at:
+                token = (self.final if end == n else self.inner).get(data[at:end])
+                if token is not None and end not in left and step(state, token):
                     break
-        if n and states[n] is None:
-            raise ValueError(f"the vocabulary has no tokens for {word[:40]!r}")
-        out = []
-        while n:
-            out.append(ends[n])
-            n = starts[n]
-        return np.array(out[::-1], np.uint32).tobytes()
+                end -= 1
+            else:
+                left.add(at)
+                if not came:
+                    raise ValueError(f"the vocabulary has no tokens for {word[:40]!r}")
+                at, state, end = came.pop()
+                out.pop()
+                end -= 1
+                continue
+            came.append((at, state, end))
+            out.append(token)
+            at, state, end = end, goal[token], min(n, end + longest)
+        return np.array(out, np.uint32).tobytes()
 
     def piece(self, piece: str) -> bytes:
         """Ids of a stretch without white space."""
@@ -152,12 +162,22 @@ class Encoder:
                         self.of_word.clear()
                     self.of_word[word] = ids
             out.append(ids)
-        ids = b"".join(out)
-        if len(piece) <= CACHED_CHARS:
-            if len(self.of_piece) >= CACHED:
-                self.of_piece.clear()
-            self.of_piece[piece] = ids
-        return ids
+        return b"".join(out)
+
+    def known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each stretch, from those remembered where possible."""
+        found = list(map(self.young.get, pieces))
+        if None in found:
+            for k, ids in enumerate(found):
+                if ids is None:
+                    piece = pieces[k]
+                    ids = self.young.get(piece) or self.old.get(piece) or self.piece(piece)
+                    if len(piece) <= CACHED_CHARS:
+                        self.young[piece] = ids
+                    found[k] = ids
+            if len(self.young) > CACHED:
+                self.old, self.young = self.young, {}
+        return found
 
     def pieces(self, text: str) -> list[str]:
         """Normalised stretches without white space."""
@@ -168,14 +188,11 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         out = []
-        get = self.of_piece.get
         for k, part in enumerate(self.marks.split(text) if self.marks else [text]):
             if k % 2:
                 out.append(self.added[part])
                 continue
-            for piece in self.pieces(part):
-                ids = get(piece)
-                out.append(self.piece(piece) if ids is None else ids)
+            out += self.known(self.pieces(part))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
