@@ -15,11 +15,11 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,8 +30,13 @@ MAGIC = b"WVM1"
 BLOCK = 512
 # A shard is closed when it has so many tokens; a longer document is a shard of its own.
 SHARD_TOKENS = 1 << 18
-CACHED = 200_000
+# Stretches remembered by a Python worker, in each of two generations.
+CACHED = 300_000
 CACHED_CHARS = 64
+# Marks the first stretch of a text; white space that is neither a blank nor a line end, and what Python takes for it.
+FIRST = "\0"
+SIGNS = ".,!?;:"
+SPACES = tuple("\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") + tuple(chr(c) for c in range(0x2000, 0x200B))
 
 
 class WaveletMatrix:
@@ -47,9 +52,9 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, levels: int) -> WaveletMatrix:
-        planes, rest = [], ids
+        planes, rest = [], ids.astype(np.uint16 if levels <= 16 else np.uint32)
         for level in range(levels - 1, -1, -1):
-            bit = (rest >> level & 1).astype(bool)
+            bit = (rest & (1 << level)) != 0
             planes.append(np.packbits(bit, bitorder="little"))
             rest = np.concatenate([rest[~bit], rest[bit]])
         return cls(len(ids), planes)
@@ -155,10 +160,10 @@ class Shard:
 
 
 class PieceEncoder:
-    """Encoding by the tokenizers library, which sees every distinct piece once while it is remembered.
+    """Encoding by the tokenizers library, which sees a stretch without white space once while it is remembered.
 
-    Merges never cross the pieces: stretches without white space, each with one blank before it where there is one.
-    Texts with special tokens or with separators that the patterns see differently go to the library whole.
+    Merges never cross from one stretch, with the blank or line end before it, to the next. Texts with special tokens,
+    or with white space other than single blanks and line ends, go to the library whole.
     """
 
     def __init__(self, spec: bytes) -> None:
@@ -168,30 +173,52 @@ class PieceEncoder:
         self.library = Tokenizer.from_str(spec.decode())
         self.library.no_padding()
         self.library.no_truncation()
-        added = [regex.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
-        self.whole = regex.compile("|".join([*added, "[\x1c-\x1f]"]))
-        self.pieces = regex.compile(r" ?\S+|\s+(?!\S)|\s+")
-        self.known: dict[str, bytes] = {}
+        self.whole = (*[t.content for t in self.library.get_added_tokens_decoder().values()], "  ", "\n\n", " \n", "\n ", FIRST, *SPACES)
+        # Two generations: what is still used when the younger is full moves on, the rest is forgotten.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        known = self.known
-        split = [None if self.whole.search(t) else self.pieces.findall(t) for t in texts]
-        new = list({p for pieces in split if pieces for p in pieces if p not in known})
-        once = dict(zip(new, self._ids(new)))
-        out = []
-        for text, pieces in zip(texts, split):
-            if pieces is None:
-                out += self._ids([text])
-            else:
-                out.append(b"".join([known[p] if p in known else once[p] for p in pieces]))
-        if len(known) + len(once) > CACHED:
-            known.clear()
-        if len(once) <= CACHED:
-            known.update((p, ids) for p, ids in once.items() if len(p) <= CACHED_CHARS)
+        pieces: list[str] = []
+        ends, whole = [], {}
+        for k, text in enumerate(texts):
+            if any(x in text for x in self.whole):
+                whole[k] = text
+            elif text:
+                pieces += (FIRST + text.replace("\n", " \n")).split(" ")
+            ends.append(len(pieces))
+        found = list(map(self.young.get, pieces))
+        if None in found:
+            missing = [i for i, x in enumerate(found) if x is None]
+            wanted = {pieces[i] for i in missing}
+            got = {p: x for p in wanted if (x := self.old.get(p)) is not None}
+            # Signs after a letter are pieces of their own, so a word is looked up without them.
+            parts = {}
+            for p in wanted:
+                if p not in got and (word := p.rstrip(SIGNS)) != p and word[-1:].isalpha():
+                    parts[p] = (word, FIRST + p[len(word) :])
+            more = {q for pair in parts.values() for q in pair if q not in self.young}
+            got.update((q, x) for q in more if (x := self.old.get(q)) is not None)
+            new = [p for p in wanted | more if p not in got and p not in parts]
+            # A piece stands after a blank, unless it is a text's first or begins with a line end.
+            got.update(zip(new, self._ids([p[1:] if p[0:1] == FIRST else p if p[0:1] == "\n" else " " + p for p in new])))
+            for p, pair in parts.items():
+                got[p] = b"".join(got[q] if q in got else self.young[q] for q in pair)
+            for i in missing:
+                found[i] = got[pieces[i]]
+            if len(self.young) + len(got) > CACHED:
+                self.old, self.young = self.young, {}
+            if len(got) <= CACHED:
+                self.young.update((p, x) for p, x in got.items() if len(p) <= CACHED_CHARS)
+        direct = dict(zip(whole, self._ids(list(whole.values())))) if whole else {}
+        out, start = [], 0
+        for k, end in enumerate(ends):
+            out.append(direct[k] if k in direct else b"".join(found[start:end]))
+            start = end
         return out
 
 
