@@ -75,6 +75,11 @@ def test_session_literals(make_events):
     assert one(100, 130.000001) == [("u", 100, 130, 1), ("u", 130.000001, 160.000001, 1)]
 
 
+def test_double_gap_has_no_limit():
+    with pytest.raises(ValueError, match="without a length limit"):
+        W.SessionRule(30, 3600, "double_gap")
+
+
 def test_double_gap_rule(make_events):
     ev = [(0, "u", "x", 100), (1, "u", "x", 159.999999), (2, "u", "x", 219.999999)]
     got = session_rows(make_events, ev, gap=30, max_session_seconds=None, session_rule="double_gap")

@@ -49,7 +49,8 @@ class SessionRule:
     """When a session continues and where it ends (WIN-3, WIN-4, D-4).
 
     ``gap``: silence of more than the gap closes the session. ``double_gap``: silence of twice the gap closes it.
-    In both cases the session ends one gap after its last event, and at most ``max_seconds`` after its start.
+    In both cases the session ends one gap after its last event. With ``gap`` it ends at most ``max_seconds`` after its
+    start; ``double_gap`` has no such limit.
     """
 
     gap_seconds: float = DEFAULT_SESSION_GAP
@@ -61,6 +62,8 @@ class SessionRule:
             raise ValueError(f"unknown session rule: {self.rule}")
         if self.gap_seconds <= 0:
             raise ValueError("the session gap must be positive")
+        if self.rule == "double_gap" and self.max_seconds is not None:
+            raise ValueError("the double gap is a rule for sessions without a length limit")
 
     @property
     def gap_micros(self) -> int:
