@@ -3,7 +3,8 @@
 Pigeonhole over a partitioned universe. Sizes are cut into bands; for a pair whose smaller set is in a band the symmetric
 difference has at most H elements. Shingles are hashed into segments, and every set is indexed by its subset in each:
 
-* H + 1 segments, equal subsets: one segment at least has no difference;
+* H + 1 segments, equal subsets: one segment at least has no difference (a few more segments are made, so that the empty
+  ones, which are equal in many sets, need not be indexed);
 * or half as many segments with one-deletion neighbourhoods (a subset, and it without each of its elements): one segment
   has one difference at most.
 
@@ -14,7 +15,8 @@ with, so no link is missed.
 Components instead of pairs. Every member of an index entry is first paired with the smallest one (a star, so large
 groups of near copies stay linear), pairs are verified on the full sets, and components are formed. Only members of an
 entry that are still in different components are then paired with each other; sizes and 1024 parity bits, whose
-distance is a lower bound of the symmetric difference, discard pairs inside that join. What remains is verified too.
+distance is a lower bound of the symmetric difference, discard pairs inside that join. Large sets have more bits, which
+are compared before texts are moved. What remains is verified too.
 Equal sets are put together beforehand.
 """
 
@@ -36,6 +38,8 @@ PERCENT = 90
 BAND = 1.35
 TRIED = 3
 PARITY_LONGS = 16
+# Sets with more elements than this have more parity bits besides, which are looked at pair by pair.
+WIDE_FROM, WIDE_LONGS = 1000, 256
 # What a candidate costs in index entries.
 CANDIDATE_COST = 4
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -103,8 +107,17 @@ class Bands:
         return range(self.of(-(-size * self.percent // 100)), self.of(size) + 1)
 
 
-def index_keys(s: np.ndarray, band: int, segments: int, deletions: bool) -> np.ndarray:
-    """Hashes of the set's subsets in each segment, with one-deletion neighbourhoods if asked for."""
+def slack(h: int) -> int:
+    """Segments beyond the h + 1 that the pigeonhole needs, so that empty ones need not be indexed."""
+    return (h + 1) // 16 + 1
+
+
+def index_keys(s: np.ndarray, band: int, segments: int, deletions: bool, spare: int = 0) -> np.ndarray:
+    """Hashes of the set's subsets in each segment, with one-deletion neighbourhoods if asked for.
+
+    With ``spare`` segments more than needed, up to so many empty ones are left out: enough others remain for one to be
+    equal in any set that can be linked. A set with more empty segments has them all, and so meets others like it.
+    """
     mode = np.uint64(2 * band + deletions + 1)
     value = mix(s + mode * _A)
     segment = (s >> np.uint64(20)) % np.uint64(segments)
@@ -113,16 +126,20 @@ def index_keys(s: np.ndarray, band: int, segments: int, deletions: bool) -> np.n
     np.add.at(content, at, value)
     number = mix(np.arange(segments, dtype=np.uint64) * _A + mode)
     keys = mix(content ^ number)
+    if spare:
+        filled = np.bincount(at, minlength=segments) > 0
+        if segments - int(filled.sum()) <= spare:
+            keys = keys[filled]
     return np.concatenate([keys, mix((content[at] - value) ^ number[at])]) if deletions else keys
 
 
-def parity(s: np.ndarray) -> np.ndarray:
+def parity(s: np.ndarray, longs: int = PARITY_LONGS) -> np.ndarray:
     """Parity of the elements hashed to each of the bits, as signed 64-bit integers."""
-    bits = np.bincount((mix(s ^ _C) & np.uint64(64 * PARITY_LONGS - 1)).astype(np.int64), minlength=64 * PARITY_LONGS) & 1
+    bits = np.bincount((mix(s ^ _C) & np.uint64(64 * longs - 1)).astype(np.int64), minlength=64 * longs) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-_SETS = "id long, n long, d1 long, d2 long, bits array<long>, keys array<long>, tried array<struct<band:int,mode:int,key:long>>"
+_SETS = "id long, n long, d1 long, d2 long, bits array<long>, wide array<long>, keys array<long>, tried array<struct<band:int,mode:int,key:long>>"
 
 
 def _sets(docs: DataFrame, percent: int, size: int) -> DataFrame:
@@ -131,24 +148,26 @@ def _sets(docs: DataFrame, percent: int, size: int) -> DataFrame:
         tried_kind = pa.list_(pa.struct([("band", pa.int32()), ("mode", pa.int32()), ("key", pa.int64())]))
         with np.errstate(over="ignore"):
             for batch in batches:
-                cols: list[list] = [[] for _ in range(7)]
+                cols: list[list] = [[] for _ in range(8)]
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     s = shingle_set(text, size)
                     keys, tried = [], []
                     for band in bands.indexed(len(s)) if len(s) else ():
                         h = bands.limit[band]
                         if h > TRIED:
-                            keys.append(index_keys(s, band, h + 1, False))
+                            keys.append(index_keys(s, band, h + 1 + slack(h), False, slack(h)))
                         elif h:
-                            for mode, m in ((0, h + 1), (1, (h + 2) // 2)):
-                                tried += [{"band": band, "mode": mode, "key": k} for k in index_keys(s, band, m, bool(mode)).view(np.int64).tolist()]
+                            for mode, m, spare in ((0, h + 1 + slack(h), slack(h)), (1, (h + 2) // 2, 0)):
+                                made = index_keys(s, band, m, bool(mode), spare).view(np.int64).tolist()
+                                tried += [{"band": band, "mode": mode, "key": k} for k in made]
                     v = mix(s)
                     digest = np.array([np.bitwise_xor.reduce(v), v.sum(dtype=np.uint64)], np.uint64).view(np.int64).tolist() if len(s) else [None, None]
-                    row = (key, len(s), *digest, parity(s), np.concatenate(keys).view(np.int64) if keys else [], tried)
+                    wide = parity(s, WIDE_LONGS) if len(s) > WIDE_FROM else None
+                    row = (key, len(s), *digest, parity(s), wide, np.concatenate(keys).view(np.int64) if keys else [], tried)
                     for c, x in zip(cols, row):
                         c.append(x)
-                kinds = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int64()), tried_kind]
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["id", "n", "d1", "d2", "bits", "keys", "tried"])
+                kinds = [*[pa.int64()] * 4, *[pa.list_(pa.int64())] * 3, tried_kind]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["id", "n", "d1", "d2", "bits", "wide", "keys", "tried"])
 
     return docs.mapInArrow(run, _SETS)
 
@@ -191,6 +210,17 @@ def _possible(percent: int) -> Column:
     return sizes & ((100 + percent) * _far() <= (100 - percent) * (n + o))
 
 
+def _not_far(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` without those of large sets whose many parity bits show that they are too different."""
+    wide = facts.filter(F.col("wide").isNotNull()).select("id", "n", "wide")
+    both = pairs.join(wide.withColumnsRenamed({"id": "a"}), "a", "left")
+    both = both.join(wide.withColumnsRenamed({"id": "b", "n": "o_n", "wide": "o_wide"}), "b", "left")
+    differ = F.zip_with("wide", "o_wide", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    far = F.aggregate(differ, F.lit(0), lambda total, x: total + x)
+    keep = F.col("wide").isNull() | F.col("o_wide").isNull() | ((100 + percent) * far <= (100 - percent) * (F.col("n") + F.col("o_n")))
+    return both.filter(keep).select("a", "b")
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``id, component``: the smallest identifier reachable, for every identifier in the edges ``a, b``.
 
@@ -249,21 +279,22 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = stored(groups.filter("first <> last").select("key", "first"), "index-groups")
     members = stored(index.join(groups, "key").join(owners, "id").select("key", "rep").distinct(), "index-members")
     stars = members.groupBy("key").agg(F.min("rep").alias("b"))
-    facts = stored(known.join(equal.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "bits").dropDuplicates(["id"]), "set-facts")
+    facts = stored(known.join(equal.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "bits", "wide").dropDuplicates(["id"]), "set-facts")
     pairs = members.join(stars, "key").select(F.col("rep").alias("a"), "b").filter("a <> b").distinct()
-    mine = facts.withColumnRenamed("id", "a")
+    mine = facts.select(F.col("id").alias("a"), "n", "bits")
     theirs = facts.select(F.col("id").alias("b"), F.col("n").alias("o_n"), F.col("bits").alias("o_bits"))
-    pairs = stored(pairs.join(mine, "a").join(theirs, "b").filter(_possible(percent)).select("a", "b"), "star-pairs")
+    pairs = pairs.join(mine, "a").join(theirs, "b").filter(_possible(percent)).select("a", "b")
+    pairs = stored(_not_far(pairs, facts, percent), "star-pairs")
     links = stored(_verified(pairs, texts, percent, size), "star-links")
     first = stored(components(links), "star-components")
 
     placed = members.join(first.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    left = stored(placed.join(open_keys, "key").join(facts.withColumnRenamed("id", "rep"), "rep"), "open-members")
+    left = stored(placed.join(open_keys, "key").join(facts.select(F.col("id").alias("rep"), "n", "bits"), "rep"), "open-members")
     other = left.select("key", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "n", "bits")])
     apart = left.join(other, (left["key"] == other["key"]) & (F.col("rep") > F.col("o_rep")) & (F.col("component") != F.col("o_component")) & _possible(percent))
     more = apart.select(F.col("rep").alias("a"), F.col("o_rep").alias("b")).distinct()
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "open-pairs")
+    more = stored(_not_far(more.join(pairs, ["a", "b"], "left_anti"), facts, percent), "open-pairs")
     links = links.unionByName(_verified(more, texts, percent, size))
     same_id = owners.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b").select("a", "b")
     final = stored(components(links.unionByName(same_id)), "set-components")
