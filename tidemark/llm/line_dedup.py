@@ -24,11 +24,11 @@ from tidemark.llm.common import attach, may_match, stored
 
 BLANKS = " \t\r"
 # From this length on, hashes of variants come from running sums over the characters instead of the texts themselves.
-LONG_CHARS = 2048
+LONG_CHARS = 16_384
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    at = docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n", -1)).alias("pos", "raw"))
+    at = docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode_outer(F.split(F.col(text_col).cast("string"), "\n", -1)).alias("pos", "raw"))
     return at.select("id", "pos", F.btrim("raw", F.lit(BLANKS)).alias("line"))
 
 
@@ -49,31 +49,39 @@ def _half_keys() -> dict[str, Column]:
 
 
 def _variants(lines: DataFrame, long_chars: int) -> DataFrame:
-    """``ord, z, at``: the hash of the line (``at`` 0) and of the line without its character ``at``."""
+    """``ord, z, at``: the hash of the line (``at`` 0) and of the line without its character ``at``.
+
+    A line that shares only its first half with others can differ from them only behind it, and the other way round.
+    """
+    half = ((F.col("n") - 1) / 2).cast("int")
+    lo, hi = F.when(F.col("by_tail"), 1).otherwise(half + 1), F.when(F.col("by_head"), F.col("n")).otherwise(F.col("n") - half)
+    lines = lines.withColumns({"lo": lo, "hi": hi})
     short = lines.filter(F.col("n") <= long_chars)
-    cut = short.select("ord", "line", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("at"))
+    cut = short.select("ord", "line", F.explode(F.concat(F.array(F.lit(0)), F.sequence("lo", "hi"))).alias("at"))
     without = F.concat(F.substring(F.col("line"), F.lit(1), F.col("at") - 1), F.substring(F.col("line"), F.col("at") + 1, F.char_length("line")))
     by_text = cut.select("ord", F.xxhash64(F.lit("text"), F.when(F.col("at") == 0, F.col("line")).otherwise(without)).alias("z"), "at")
     # Characters hashed with their place, combined by exclusive or: what stands before a gap keeps its place, what stands
     # behind it moves up by one. A line of exactly the limit is emitted in both ways and so meets both neighbours.
     long = lines.filter(F.col("n") >= long_chars).repartition("ord")
-    chars = long.select("ord", F.posexplode(F.split("line", "")).alias("at", "c"))
+    chars = long.select("ord", "lo", "hi", F.posexplode(F.split("line", "")).alias("at", "c"))
     chars = chars.withColumns({"own": F.xxhash64("c", "at"), "moved": F.xxhash64("c", F.col("at") - 1)})
     upto = Window.partitionBy("ord").orderBy("at")
     whole = Window.partitionBy("ord")
     run = chars.select(
-        "ord", "at", "own", F.bit_xor("own").over(upto).alias("own_upto"), F.bit_xor("moved").over(upto).alias("moved_upto"),
+        "ord", "lo", "hi", "at", "own", F.bit_xor("own").over(upto).alias("own_upto"), F.bit_xor("moved").over(upto).alias("moved_upto"),
         F.bit_xor("own").over(whole).alias("own_all"), F.bit_xor("moved").over(whole).alias("moved_all"),
     )
     gap = F.col("own_upto").bitwiseXOR(F.col("own")).bitwiseXOR(F.col("moved_all")).bitwiseXOR(F.col("moved_upto"))
-    gaps = run.select("ord", F.xxhash64(F.lit("sum"), gap).alias("z"), (F.col("at") + 1).alias("at"))
+    gaps = run.filter((F.col("at") + 1).between(F.col("lo"), F.col("hi"))).select("ord", F.xxhash64(F.lit("sum"), gap).alias("z"), (F.col("at") + 1).alias("at"))
     full = run.filter(F.col("at") == 0).select("ord", F.xxhash64(F.lit("sum"), "own_all").alias("z"), F.lit(0).alias("at"))
     return by_text.unionByName(gaps).unionByName(full)
 
 
 def _near(candidates: DataFrame, long_chars: int) -> DataFrame:
     """``ord, near_ord``: lines with an earlier line within one edit, and the earliest such line."""
-    rows = _variants(candidates, long_chars)
+    # The table is small, what is made of it is not: deal it out to all tasks.
+    parts = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _variants(candidates.repartition(parts, "ord"), long_chars)
     gapped, full = F.when(F.col("at") > 0, F.col("ord")), F.when(F.col("at") == 0, F.col("ord"))
     groups = rows.groupBy("z").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"), F.min(gapped).alias("first_gapped"), F.min(full).alias("first_full"))
     shared = stored(groups.filter(F.col("lo") != F.col("hi")).drop("lo", "hi"), "line-variants")
@@ -100,18 +108,21 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hashed = stored(hashed.drop("line", "n"), "line-hashes")
     distinct = hashed.groupBy("h1", "h2").agg(F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("times"), *[F.max(k).alias(k) for k in keys])
     distinct = stored(distinct, "line-distinct")
-    halves = distinct.select("first_ord", F.explode(F.array(*keys)).alias("half"))
+    halves = distinct.select("first_ord", F.explode(F.array(*[F.struct(F.col(k).alias("half"), F.lit(k.endswith("head")).alias("head")) for k in keys])).alias("h"))
+    halves = halves.select("first_ord", "h.half", "h.head")
     shared = halves.groupBy("half").agg(F.min("first_ord").alias("lo"), F.max("first_ord").alias("hi")).filter(F.col("lo") != F.col("hi")).select("half")
     shared = stored(shared, "line-halves")
-    able = stored(may_match(halves, "half", shared).join(shared, "half", "left_semi").select("first_ord").distinct(), "line-able")
+    able = stored(may_match(halves, "half", shared).join(shared, "half", "left_semi").groupBy("first_ord").agg(
+        F.bool_or("head").alias("by_head"), F.bool_or(~F.col("head")).alias("by_tail")
+    ), "line-able")
     pos, whole = F.expr("pmod(first_ord, 2147483648BD)"), F.expr("(first_ord - pmod(first_ord, 2147483648BD)) div 2147483648BD")
-    places = able.select("first_ord", F.when(whole != 2**63 - 1, whole).alias("id"), pos.cast("int").alias("pos"))
-    wanted = places.groupBy("id").agg(F.collect_list(F.struct("pos", "first_ord")).alias("places"))
+    places = able.select("first_ord", "by_head", "by_tail", F.when(whole != 2**63 - 1, whole).alias("id"), pos.cast("int").alias("pos"))
+    wanted = places.groupBy("id").agg(F.collect_list(F.struct("pos", "first_ord", "by_head", "by_tail")).alias("places"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     holders = may_match(texts, "id", wanted)
     holders = holders.join(wanted, holders["id"].eqNullSafe(wanted["id"])).select(F.split("text", "\n", -1).alias("all"), F.explode("places").alias("p"))
     line = F.btrim(F.get(F.col("all"), F.col("p.pos")), F.lit(BLANKS))
-    candidates = holders.select(F.col("p.first_ord").alias("ord"), line.alias("line")).withColumn("n", F.char_length("line"))
+    candidates = holders.select(F.col("p.first_ord").alias("ord"), F.col("p.by_head"), F.col("p.by_tail"), line.alias("line")).withColumn("n", F.char_length("line"))
     candidates = candidates.filter(F.col("n") >= min_chars)
     # Rows that share an identifier may give several lines for one place; all of them are compared.
     candidates = stored(candidates.distinct(), "line-candidates")
@@ -138,17 +149,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     split = F.split(F.col(text_col).cast("string"), "\n", -1)
     kept = F.filter(F.transform(split, lambda x, i: F.when(~F.array_contains("__gone", i), x)), lambda x: x.isNotNull())
     key = docs.withColumn("__id", F.col(id_col).cast("long"))
-    # Documents that lose nothing need no shuffle.
-    slots = 1 << 18
-    taken = F.broadcast(gone.select(F.pmod(F.xxhash64("__id"), F.lit(slots)).alias("__slot")).distinct())
-    marked = key.withColumn("__slot", F.pmod(F.xxhash64("__id"), F.lit(slots)))
-    whole = marked.join(taken, "__slot", "left_anti").withColumns({"__repeated": F.lit(0).cast("long"), "__near": F.lit(0).cast("long")})
-    some = marked.join(taken, "__slot", "left_semi")
-    some = some.join(gone.withColumnRenamed("__id", "__gone_id"), some["__id"].eqNullSafe(F.col("__gone_id")), "left").drop("__gone_id")
+    # What goes grows with the documents: no broadcast that holds on small tables only.
+    found = key.join(gone.withColumnRenamed("__id", "__gone_id").hint("merge"), key["__id"].eqNullSafe(F.col("__gone_id")), "left")
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    some = some.withColumns({text_col: text, "__was": split, "__repeated": F.coalesce("__repeated", F.lit(0)), "__near": F.coalesce("__near", F.lit(0))})
-    count = lambda c: F.coalesce(F.when(F.col(c).isNull(), 0).otherwise(F.size(c)), F.lit(0))
-    whole = whole.withColumn("__lines", F.when(F.col(text_col).isNull(), 0).otherwise(F.size(split)))
-    some = some.withColumn("__lines", count("__was"))
+    zero = F.lit(0).cast("long")
+    done = found.withColumns({
+        text_col: text, "__lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(split)),
+        "__repeated": F.coalesce("__repeated", zero), "__near": F.coalesce("__near", zero),
+    })
     columns = [*docs.columns, "__lines", "__repeated", "__near"]
-    return whole.select(*columns).unionByName(some.select(*columns))
+    return done.select(*columns)
