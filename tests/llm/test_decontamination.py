@@ -61,3 +61,12 @@ def test_query_against_plain_search(spark):
     want = {(d, i) for d, t in docs.items() for i, x in items.items() if f" {x} " in t}
     got = QUERIES["op10_decontamination"](spark, data).collect()
     assert want and {(r.doc_id, r.item_id) for r in got} == want and all(r.exact for r in got)
+
+
+def test_verbatim_copies_of_any_item(spark):
+    """Title case, capitals, lists of names or numbers and very short items leave no or few template windows."""
+    items = ["How Many Apples Does Anna Have Left After Selling Ten", "WHAT IS THE NAME OF THE LONGEST RIVER ON EARTH", "Paris, London, Rome, Madrid, Berlin",
+             "1, 2, 3, 5, 8, 13, 21, 34, 55", "Who wrote Hamlet?", "Five little words are here"]
+    docs = [(k, f"As they said: {t} and more of it") for k, t in enumerate(items)] + [(9, "Paris, London, Rome, Berlin, Madrid"), (10, "1, 2, 3, 5, 9, 13, 21, 34, 55"), (11, items[0].lower())]
+    got = run(spark, docs, list(enumerate(items)))
+    assert set(got) == {(k, k) for k in range(len(items))} | {(11, 0)} and all(x[0] >= x[1] / 2 and x[2] for x in got.values())

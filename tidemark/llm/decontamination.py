@@ -1,7 +1,8 @@
 """Benchmark decontamination by canonical templates.
 
 Numbers, units and names are replaced with typed placeholders, so that a question asked with other values has the same
-template. Windows of template words are hash-joined with those of the benchmark. Along one alignment of a document and
+template. Windows of template words are hash-joined with those of the benchmark, and so are windows of the literal words,
+which find verbatim copies of any item, however short it is and however many placeholders it has. Along one alignment of a document and
 an item the placeholders' values, the slots, must be consistent: a value of the item always stands for the same value in
 the document, and different values for different ones. A document is contaminated by an item if consistent windows cover
 enough of it.
@@ -53,7 +54,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> tuple[int, int]:
         if word[0].isdigit():
-            made = (_NUMBER, 0)
+            made = (_NUMBER, _hash(word.encode()))
         elif word in ".!?\n":
             made = (_STOP, 0)
         else:
@@ -69,17 +70,18 @@ class _Words(dict):
 _WORDS = _Words()
 
 
-def templates(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Words, hashes of their template forms, and which are placeholders.
+def _forms(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Words, hashes of them in lower case, hashes of their template forms, and which are placeholders.
 
     A number is one; a unit is one after a number; a name is a capitalised word that does not begin a sentence or line.
     """
     words = _TOKENS.findall(text)
     if not words:
-        return [], np.empty(0, np.uint64), np.empty(0, bool)
+        return [], np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, bool)
     pairs = [_WORDS[w] for w in words]
     kinds = np.fromiter((p[0] for p in pairs), np.int8, len(pairs))
-    hashes = np.fromiter((p[1] for p in pairs), np.uint64, len(pairs))
+    literal = np.fromiter((p[1] for p in pairs), np.uint64, len(pairs))
+    hashes = literal.copy()
     before = np.concatenate([[_STOP], kinds[:-1]])
     number = kinds == _NUMBER
     unit = (kinds == _UNIT) & (before == _NUMBER)
@@ -87,7 +89,13 @@ def templates(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     for at, key in ((number, "number"), (unit, "unit"), (name, "name")):
         hashes[at] = _PLACES[key]
     keep = kinds != _STOP
-    return [w for w, k in zip(words, keep.tolist()) if k], hashes[keep], (number | unit | name)[keep]
+    return [w for w, k in zip(words, keep.tolist()) if k], literal[keep], hashes[keep], (number | unit | name)[keep]
+
+
+def templates(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words, hashes of their template forms, and which are placeholders."""
+    words, _, hashes, slots = _forms(text)
+    return words, hashes, slots
 
 
 def windows(hashes: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,37 +113,43 @@ def windows(hashes: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.ndarra
     return start, total[start]
 
 
-_FOUND = "id long, at int, size int, hash long, values array<string>, of_item int"
+_FOUND = "id long, at int, size int, literal boolean, hash long, values array<string>, of_item int"
 
 
 def _template_rows(rows: DataFrame, sizes: list[int] | None, window: int, least: int, bits: bytes | None) -> DataFrame:
-    """``id, at, size, hash, values, of_item``: windows of all texts; ``values`` are words in placeholders, else null.
+    """``id, at, size, literal, hash, values, of_item``: windows of all texts, each of template and of literal words.
 
-    Without ``sizes`` the texts are items: each has windows of one size, its length if it is short. With ``bits`` only
-    windows whose hash slot is set are given.
+    ``values`` are words in placeholders, else null; literal windows have none. Without ``sizes`` the texts are items:
+    each has windows of one size, its length if it is short, and template windows only from ``least`` words on. With
+    ``bits`` only windows whose hash slot is set are given.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = None if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
         for batch in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(7)]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words, hashes, slots = templates(text)
-                own = sizes if sizes is not None else [min(window, len(words))] if len(words) >= least else []
-                for size in own:
-                    start, got = windows(hashes, slots, size)
+                words, literal, hashes, slots = _forms(text)
+                none = np.zeros(len(words), bool)
+                own = sizes if sizes is not None else [min(window, len(words))] if words else []
+                for size, as_is in [(n, x) for n in own for x in (False, True)]:
+                    if sizes is None and not as_is and len(words) < least:
+                        continue
+                    start, got = windows(literal, none, size) if as_is else windows(hashes, slots, size)
+                    of_item = len(start)
                     if mask is not None:
                         hit = mask[(got % np.uint64(SLOTS)).astype(np.int64)]
                         start, got = start[hit], got[hit]
                     for s, h in zip(start.tolist(), got.view(np.int64).tolist()):
-                        cols[4].append([w if x else None for w, x in zip(words[s : s + size], slots[s : s + size].tolist())])
                         cols[0].append(key)
                         cols[1].append(s)
                         cols[2].append(size)
-                        cols[3].append(h)
-                        cols[5].append(len(start))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32()]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["id", "at", "size", "hash", "values", "of_item"])
+                        cols[3].append(as_is)
+                        cols[4].append(h)
+                        cols[5].append([] if as_is else [w if x else None for w, x in zip(words[s : s + size], slots[s : s + size].tolist())])
+                        cols[6].append(of_item)
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.list_(pa.string()), pa.int32()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["id", "at", "size", "literal", "hash", "values", "of_item"])
 
     return rows.mapInArrow(run, _FOUND)
 
@@ -151,24 +165,26 @@ def contaminated(
     """One row per document and item that it contains: ``doc_id, item_id, covered, windows, at, exact``.
 
     ``covered`` of the item's ``windows`` windows are in the document from word ``at`` on along the best consistent
-    alignment; ``exact`` is true if all slot values are the item's own. Items of fewer than ``window`` words match as a
-    whole; items of fewer than ``least_words`` words never match, nor do rows without an identifier in either table, nor
+    alignment; ``exact`` is true if all slot values are the item's own. The windows are those with enough words besides
+    placeholders, matched by template, or, if too few of them are found, all windows, matched by template or literally
+    (upper and lower case are the same). Items of fewer than ``window`` words match as a whole, those of fewer than
+    ``least_words`` words only literally. Never matched are rows without an identifier in either table, and
     null or empty texts. Items with equal texts each match. Repeated rows of a document count as one. Other columns are
     not read.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     items = stored(_template_rows(_texts(benchmark, item_col, item_text_col).dropna(subset=["id"]).distinct(), None, window, least_words, None), "items")
-    sizes = [r[0] for r in items.select("size").distinct().collect()]  # at most window - least_words + 1 of them
+    sizes = [r[0] for r in items.select("size").distinct().collect()]  # at most window of them
     slot = F.expr(f"cast(hash & {SLOTS - 1} as int)")
     taken = np.zeros(SLOTS, bool)
     taken[[r[0] for r in items.select(slot.alias("s")).distinct().collect()]] = True
     bits = np.packbits(taken, bitorder="little").tobytes()
     found = stored(_template_rows(_texts(docs, id_col, text_col).dropna(subset=["id"]), sorted(sizes), window, least_words, bits), "windows")
     theirs = items.select(
-        F.col("id").alias("item"), F.col("at").alias("item_at"), "size", "hash", F.col("values").alias("item_values"), F.col("of_item").alias("windows")
+        F.col("id").alias("item"), F.col("at").alias("item_at"), "size", "literal", "hash", F.col("values").alias("item_values"), F.col("of_item").alias("windows")
     )
-    same = found.drop("of_item").join(runtime.broadcast_if_small(theirs), ["hash", "size"])
+    same = found.drop("of_item").join(runtime.broadcast_if_small(theirs), ["hash", "size", "literal"])
     same = same.withColumn("diagonal", F.col("at") - F.col("item_at"))
     key = ["id", "item", "diagonal"]
     pair = F.explode(F.arrays_zip("values", "item_values"))
@@ -178,10 +194,18 @@ def contaminated(
         F.count(F.lit(1)).alias("n"), F.count_distinct("mine").alias("mine"), F.count_distinct("yours").alias("yours"),
         F.every(F.col("mine") == F.col("yours")).alias("exact"),
     )
-    lines = same.groupBy(*key).agg(F.count_distinct("item_at").alias("covered"), F.max("windows").alias("windows"), F.min("at").alias("at"))
+    by_form = [F.when(F.col("literal") == x, F.col("windows")) for x in (False, True)]
+    lines = same.groupBy(*key).agg(
+        F.count_distinct(F.when(~F.col("literal"), F.col("item_at"))).alias("covered_form"), F.max(by_form[0]).alias("windows_form"),
+        F.count_distinct("item_at").alias("covered_all"), F.max(by_form[1]).alias("windows_all"), F.min("at").alias("at"),
+    )
+    enough = {k: F.coalesce(F.col(f"covered_{k}") >= F.ceil(F.lit(coverage) * F.col(f"windows_{k}")), F.lit(False)) for k in ("form", "all")}
+    lines = lines.filter(enough["form"] | enough["all"]).withColumns(
+        {k: F.when(enough["form"], F.col(f"{k}_form")).otherwise(F.col(f"{k}_all")) for k in ("covered", "windows")}
+    )
     lines = lines.join(judged, key, "left")
     one_to_one = F.col("n").isNull() | ((F.col("n") == F.col("mine")) & (F.col("n") == F.col("yours")))
-    good = lines.filter(one_to_one & (F.col("covered") >= F.ceil(F.lit(coverage) * F.col("windows"))))
+    good = lines.filter(one_to_one)
     best = F.max_by(F.struct("covered", "windows", "at", F.coalesce("exact", F.lit(True)).alias("exact")), F.struct("covered", -F.col("at")))
     return good.groupBy("id", "item").agg(best.alias("b")).select(
         F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("b.covered").alias("covered"),
