@@ -12,6 +12,7 @@ from tidemark.llm import bpe, toxicity
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.filter_audit import REPEATED, audit, failure_counts, text_filters
 from tidemark.llm.jaccard_join import similar_components
 from tidemark.llm.licenses import scan
 from tidemark.llm.line_dedup import line_dedup
@@ -152,3 +153,37 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontamination")
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op13_filter_audit",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                      list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+    m AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, list_filter([
+              CASE WHEN len(ws) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' END,
+              CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' END,
+              CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+              CASE WHEN coalesce(d.doc_id > min(d.doc_id) OVER w, min(d.doc_id) OVER w IS NOT NULL) THEN 'E' END], lambda x: x IS NOT NULL) AS failed
+          FROM d LEFT JOIN m ON d.doc_id = m.doc_id WINDOW w AS (PARTITION BY t)),
+    c AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, failed),
+    l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    p AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    s AS (SELECT o, unnest(range(1, 6))::INT AS step FROM p),
+    r AS (SELECT part, array_to_string(o, '') AS filter_order, step, o[step] AS f,
+                 sum(CASE WHEN NOT list_has_any(failed, o[1:step]) THEN n ELSE 0 END)::BIGINT AS kept,
+                 sum(CASE WHEN list_contains(failed, o[step]) AND NOT list_has_any(failed, o[1:step - 1]) THEN n ELSE 0 END)::BIGINT AS removed,
+                 sum(CASE WHEN list_contains(failed, o[step]) AND list_has_any(failed, o[1:step - 1]) THEN n ELSE 0 END)::BIGINT AS redundant,
+                 sum(CASE WHEN failed = [o[step]] THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                 sum(CASE WHEN list_contains(failed, o[step]) AND NOT list_has_any(failed, o[1:step - 1]) THEN good ELSE 0 END)::BIGINT AS good_lost,
+                 sum(CASE WHEN list_contains(failed, o[step]) AND NOT list_has_any(failed, o[1:step - 1]) THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+          FROM c, s GROUP BY part, o, step)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r
+    """,
+)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filters = text_filters()
+    counts = failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), filters)
+    return audit(counts, [*filters, REPEATED])
