@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import runtime
 from tidemark.llm import bpe, toxicity
-from tidemark.llm.common import table
+from tidemark.llm.common import table, text_of
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.filter_audit import REPEATED, audit, failure_counts, text_filters
@@ -17,6 +17,7 @@ from tidemark.llm.jaccard_join import similar_components
 from tidemark.llm.licenses import scan
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.lm_scoring import score_texts
+from tidemark.llm.resharding import reshard, write_layout
 from tidemark.llm.token_files import read_tokens, write_tokens
 from tidemark.llm.warc import page_report, read_archive, write_archive
 
@@ -155,6 +156,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+OLD_SHARDS, NEW_SHARDS = 12, 16
+
+
+@query("op11_resharding")
+def op11_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    old = write_layout(docs, runtime.scratch_path(spark, "shards"), F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)))
+    done = reshard(old, runtime.scratch_path(spark, "resharded"), NEW_SHARDS).read()
+    return done.select(
+        "doc_id", F.col("__size").alias("size"), F.crc32(text_of()).alias("text_crc32"), F.lit("bytes").alias("law"), F.col("__shard").alias("shard"),
+        F.col("__slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("__from").alias("from_shard"),
+    )
+
+
 @query(
     "op13_filter_audit",
     r"""
