@@ -3,7 +3,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 
 
 @pytest.fixture(scope="session")

@@ -13,6 +13,7 @@ from tidemark.llm.common import table, text_of
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.filter_audit import REPEATED, audit, failure_counts, text_filters
+from tidemark.llm.hard_negatives import hard_negatives
 from tidemark.llm.jaccard_join import similar_components
 from tidemark.llm.licenses import scan
 from tidemark.llm.line_dedup import line_dedup
@@ -170,6 +171,26 @@ def op11_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op12_hard_negatives",
+    """
+    WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+               FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+          FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                 (row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id))::INT AS rank
+          FROM p JOIN s ON p.anchor_id = s.anchor_id WHERE NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+    """,
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
 @query(
     "op13_filter_audit",
     r"""
