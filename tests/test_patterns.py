@@ -99,6 +99,51 @@ def test_against_replay(make_events, row_limit):
         assert found(detect(df, p, row_limit=row_limit)) == replay.frequency(ev, ("a", "b"), n, 60)
 
 
+@pytest.mark.parametrize("row_limit", [None, 20])
+def test_all_patterns_in_one_pass(make_events, row_limit):
+    rng = random.Random(31)
+    ev, t = [], 1000
+    for i in range(400):
+        t += rng.choice([0, 0, 1, 3, 10, 40])
+        ev.append((i, rng.choice(["hot", "hot", "hot", "x", "y"]), rng.choice("abcde"), t))
+    df = make_events([(f"{i:04d}", u, k, ts, {"v": i % 7, "group": f"{u}{i % 2}"}) for i, u, k, ts in ev])
+    last = float(max(e[3] for e in ev))
+    patterns = PatternSet((
+        PatternDefinition("s2", "sequence", ("a", "b"), 120), PatternDefinition("s4", "sequence", ("a", "b", "b", "d"), 300),
+        PatternDefinition("s3", "sequence", ("c", "a", "e"), 90), PatternDefinition("none", "sequence", ("a", "b", "a"), 90),
+        PatternDefinition("gone", "absence", ("a", "c"), 30), PatternDefinition("gone2", "absence", ("b", "e"), 45),
+        PatternDefinition("f1", "frequency", ("e",), 60), PatternDefinition("f2", "frequency", ("a", "b"), 60, min_occurrences=2),
+        PatternDefinition("f3", "frequency", ("c", "b"), 90, min_occurrences=3), PatternDefinition("high", "threshold", ("a", "d"), 1, threshold_field="v", threshold_value=5),
+        PatternDefinition("by_group", "frequency", ("a", "b", "c"), 100, key_field="group", min_occurrences=3),
+    ))
+    alerts = patterns.detect(df, from_epoch(F.lit(last)), row_limit).persist()
+    got = {n: found(alerts.filter(F.col("pattern_name") == n)) for n in patterns}
+    assert alerts.count() == sum(map(len, got.values()))
+    for n in ("s2", "s3", "s4"):
+        assert got[n] == replay.sequence(ev, patterns[n].event_types, patterns[n].time_window_seconds) != []
+    assert got["none"] == []
+    assert got["gone"] == replay.absence(ev, "a", "c", 30, last) != []
+    assert got["gone2"] == replay.absence(ev, "b", "e", 45, last) != []
+    for n in ("f1", "f2", "f3"):
+        assert got[n] == replay.frequency(ev, patterns[n].event_types, patterns[n].min_occurrences, patterns[n].time_window_seconds) != []
+    assert got["high"] == sorted((u, float(ts), (i,)) for i, u, k, ts in ev if k in "ad" and i % 7 >= 5)
+    grouped = [(i, f"{u}{i % 2}", k, ts) for i, u, k, ts in ev]
+    assert got["by_group"] == replay.frequency(grouped, ("a", "b", "c"), 3, 100) != []
+    alerts.unpersist()
+
+
+def test_one_scan_for_all_patterns(spark, make_events):
+    ev = simple(make_events, *[("abcd"[i % 4], 1000 + i, {"v": i}) for i in range(50)])
+    patterns = PatternSet((
+        PatternDefinition("s", "sequence", ("a", "b"), 120), PatternDefinition("s2", "sequence", ("b", "c", "d"), 120),
+        PatternDefinition("g", "absence", ("a", "c"), 30), PatternDefinition("h", "threshold", (), 1, threshold_field="v", threshold_value=5),
+    ))
+    plan = patterns.detect(ev)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    # Without a hot key the rows are moved once, whatever the number of patterns.
+    assert patterns.detect(ev)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_set_and_summary(make_events):
     a = PatternDefinition("a", "threshold", (), 1, threshold_field="v", threshold_value=1)
     b = PatternDefinition("b", "frequency", ("k",), 60, key_field="v")

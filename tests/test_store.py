@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import from_epoch, to_epoch
 from tidemark.plans import dual, store
-from tidemark.streaming.sinks import FeatureStore, StoreSink, committed, unit, write_batch
+from tidemark.streaming.sinks import FeatureStore, StoreSink, batches, write_batch
 
 
 def at(seconds):
@@ -178,7 +179,7 @@ def test_store_folder(spark, tmp_path):
     fs.set_features(w.limit(1), at(300))
     assert pairs(fs.online()) == [("u", "f", 1), ("u", "g", 2)]
     assert fs.compact(at(305)) == 0 and pairs(fs.online()) == [("u", "f", 1), ("u", "g", 2)]
-    assert len(committed(spark, f"{tmp_path}/online")) == 1  # the batches of the first snapshot are gone
+    assert batches(spark, f"{tmp_path}/online") == ["writer=compact/batch_id=1"]
     fs.export_snapshot(str(tmp_path / "snap"), at(305))
     assert spark.read.json(str(tmp_path / "snap")).count() == 1
 
@@ -196,11 +197,75 @@ def test_writers_do_not_overwrite_each_other(spark, tmp_path):
     before = sorted(map(str, fs.history().collect()))
     sink(computed(spark, ("v", "f", 3, 120)), 2)
     assert sorted(map(str, fs.history().collect())) == before
-    # A directory that was not written to its end is not read.
-    half = tmp_path / "online" / unit("crashed", 0) / "event_date=1970-01-01"
-    half.mkdir(parents=True)
-    (half / "part-0.parquet").write_bytes(b"half")
-    assert pairs(fs.online()) == [("v", "f", 3), ("z", "f", 9)]
+
+
+def test_deletions_hold_against_late_writes(spark, tmp_path):
+    """A write fails, its entity is deleted, the store compacted and the write retried: it stays deleted."""
+    def broken(df, path, batch):
+        if path.endswith("online"):
+            raise OSError("online is down")
+        write_batch(df, path, batch)
+
+    fs, down = FeatureStore(spark, str(tmp_path)), []
+    sink = StoreSink(str(tmp_path), "sync_both", "queue_retry", now=at(100), writer=lambda *a: (broken if down else write_batch)(*a))
+    down.append(1)
+    sink(computed(spark, ("u", "f", 1, 60), ("v", "f", 2, 60), ("v", "g", 3, 60)), 0)
+    down.clear()
+    entity, feature = spark.createDataFrame([("u",)], "entity_id string"), spark.createDataFrame([("v", "g")], "entity_id string, feature_name string")
+    fs.delete(entity, at(200))
+    fs.delete(feature, at(200))
+    assert fs.oldest_open_write() == 100_000_000
+    for _ in range(2):
+        fs.compact()
+    assert fs.online().count() == 0 and fs.online_log().count() == 2
+    assert fs.retry_failed() == (1, 0) and pairs(fs.online()) == [("v", "f", 2)]
+    # Nothing older can come any more: the marks go with the next compaction, the result stays.
+    assert fs.oldest_open_write() is None
+    fs.compact()
+    assert pairs(fs.online()) == [("v", "f", 2)] and fs.online_log().count() == 1
+
+
+def test_marks_wait_for_batches_that_may_be_repeated(spark, tmp_path):
+    fs, sink = FeatureStore(spark, str(tmp_path)), StoreSink(str(tmp_path), name="s")
+    batch = computed(spark, ("u", "f", 1, 60))
+    sink(batch, 7)
+    fs.delete(spark.createDataFrame([("u",)], "entity_id string"))
+    fs.compact()
+    sink(batch, 7)  # Spark repeats the batch after a restart, with the time of its first attempt
+    assert fs.online().count() == 0
+    sink(batch, 8)
+    assert pairs(fs.online()) == [("u", "f", 1)]
+    fs.compact()
+    assert fs.online_log().filter("op <> 'set'").count() == 0
+
+
+def test_an_interrupted_compaction_changes_nothing(spark, tmp_path, monkeypatch):
+    fs = FeatureStore(spark, str(tmp_path))
+    w = spark.createDataFrame([("u", "f", 1.0), ("w", "f", 3.0)], "entity_id string, feature_name string, value double")
+    fs.set_features(w, at(100))
+    fs.delete(spark.createDataFrame([("w",)], "entity_id string"), at(101))
+
+    def stop(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr("tidemark.streaming.sinks.remove", stop)
+    with pytest.raises(RuntimeError):
+        fs.compact()
+    monkeypatch.undo()
+    assert pairs(fs.online()) == [("u", "f", 1)]
+    fs.compact()
+    assert pairs(fs.online()) == [("u", "f", 1)] and batches(spark, f"{tmp_path}/online") == ["writer=compact/batch_id=1"]
+
+
+def test_history_is_dropped_by_partition_names_only(spark, tmp_path):
+    fs, day = FeatureStore(spark, str(tmp_path)), 86_400
+    StoreSink(str(tmp_path), now=at(9 * day))(computed(spark, *[("u", "f", i, i * day + 60) for i in range(6)]), 0)
+    StoreSink(str(tmp_path), now=at(9 * day), name="other")(computed(spark, ("w", "f", 9, 60), ("w", "f", 9, 5 * day)), 0)
+    for f in tmp_path.glob("offline/*/*/event_date=1970-01-0[123]/*.parquet"):
+        f.write_bytes(b"not to be read")
+    assert fs.drop_history_before(date(1970, 1, 4)) == 4
+    assert pairs(fs.history().select("entity_id", "feature_name", "value")) == [("u", "f", 3), ("u", "f", 4), ("u", "f", 5), ("w", "f", 9)]
+    assert fs.drop_history_before(date(1970, 1, 4)) == 0
 
 
 def test_failed_online_writes_are_retried(spark, tmp_path):

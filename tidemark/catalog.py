@@ -23,6 +23,7 @@ from tidemark.sources.events import map_columns, parse_json_records, to_json_rec
 from tidemark.streaming.features import stream_all
 from tidemark.streaming.patterns import stream_pattern, stream_patterns
 from tidemark.streaming.run import drain
+from tidemark.streaming.sinks import FeatureStore, StoreSink, write_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -254,6 +255,12 @@ def _register_sessions() -> None:
     add("session_capped", feature("count", "session", **capped), SQL_CAPPED.replace("AGG", SQL_AGG["count"]))
     add("session_capped_avg", feature("avg", "session", **capped), SQL_CAPPED.replace("AGG", "avg(value)"))
     add("session_capped_percentile", feature("percentile", "session", **capped), SQL_CAPPED.replace("AGG", SQL_AGG["percentile"]))
+    # All events under one key, with a gap of 90 seconds: its cells are scanned in slices of a thousand at most.
+    one = feature("avg", "session", session_gap_seconds=90, max_session_seconds=None)
+    sql = sql_sessions("avg", 90 * US).replace("CAST(user_id AS VARCHAR) AS entity_id", "'all' AS entity_id").replace(str(GAP * US), str(90 * US))
+    query("session_one_key", sql)(
+        lambda spark, d: tidy(FeatureSet((one,)).compute(events(spark, d).withColumn("user_id", F.lit("all")), row_limit=1000))
+    )
 
 
 _register_sessions()
@@ -793,6 +800,68 @@ def offline_latest(spark, d):
     return view(store.latest(history(spark, d)))
 
 
+# A store folder: the online target fails for the first batch, users are deleted, the folder is compacted, the failed batch
+# is retried, and a last batch comes after the deletion.
+LATE_US = MID_US + WEEK * US
+SQL_KEPT = """k AS (SELECT *, row_number() OVER (PARTITION BY entity_id, feature_name, et ORDER BY seq) AS n FROM h)"""
+
+
+def _store_folder(spark: SparkSession, d: str, steps) -> FeatureStore:
+    """A folder with three batches of writes; ``steps`` runs before the last one."""
+    path = runtime.scratch_path(spark, "store")
+    w, et = writes(spark, d).drop("ingestion_time"), F.unix_micros("event_time")
+
+    def first_fails(rows: DataFrame, target: str, batch: str) -> None:
+        if target.endswith("online") and batch.startswith("writer=early/"):
+            raise OSError("the online target is down")
+        write_batch(rows, target, batch)
+
+    def add(name: str, part: DataFrame, at_us: int) -> None:
+        sink = StoreSink(path, on_failure="queue_retry", default_ttl=WEEK, now=moment(at_us), convert=lambda df: df, writer=first_fails, name=name)
+        for _ in range(2):  # a batch may come again
+            sink(part, 0)
+
+    folder = FeatureStore(spark, path)
+    add("early", w.filter(et < MID_US), NOW_US)
+    add("middle", w.filter((et >= MID_US) & (et < LATE_US)), NOW_US + US)
+    steps(folder)
+    add("late", w.filter(et >= LATE_US), NOW_US + 9 * US)
+    return folder
+
+
+@query(
+    "store_deletions_hold",
+    f"""WITH {SQL_HIST}, {SQL_KEPT}, gone AS (SELECT DISTINCT entity_id FROM h WHERE feature_name = 'signup' AND value > 200)
+    SELECT entity_id, feature_name, value, et AS event_time_us, version FROM k WHERE n = 1
+    AND (et >= {LATE_US} OR entity_id NOT IN (SELECT entity_id FROM gone)) AND NOT (et < {LATE_US} AND feature_name = 'error')
+    QUALIFY row_number() OVER (PARTITION BY entity_id, feature_name ORDER BY et DESC) = 1""",
+)
+def store_deletions_hold(spark, d):
+    w = writes(spark, d)
+
+    def steps(folder: FeatureStore) -> None:
+        users = w.filter((F.col("feature_name") == "signup") & (F.col("value") > 200)).select("entity_id").distinct()
+        folder.delete(users, moment(NOW_US + 2 * US))
+        folder.delete(w.filter(F.col("feature_name") == "error").select("entity_id", "feature_name").distinct(), moment(NOW_US + 3 * US))
+        folder.compact()
+        folder.compact(moment(NOW_US - 90 * DAY * US))
+        folder.retry_failed()
+        folder.compact()
+
+    return view(_store_folder(spark, d, steps).online())
+
+
+@query(
+    "offline_history_dropped",
+    f"""WITH {SQL_HIST}, {SQL_KEPT} SELECT entity_id, feature_name, value, et AS event_time_us, version FROM k
+    WHERE n = 1 AND et >= {MID_US - 12 * HOUR * US}""",
+)
+def offline_history_dropped(spark, d):
+    folder = _store_folder(spark, d, lambda folder: None)
+    folder.drop_history_before(MID.date())
+    return view(folder.history())
+
+
 @query("offline_entity_index", f"WITH {SQL_HIST} SELECT entity_id, feature_name, max(et) AS last_updated_us FROM h GROUP BY ALL")
 def offline_entity_index(spark, d):
     return store.entity_index(history(spark, d)).select("entity_id", "feature_name", us("last_updated"))

@@ -31,16 +31,16 @@ FOLD_ROWS = 512
 
 def greedy_chain(
     points: DataFrame, keys: Sequence[str], x: str, distance: int, limit: int | None = None, fold: int | None = None,
-    bounded: bool = False, few: bool = False,
+    bounded: bool = False, cheap: bool = False, small: bool = False,
 ) -> DataFrame:
     """Selected points as (keys, x). ``points`` holds distinct (keys, x) with an integral ``x``.
 
-    ``bounded`` says that no key holds more than ``limit`` points, ``few`` that besides no key has more than ``fold``
-    selected ones. Islands are folded up to ``fold`` points in any case.
+    ``bounded`` says that no key holds more than ``limit`` points, ``small`` that besides none holds more than ``fold``,
+    ``cheap`` that the points come from a table that is already worked out. Islands are folded up to ``fold`` points.
     """
     keys, fold = list(keys), FOLD_ROWS if fold is None else fold
     points = points.select(*keys, x)
-    if not (bounded and few):
+    if not (cheap or small):
         # Counted, split and folded: worked out once.
         points = runtime.pin(points)
     cut, piece = with_slices(points, keys, x, limit, bounded=bounded)
@@ -53,7 +53,7 @@ def greedy_chain(
     rest = seen.filter(here - F.col("__island") >= F.lit(distance)).select(*keys, "__island", x)
 
     group = [*keys, "__island"]
-    big = hot_groups(rest, group, fold)
+    big = None if small else hot_groups(rest, group, fold)
     small_rest = rest
     if big is not None:
         small_rest = join_on(rest, big.select(*group), group, "left_anti")

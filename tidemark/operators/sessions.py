@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import runtime
@@ -25,18 +25,32 @@ def cell(us: Column, rule: SessionRule) -> Column:
     return us - F.pmod(us, F.lit(rule.join_micros))
 
 
-def session_cells(rows: DataFrame, keys: Sequence[str], us: str, rule: SessionRule, partials: Sequence[Column] = ()) -> DataFrame:
-    """One row per (keys, cell) with its session's start: ``__cell, __lo, __hi, __session`` and the partials."""
-    cells = (
-        rows.withColumn("__cell", cell(F.col(us), rule))
-        .groupBy(*keys, "__cell")
-        .agg(F.min(us).alias("__lo"), F.max(us).alias("__hi"), *partials)
-    )
-    w = Window.partitionBy(*keys).orderBy("__cell")
-    silence = F.col("__lo") - F.lag("__hi").over(w)
-    starts = F.when(silence.isNull() | (silence > F.lit(rule.join_micros)), F.col("__lo"))
-    cells = cells.withColumn("__opens", starts)
-    return cells.withColumn("__session", F.last("__opens", ignorenulls=True).over(w)).drop("__opens")
+def session_cells(
+    rows: DataFrame, keys: Sequence[str], us: str, rule: SessionRule, partials: Sequence[Column] = (), limit: int | None = None
+) -> DataFrame:
+    """One row per (keys, cell) with its session's start: ``__cell, __lo, __hi, __session`` and the partials.
+
+    A key has at most as many cells as there are gaps between the first and the last event of the table. If that is more
+    than ``limit``, cells are counted per key and a key with too many is scanned in slices: the end of the cell before a
+    slice, and the session that is open there, come from one summary row per slice.
+    """
+    cells = rows.withColumn("__cell", cell(F.col(us), rule)).groupBy(*keys, "__cell")
+    cells = cells.agg(F.min(us).alias("__lo"), F.max(us).alias("__hi"), *partials)
+    if rule.max_micros is not None:
+        # Kept, because sessions over the length limit ask for them again.
+        cells = runtime.pin(cells)
+        ends = cells.agg(F.min("__lo").alias("lo"), F.max("__hi").alias("hi")).first()
+    else:
+        ends = rows.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    few = ends["lo"] is None or (ends["hi"] - ends["lo"]) // rule.join_micros + 2 <= (limit or runtime.HOT_GROUP_ROWS)
+    if not few and rule.max_micros is None:
+        cells = runtime.pin(cells)
+    cut, piece = with_slices(cells, keys, "__cell", limit, bounded=few)
+    cut = running(cut, keys, ["__cell"], piece, {"__before": Running("last", F.col("__hi"), inclusive=False)})
+    silence = F.col("__lo") - F.col("__before")
+    opens = F.when(silence.isNull() | (silence > F.lit(rule.join_micros)), F.col("__lo"))
+    cut = running(cut, keys, ["__cell"], piece, {"__session": Running("last", opens)})
+    return cut.drop("__before", *([piece] if piece else []))
 
 
 @dataclass(frozen=True)
@@ -44,53 +58,41 @@ class SessionFacts:
     """What is known about sessions before they are cut: decides how much machinery the cut needs."""
 
     any_long: bool
-    # No key holds more rows than the limit.
+    # No session that is too long holds more rows than the limit.
     bounded: bool
-    # No session is cut into more parts than a single expression may collect.
-    few_parts: bool
+    # No session that is too long holds more rows than a single expression may collect.
+    small: bool
 
 
-def session_facts(cells: DataFrame, keys: Sequence[str], rule: SessionRule, limit: int | None = None) -> SessionFacts:
-    """Facts from pinned cells with a row count ``__rows``: one small job, no pass over the events."""
-    per_session = cells.groupBy(*keys, "__session").agg(
-        (F.max("__hi") - F.min("__lo")).alias("__span"), F.sum("__rows").alias("__rows")
-    )
-    per_key = per_session.groupBy(*keys).agg(F.max("__span").alias("__span"), F.sum("__rows").alias("__rows"))
-    most = per_key.agg(F.max("__span").alias("span"), F.max("__rows").alias("rows")).first()
-    if most["span"] is None:
+def session_facts(sessions: DataFrame, rule: SessionRule, limit: int | None = None) -> SessionFacts:
+    """Facts from pinned sessions ``__session, __last, __rows``: one small job, no pass over the events."""
+    long = F.col("__last") - F.col("__session") > F.lit(rule.max_micros)
+    most = sessions.agg(F.max(F.when(long, F.col("__rows"))).alias("rows")).first()["rows"]
+    if most is None:
         return SessionFacts(False, True, True)
-    return SessionFacts(
-        most["span"] > rule.max_micros,
-        most["rows"] <= (limit or runtime.HOT_GROUP_ROWS),
-        most["span"] // rule.max_micros < FOLD_ROWS,
-    )
+    return SessionFacts(True, most <= (limit or runtime.HOT_GROUP_ROWS), most <= min(FOLD_ROWS, limit or FOLD_ROWS))
 
 
-def long_sessions(cells: DataFrame, keys: Sequence[str], rule: SessionRule) -> DataFrame:
+def long_sessions(sessions: DataFrame, keys: Sequence[str], rule: SessionRule) -> DataFrame:
     """Sessions whose events span more than the maximum length."""
-    return (
-        cells.groupBy(*keys, "__session")
-        .agg((F.max("__hi") - F.min("__lo")).alias("__span"))
-        .filter(F.col("__span") > F.lit(rule.max_micros))
-        .select(*keys, "__session")
-    )
+    return sessions.filter(F.col("__last") - F.col("__session") > F.lit(rule.max_micros)).select(*keys, "__session")
 
 
 def sessionize(rows: DataFrame, keys: Sequence[str], us: str, rule: SessionRule, limit: int | None = None) -> DataFrame:
     """Add ``session_start`` (epoch microseconds) to every row."""
     keys = list(keys)
     group = [*keys, "__session"]
-    cells = session_cells(rows, keys, us, rule, [F.count(F.lit(1)).alias("__rows")])
-    facts = None
-    if rule.max_micros is not None:
-        cells = runtime.pin(cells)
-        facts = session_facts(cells, keys, rule, limit)
+    cells = session_cells(rows, keys, us, rule, [F.count(F.lit(1)).alias("__rows")], limit)
     placed = join_on(
         rows.withColumn("__cell", cell(F.col(us), rule)), cells.select(*keys, "__cell", "__session"), [*keys, "__cell"]
     ).drop("__cell")
-    if facts is None or not facts.any_long:
+    if rule.max_micros is None:
+        return placed.withColumnRenamed("__session", "session_start")
+    sessions = runtime.pin(cells.groupBy(*group).agg(F.max("__hi").alias("__last"), F.sum("__rows").alias("__rows")))
+    facts = session_facts(sessions, rule, limit)
+    if not facts.any_long:
         return placed.withColumnRenamed("__session", "session_start")
-    long = long_sessions(cells, keys, rule)
+    long = long_sessions(sessions, keys, rule)
     short_rows = join_on(placed, long, group, "left_anti").withColumn("session_start", F.col("__session"))
     long_rows = split_long(join_on(placed, long, group, "left_semi"), keys, us, rule, facts, limit)
     return short_rows.unionByName(long_rows).drop("__session")
@@ -103,7 +105,7 @@ def split_long(
     group = [*keys, "__session"]
     starts = greedy_chain(
         rows.select(*group, us).distinct(), group, us, rule.max_micros + 1, limit,
-        bounded=facts.bounded, few=facts.bounded and facts.few_parts,
+        bounded=facts.bounded, small=facts.small,
     )
     starts = starts.withColumn("__start", F.col(us))
     marked = join_on(rows, starts, [*group, us])

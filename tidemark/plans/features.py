@@ -358,18 +358,18 @@ def _fused_sessions(rows: DataFrame, spec: _Spec, row_limit: int | None) -> Data
     rule: W.SessionRule = spec.window[1]
     rows = rows.withColumn("__us", F.unix_micros("ts"))
     keys, group = ["entity_id"], ["entity_id", "__session"]
-    cells = session_cells(rows, keys, "__us", rule, [*_partials(rows, spec), F.count(F.lit(1)).alias("__rows")])
-    facts = None
-    if rule.max_micros is not None:
-        # Cells are one row per key and gap: kept, because sessions over the length limit ask for them again.
-        cells = runtime.pin(cells)
-        facts = session_facts(cells, keys, rule, row_limit)
-    merged = _merged(cells, spec, group, F.max("__hi").alias("__last")).withColumnRenamed("__session", "session_start")
-    if facts is None or not facts.any_long:
-        return _long(merged, spec.features, *_bounds(spec))
-    # Sessions within the length limit come from merged cells; only the longer ones go back to their events.
-    short = merged.filter(F.col("__last") - F.col("session_start") <= F.lit(rule.max_micros))
-    long = long_sessions(cells, keys, rule)
+    cells = session_cells(rows, keys, "__us", rule, [*_partials(rows, spec), F.count(F.lit(1)).alias("__rows")], row_limit)
+    sessions = _merged(cells, spec, group, F.max("__hi").alias("__last"), F.sum("__rows").alias("__rows"))
+    if rule.max_micros is None:
+        return _long(sessions.withColumnRenamed("__session", "session_start"), spec.features, *_bounds(spec))
+    # One row per session, worked out once: results of the short sessions, facts, and which ones are too long.
+    sessions = runtime.pin(sessions)
+    facts = session_facts(sessions, rule, row_limit)
+    short = sessions.filter(F.col("__last") - F.col("__session") <= F.lit(rule.max_micros)).withColumnRenamed("__session", "session_start")
+    if not facts.any_long:
+        return _long(short, spec.features, *_bounds(spec))
+    # Only sessions over the length limit go back to their events.
+    long = long_sessions(sessions, keys, rule)
     marked = join_on(cells, long, group, "left_semi").select("entity_id", "__cell", "__session")
     back = join_on(rows.withColumn("__cell", cell(F.col("__us"), rule)), marked, ["entity_id", "__cell"], "inner")
     parts = split_long(back.drop("__cell"), keys, "__us", rule, facts, row_limit)

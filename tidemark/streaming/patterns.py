@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
-from tidemark.functions.columns import interval
-from tidemark.plans.patterns import PatternDefinition, PatternSet, as_alerts, event_struct, pattern_events, threshold
+from tidemark.functions.columns import arrival, entity, interval
+from tidemark.plans.patterns import PatternDefinition, PatternSet, as_alerts, detect, event_struct
 from tidemark.streaming.ordered import OrderedProcessor
 
 STATE = "us array<bigint>, ids array<string>, types array<string>"
@@ -121,7 +121,7 @@ class FrequencyMachine(PatternMachine):
 def stream_pattern(events: DataFrame, p: PatternDefinition, delay_seconds: float = 5.0) -> DataFrame:
     """Alerts of one pattern, in the batch format."""
     if p.pattern_type == "threshold":
-        return threshold(events, p)
+        return detect(events, p)
     types = p.event_types
     if p.pattern_type == "absence":
         machine, wanted, usable = AbsenceMachine, (types[0], types[-1]) if types else (), len(types) >= 2
@@ -131,8 +131,9 @@ def stream_pattern(events: DataFrame, p: PatternDefinition, delay_seconds: float
         machine, wanted, usable = FrequencyMachine, types, bool(types)
     if not usable:
         raise ValueError(f"pattern '{p.name}' can never match")
-    rows = pattern_events(events, p, wanted).select(
-        "entity_id", "event_id", "event_type", F.col("__us").alias("us"), "seq", F.timestamp_micros("__us").alias("ts")
+    rows = events.filter(F.col("ts").isNotNull() & F.col("event_type").isin(*sorted(set(wanted)))).select(
+        entity(events, p.key_field).alias("entity_id"), F.col("event_id").cast("string").alias("event_id"), "event_type",
+        F.unix_micros("ts").alias("us"), arrival(events).alias("seq"), F.timestamp_micros(F.unix_micros("ts")).alias("ts"),
     )
     rows = rows.withWatermark("ts", interval(delay_seconds))
     seq_type = rows.schema["seq"].dataType.simpleString()
@@ -147,7 +148,9 @@ def stream_pattern(events: DataFrame, p: PatternDefinition, delay_seconds: float
         "frequency": F.create_map(F.lit("count"), F.size("us").cast("string")),
     }.get(p.pattern_type, F.create_map().cast("map<string,string>"))
     return as_alerts(
-        found.select("entity_id", F.col("match_us").alias("__match_us"), entries.alias("matched_events"), meta.alias("metadata")), p
+        found.select(
+            "entity_id", F.lit(0).alias("__no"), F.col("match_us").alias("__match_us"), entries.alias("matched_events"), meta.alias("metadata")
+        ), [p],
     )
 
 

@@ -1,9 +1,13 @@
 """Writing features from micro-batches (SINK-1..6, DUAL-1, DUAL-6, PIPE-10).
 
-Every micro-batch owns one directory per target, named after its writer and batch id, and overwrites it; an ad-hoc write
-or deletion has a writer name of its own, so writers never share a directory. The time of a batch is stored before its
-first attempt and ties are decided by content, so a repeated batch leaves the same data. Only directories with a
-``_SUCCESS`` mark are read. Snapshots list the directories that they replace.
+Each target is one Parquet table, partitioned by writer, batch and event date. A micro-batch overwrites its own partition;
+an ad-hoc write or deletion has a writer name of its own, so writers never share one. The time of a batch is stored before
+its first attempt and ties are decided by content, so a repeated batch leaves the same data. Should a driver die while
+Spark moves a batch's files into place, the batch is whole again when Spark has repeated it.
+
+Compaction is a job like others: it writes the latest rows as one more batch and removes the batches that it has read. Rows
+that are there twice change nothing, so it may stop anywhere. Deletion marks stay as long as a write that is older than
+they are may still arrive: one in the queue of failed writes, or a micro-batch that Spark may repeat.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +36,7 @@ STRATEGIES: dict[str, tuple[tuple[str, ...], bool]] = {
     "offline_first": (("offline", "online"), True),
 }
 FAILURES = ("fail_fast", "best_effort", "queue_retry")
+TIMES = "batch long, at long"
 
 
 def unit(writer: str, batch_id: int) -> str:
@@ -49,27 +55,35 @@ def write_batch(df: DataFrame, path: str, batch: str) -> None:
     spread.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/{batch}")
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, none if it is not there."""
+def _folder(spark: SparkSession, path: str) -> tuple[Any, Any]:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sorted(x.getPath().getName() for x in fs.listStatus(where)) if fs.exists(where) else []
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def committed(spark: SparkSession, path: str) -> list[str]:
-    """The batches of a target that were written to their end."""
-    found = [f"{w}/{b}" for w in children(spark, path) if w.startswith("writer=") for b in children(spark, f"{path}/{w}")]
-    return [x for x in found if "_SUCCESS" in children(spark, f"{path}/{x}")]
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _folder(spark, path)
+    return fs.exists(where)
 
 
-def read_batches(spark: SparkSession, path: str, batches: Sequence[str] | None = None) -> DataFrame:
-    """Batches of a target, all committed ones by default; ``writer``, ``batch_id`` and ``event_date`` are partition columns."""
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = _folder(spark, path)
+    fs.delete(where, True)
+
+
+def batches(spark: SparkSession, path: str, below: str = "") -> list[str]:
+    """Partitions of a target as ``writer=.../batch_id=...``, by their names only; for compaction and other upkeep."""
+    fs, where = _folder(spark, f"{path}/writer=*/batch_id=*{below}")
+    found = [x.getPath().toUri().getPath() for x in fs.globStatus(where) or []]
+    return sorted(x[x.rindex("/writer=") + 1 :] for x in found)
+
+
+def read_batches(spark: SparkSession, path: str, batch: str = "") -> DataFrame:
+    """A target, or one batch of it; ``writer``, ``batch_id`` and ``event_date`` are partition columns."""
     extra = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType()), T.StructField("event_date", T.DateType())]
     schema = T.StructType([*store.HISTORY.fields, *extra])
-    batches = committed(spark, path) if batches is None else batches
-    if not batches:
+    if not exists(spark, f"{path}/{batch}"):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{b}" for b in batches])
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{batch}")
 
 
 def as_writes(computed: DataFrame) -> DataFrame:
@@ -101,6 +115,7 @@ class StoreSink:
     writer: Callable[[DataFrame, str, str], None] = write_batch
     name: str = "stream"
     metrics: dict[str, int] = field(default_factory=lambda: {"records_written": 0, "batches": 0, "batch_errors": 0})
+    _counted: str | None = field(default=None, init=False)
 
     def __post_init__(self) -> None:
         if self.strategy not in STRATEGIES:
@@ -111,32 +126,37 @@ class StoreSink:
     def __call__(self, computed: DataFrame, batch_id: int) -> None:
         spark = computed.sparkSession
         batch = unit(self.name, batch_id)
-        again = all(batch in committed(spark, f"{self.path}/{t}") for t in ("online", "offline"))
         writes = self.convert(computed)
         if "seq" not in writes.columns:
             # Ties are decided by what is written, so a repeated batch decides them alike.
             parts = [F.to_json(c) if isinstance(writes.schema[c].dataType, T.MapType) else F.col(c).cast("string") for c in writes.columns]
             writes = writes.withColumn("seq", F.xxhash64(*parts))
-        rows = store.records(writes, self._time(spark, batch), self.ttl_seconds, self.default_ttl)
+        rows = store.records(writes, self._time(spark, batch_id), self.ttl_seconds, self.default_ttl)
         # Repeats of the same window's feature within the batch count once (SINK-2).
         rows = dual.dedup(rows, [*store.KEYS, "event_time"])
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._write(rows, batch)
-            if not again:
+            if self._counted != batch:  # a repeat counts once
+                self._counted = batch
                 self.metrics["records_written"] += rows.count()
                 self.metrics["batches"] += 1
         finally:
             rows.unpersist()
 
-    def _time(self, spark: SparkSession, batch: str) -> Column:
-        """When the batch was first attempted: stored, so that a repeat has the same ingestion time."""
+    def _time(self, spark: SparkSession, batch_id: int) -> Column:
+        """When the batch was first attempted: stored, so that a repeat has the same ingestion time.
+
+        A writer's last batch only is kept, since Spark does not go back further.
+        """
         if self.now is not None:
             return self.now
-        path = f"{self.path}/times/{batch}"
-        if "_SUCCESS" not in children(spark, path):
-            spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(path)
-        return F.timestamp_micros(F.lit(spark.read.parquet(path).select(F.unix_micros("at")).first()[0]))
+        path = f"{self.path}/times/writer={self.name}"
+        stored = spark.read.schema(TIMES).parquet(path).filter(F.col("batch") == batch_id).first() if exists(spark, path) else None
+        if stored is None:
+            spark.range(1).select(F.lit(batch_id).cast("long").alias("batch"), F.unix_micros(F.current_timestamp()).alias("at")).write.mode("overwrite").parquet(path)
+            stored = spark.read.schema(TIMES).parquet(path).first()
+        return F.timestamp_micros(F.lit(stored["at"]))
 
     def _write(self, rows: DataFrame, batch: str) -> None:
         targets, ordered = STRATEGIES[self.strategy]
@@ -148,6 +168,7 @@ class StoreSink:
                 # The online target only needs the last value per feature (SINK-3).
                 part = dual.last_per_feature(rows, F.struct("event_time", store.write_order())) if target == "online" else rows
                 self.writer(part, f"{self.path}/{target}", batch)
+                remove(rows.sparkSession, f"{self.path}/failed/{target}/{batch}")  # of an attempt before this one
             except Exception as e:  # noqa: BLE001
                 self.metrics["batch_errors"] += 1
                 errors.append((target, e))
@@ -170,14 +191,7 @@ class FeatureStore:
         return read_batches(self.spark, f"{self.path}/offline").select(*store.HISTORY.names)
 
     def online_log(self) -> DataFrame:
-        """The last snapshot and every online batch that it does not cover."""
-        base = self._snapshot()
-        if base is None:
-            return read_batches(self.spark, f"{self.path}/online").select(*store.HISTORY.names)
-        covered = set(self._covered(base))
-        rest = [b for b in committed(self.spark, f"{self.path}/online") if b not in covered]
-        kept = self.spark.read.schema(store.HISTORY).parquet(f"{self.path}/snapshots/{base}/data")
-        return read_batches(self.spark, f"{self.path}/online", rest).select(*store.HISTORY.names).unionByName(kept)
+        return read_batches(self.spark, f"{self.path}/online").select(*store.HISTORY.names)
 
     def online(self) -> DataFrame:
         """The latest value of each key (FS-2)."""
@@ -187,6 +201,7 @@ class FeatureStore:
         """Write values to both targets under a writer name of its own, which is returned (FS-1, ON-1, OFF-1)."""
         name = f"adhoc-{uuid.uuid4().hex}"
         StoreSink(self.path, ttl_seconds=ttl_seconds, now=now, convert=lambda df: df, name=name)(writes, 0)
+        remove(self.spark, f"{self.path}/times/writer={name}")  # nobody repeats it
         return name
 
     def delete(self, targets: DataFrame, now: Column | None = None) -> str:
@@ -198,44 +213,68 @@ class FeatureStore:
         return name
 
     def compact(self, now: Column | None = None) -> int:
-        """Write a snapshot of the online state, without expired values; returns the number removed (FS-11).
+        """Reduce the online target to the latest values, without expired ones; returns the number removed (FS-11).
 
-        Deletions need no mark any more once the values they hide are gone. The batches that the snapshot before this
-        one covered are removed from the folder, and that snapshot with them: readers that began with it had a whole
-        compaction's time.
+        Deletion marks not older than ``oldest_open_write`` stay, the last one of each key. Readers that began before
+        may miss a file and have to be repeated, so this is for quiet hours.
         """
-        batches = committed(self.spark, f"{self.path}/online")
-        base = self._snapshot()
-        if not batches and base is None:
+        path = f"{self.path}/online"
+        names = batches(self.spark, path)
+        if not names:
             return 0
-        view = self.online()
-        kept = view if now is None else store.unexpired(view, now)
+        log = self.online_log()
+        view = store.online(log)
         removed = 0 if now is None else store.expired(view, now).count()
-        version = 0 if base is None else int(base.split("=")[1]) + 1
-        path = f"{self.path}/snapshots/version={version}"
-        kept.select(*store.HISTORY.names).write.mode("overwrite").parquet(f"{path}/data")
-        covers = self.spark.createDataFrame([(b,) for b in batches], "batch string")
-        covers.write.mode("overwrite").parquet(f"{path}/covers")
-        if base is not None:
-            for b in self._covered(base):
-                self._remove(f"{self.path}/online/{b}")
-            self._remove(f"{self.path}/snapshots/{base}")
+        kept = view if now is None else store.unexpired(view, now)
+        kept = kept.select(*store.HISTORY.names)
+        since = self.oldest_open_write()
+        if since is not None:
+            marks = log.filter((F.col("op") != "set") & (F.col("ingestion_time") >= F.timestamp_micros(F.lit(since))))
+            last = F.max_by(F.struct(*[c for c in store.HISTORY.names if c not in (*store.KEYS, "op")]), store.write_order())
+            marks = marks.groupBy(*store.KEYS, "op").agg(last.alias("r")).select(*store.KEYS, "op", "r.*")
+            kept = kept.unionByName(marks)
+        number = 1 + max([int(n.rsplit("=", 1)[1]) for n in names if n.startswith("writer=compact/")], default=-1)
+        write_batch(kept, path, unit("compact", number))
+        for n in names:
+            remove(self.spark, f"{path}/{n}")
         return removed
 
+    def oldest_open_write(self) -> int | None:
+        """The earliest ingestion time, in microseconds, of a write that may still reach the online target; None if none.
+
+        Open are the failed online writes, and the last batch of every stream, as Spark may repeat it. Writes that bring
+        an older ingestion time of their own later on are not foreseen.
+        """
+        failed = read_batches(self.spark, f"{self.path}/failed/online").agg(F.min(F.unix_micros("ingestion_time"))).first()[0]
+        times = f"{self.path}/times"
+        last = self.spark.read.schema(TIMES).parquet(times).agg(F.min("at")).first()[0] if exists(self.spark, times) else None
+        return min([t for t in (failed, last) if t is not None], default=None)
+
+    def drop_history_before(self, day: date) -> int:
+        """Remove the offline partitions of event dates before ``day``; returns how many (OFF-5).
+
+        Which they are is read from the names of directories; no data is read.
+        """
+        path = f"{self.path}/offline"
+        old = [n for n in batches(self.spark, path, "/event_date=*") if n.rsplit("=", 1)[1] < day.isoformat()]
+        for n in old:
+            remove(self.spark, f"{path}/{n}")
+        return len(old)
+
     def export_snapshot(self, path: str, now: Column) -> None:
         """Nested JSON of the unexpired values, one object per entity (FS-12)."""
         store.nested_snapshot(self.online(), now).write.mode("overwrite").json(path)
 
     def retry_failed(self) -> tuple[int, int]:
-        """Write the batches that a target missed; returns how many succeeded and failed (DUAL-6)."""
+        """Write the batches that a target missed; returns how many succeeded and failed (DUAL-6).
+
+        They keep their ingestion times, so deletions that came after them hold.
+        """
         ok = bad = 0
         for target in ("online", "offline"):
             failed, done = f"{self.path}/failed/{target}", f"{self.path}/{target}"
-            written = set(committed(self.spark, done))
-            for b in committed(self.spark, failed):
-                if b in written:
-                    continue
-                rows = read_batches(self.spark, failed, [b]).select(*store.HISTORY.names)
+            for b in batches(self.spark, failed):
+                rows = read_batches(self.spark, failed, b).select(*store.HISTORY.names)
                 part = dual.last_per_feature(rows, F.struct("event_time", store.write_order())) if target == "online" else rows
                 try:
                     write_batch(part, done, b)
@@ -243,21 +282,9 @@ class FeatureStore:
                 except Exception:  # noqa: BLE001
                     bad += 1
                     continue
-                self._remove(f"{failed}/{b}")
+                remove(self.spark, f"{failed}/{b}")
         return ok, bad
 
-    def _snapshot(self) -> str | None:
-        names = [n for n in children(self.spark, f"{self.path}/snapshots") if n.startswith("version=")]
-        whole = [n for n in names if "_SUCCESS" in children(self.spark, f"{self.path}/snapshots/{n}/covers")]
-        return max(whole, key=lambda n: int(n.split("=")[1]), default=None)
-
-    def _covered(self, snapshot: str) -> list[str]:
-        return [r.batch for r in self.spark.read.schema("batch string").parquet(f"{self.path}/snapshots/{snapshot}/covers").collect()]
-
-    def _remove(self, path: str) -> None:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
-
 
 def start(stream: DataFrame, sink: Callable[[DataFrame, int], Any], checkpoint: str, **trigger: Any) -> StreamingQuery:
     """Run a stream into a sink: ``processingTime="5 seconds"`` or ``availableNow=True`` (SINK-1).
