@@ -67,15 +67,26 @@ def test_windows_equal_batch(source):
 
 def test_capped_sessions_equal_batch(source):
     ev, read, batch = source
-    fs = FeatureSet(tuple(FeatureDefinition(f"{a}_c", a, "session", 0, "v", session_gap_seconds=20, max_session_seconds=50, allowed_lateness_seconds=0) for a in ("count", "sum", "min", "max", "avg", "stddev", "first_value", "last_value")))
+    fs = FeatureSet(tuple(FeatureDefinition(f"{a}_c", a, "session", 0, "v", session_gap_seconds=20, max_session_seconds=50, allowed_lateness_seconds=0) for a in ("count", "sum", "min", "max", "avg", "stddev", "first_value", "last_value", "distinct_count", "percentile")))
     want, got = tidy(fs.compute(batch)), tidy(drain(stream_all(fs, read(), 0)))
     # Only sessions still open at the end are missing.
     assert set(got) <= set(want)
     open_ones = {r[1] for r in want if r not in got}
     last = max(e[3] for e in ev)
     assert all(r[3] + 1e-6 > last for r in want if r not in got) and len(open_ones) <= 2
-    with pytest.raises(ValueError):
-        stream_all(FeatureSet((FeatureDefinition("p", "percentile", "session", 0, "v", session_gap_seconds=20),)), read())
+
+
+def test_percentile_of_counted_values():
+    import numpy as np
+
+    from tidemark.streaming.sessions import percentile
+
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        values = rng.integers(0, 9, rng.integers(1, 12)) / 2
+        counted = [(float(v), int((values == v).sum())) for v in set(values.tolist())]
+        for p in (0, 12.5, 50, 95, 100):
+            assert percentile(counted, p) == pytest.approx(np.percentile(values, p))
 
 
 @pytest.fixture(scope="module")

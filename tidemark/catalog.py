@@ -230,9 +230,9 @@ def sql_sessions(agg: str, join_us: int) -> str:
 
 SQL_CAPPED = f"""WITH RECURSIVE {EV},
     r AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY us, event_id) AS rn FROM ev),
-    s AS (SELECT entity_id, rn, us, value, event_id, us AS start FROM r WHERE rn = 1
+    s AS (SELECT entity_id, rn, us, value, event_id, k, us AS start FROM r WHERE rn = 1
           UNION ALL
-          SELECT r.entity_id, r.rn, r.us, r.value, r.event_id,
+          SELECT r.entity_id, r.rn, r.us, r.value, r.event_id, r.k,
                  CASE WHEN r.us <= least(s.us + {GAP * US}, s.start + {CAP * US}) THEN s.start ELSE r.us END
           FROM s JOIN r ON r.entity_id = s.entity_id AND r.rn = s.rn + 1)
     SELECT entity_id, start AS window_start_us, least(max(us) + {GAP * US}, start + {CAP * US}) AS window_end_us,
@@ -1292,6 +1292,7 @@ def _register_streams() -> None:
     base = {"session_gap_seconds": GAP}
     add("stream_tumbling", feature("avg", "tumbling", window_size_seconds=DAY), sql_windows("avg", DAY))
     add("stream_tumbling_distinct", feature("distinct_count", "tumbling", window_size_seconds=DAY), sql_windows("distinct_count", DAY))
+    add("stream_sliding_distinct", feature("distinct_count", "sliding", window_size_seconds=DAY, slide_seconds=6 * HOUR), sql_windows("distinct_count", DAY, 6 * HOUR))
     add("stream_sliding", feature("sum", "sliding", window_size_seconds=DAY, slide_seconds=6 * HOUR), sql_windows("sum", DAY, 6 * HOUR))
     add("stream_session", feature("count", "session", **base, max_session_seconds=None), sql_sessions("count", GAP * US))
 
@@ -1309,7 +1310,7 @@ SQL_STREAM_CAPPED = f"""SELECT * EXCLUDE (nxt) FROM (
 
 
 def _register_capped_streams() -> None:
-    for agg in ("count", "stddev", "first_value", "last_value"):
+    for agg in ("count", "stddev", "first_value", "last_value", "distinct_count", "percentile"):
         f = feature(agg, "session", session_gap_seconds=GAP, max_session_seconds=CAP)
         name = "stream_session_capped" + ("" if agg == "count" else f"_{agg}")
         query(name, SQL_STREAM_CAPPED.replace("CAPPED", SQL_CAPPED.replace("AGG", SQL_AGG[agg])))(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import aggregates as A
 from tidemark.functions import windows as W
 from tidemark.functions.columns import interval
-from tidemark.plans.features import FeatureSet, _base_rows, _long, _order, _Spec
+from tidemark.plans.features import OUTPUT, FeatureSet, _base_rows, _long, _order, _Spec
 from tidemark.streaming.sessions import capped_sessions
 
 
@@ -43,7 +43,31 @@ def _stream_spec(events: DataFrame, spec: _Spec) -> DataFrame:
         w = W.tumbling(F.col("ts"), f.window_size_seconds, f.offset_seconds)
     else:
         w = W.sliding(F.col("ts"), f.window_size_seconds, f.slide)
-    return _long(_aggregate(rows, spec, w), spec.features, F.col("__w.start"), F.col("__w.end"))
+    distinct = [f for f in spec.features if f.aggregation == "distinct_count" and not f.approx]
+    rest = [f for f in spec.features if f not in distinct]
+    parts = []
+    if distinct:
+        own = spec.only(distinct)
+        parts.append(_distinct(_base_rows(events, own), own, w))
+    if rest:
+        own = spec.only(rest)
+        parts.append(_long(_aggregate(_base_rows(events, own), own, w), own.features, F.col("__w.start"), F.col("__w.end")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _distinct(rows: DataFrame, spec: _Spec, window: Column) -> DataFrame:
+    """Exact distinct counts in two steps of state (AGG-6): rows by value, then values by window.
+
+    A state row has a count and no set, however many values a window has, and values are spread over all tasks. Both
+    steps close a window with the watermark, so the second sees a value once.
+    """
+    entries = [F.struct(F.lit(f.name).alias("feature_name"), F.col(f"d{i}").alias("__x"), F.col(f"v{i}").alias("__v")) for i, f in enumerate(spec.features)]
+    routed = rows.select("entity_id", "ts", F.inline(F.array(*entries))).filter(F.col("__v").isNotNull())
+    values = routed.groupBy("entity_id", window.alias("__w"), "feature_name", "__x").agg(F.count(F.lit(1)).alias("n"))
+    counts = values.groupBy("entity_id", "__w", "feature_name").agg(F.count(F.lit(1)).cast("double").alias("feature_value"), F.sum("n").alias("event_count"))
+    return counts.select(
+        "entity_id", "feature_name", "feature_value", F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), "event_count"
+    ).select(*OUTPUT)
 
 
 def _aggregate(rows: DataFrame, spec: _Spec, window: Column, *extra: Column) -> DataFrame:

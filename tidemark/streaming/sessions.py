@@ -1,7 +1,8 @@
 """Sessions with a length limit on streams (WIN-4): state and an event-time timer per key.
 
 Events are applied in time order once the watermark has passed them, so sessions, first and last values are those of
-the batch operator. State per key is one open session besides the waiting events.
+the batch operator. State per key is one open session besides the waiting events. Distinct counts and percentiles count
+values in a map of their own state rows, which is read once, when the session is over.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 from tidemark.functions.windows import SessionRule
 from tidemark.streaming.ordered import OrderedProcessor
 
-SUPPORTED = ("count", "sum", "avg", "min", "max", "stddev", "first_value", "last_value")
+# Aggregations that need every value of a session with its count.
+BY_VALUE = ("distinct_count", "percentile")
 
 # Per feature: count, sum, smallest, largest, first, last, and mean and squared deviations for the spread.
 PARTS = ("n", "s", "lo", "hi", "first", "newest", "mean", "m2")
@@ -28,19 +30,66 @@ OUT = T.StructType([
     T.StructField("start", T.LongType()),
     T.StructField("last", T.LongType()),
     *[T.StructField(c, T.ArrayType(T.LongType() if c == "n" else T.DoubleType())) for c in PARTS],
+    T.StructField("by_value", T.ArrayType(T.DoubleType())),
 ])
 
 
+def percentile(counted: Sequence[tuple[float, int]], p: float) -> float:
+    """The percentile, interpolated between neighbours, of values with their counts."""
+    ordered = sorted(counted)
+    at = (sum(n for _, n in ordered) - 1) * p / 100.0
+    low, found, before = int(at), [], 0
+    for value, n in ordered:
+        found += [value] * sum(before <= k < before + n for k in (low, low + 1))
+        before += n
+        if len(found) == 2:
+            break
+    return found[0] + (at - low) * (found[-1] - found[0])
+
+
 class CappedSessions(OrderedProcessor):
-    """Keeps the open session of a key and emits it when it is over."""
+    """Keeps the open session of a key and emits it when it is over.
+
+    ``by_value`` has, for each feature, None, "distinct_count", or the percentile wanted.
+    """
 
-    def __init__(self, width: int, join_us: int, gap_us: int, max_us: int) -> None:
-        super().__init__([("us", "bigint"), ("seq", "string"), ("v", "array<double>")])
-        self.width, self.join_us, self.gap_us, self.max_us = width, join_us, gap_us, max_us
+    def __init__(self, by_value: Sequence[Any], join_us: int, gap_us: int, max_us: int) -> None:
+        super().__init__([("us", "bigint"), ("seq", "string"), ("v", "array<double>"), ("d", "array<string>")])
+        self.by_value, self.width, self.join_us, self.gap_us, self.max_us = list(by_value), len(by_value), join_us, gap_us, max_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.open = handle.getValueState("session", STATE)
+        self.counts = handle.getMapState("counts", "feature int, value string", "n bigint") if any(k is not None for k in self.by_value) else None
+
+    def _count(self, fresh: dict[tuple[int, str], int], values: Sequence[float | None], names: Sequence[str | None]) -> None:
+        """Count an event's values; they reach the state once for all events that are applied together."""
+        for i, kind in enumerate(self.by_value):
+            if kind is not None and values[i] is not None and values[i] == values[i]:
+                key = (i, str(names[i]) if kind == "distinct_count" else repr(values[i] + 0.0))
+                fresh[key] = fresh.get(key, 0) + 1
+
+    def _keep(self, fresh: dict[tuple[int, str], int]) -> None:
+        for key, n in fresh.items():
+            before = self.counts.getValue(key)[0] if self.counts.containsKey(key) else 0
+            self.counts.updateValue(key, (before + n,))
+        fresh.clear()
+
+    def _finish(self, s: dict[str, Any], fresh: dict[tuple[int, str], int]) -> dict[str, Any]:
+        """A session that is over, with what its counted values give; the map is empty afterwards."""
+        found: list[list[tuple[str, int]]] = [[] for _ in self.by_value]
+        if self.counts is not None:
+            self._keep(fresh)
+            for key, value in self.counts.iterator() if self.counts.exists() else ():
+                found[int(key[0])].append((key[1], int(value[0])))
+            self.counts.clear()
+        results: list[float | None] = []
+        for kind, counted in zip(self.by_value, found):
+            if kind is None or not counted:
+                results.append(None)
+            else:
+                results.append(float(len(counted)) if kind == "distinct_count" else percentile([(float(x), n) for x, n in counted], kind))
+        return {**s, "by_value": results}
 
     def _over(self, s: dict[str, Any]) -> int:
         """When the session has ended and nothing can join it any more."""
@@ -76,17 +125,18 @@ class CappedSessions(OrderedProcessor):
 
     def advance(self, key, events, until_us):
         s, done = self._load(), []
-        for us, _, values in events:
-            if s is not None and us - s["last"] <= self.join_us and us <= s["start"] + self.max_us:
-                self._add(s, us, values)
-                continue
-            if s is not None:
-                done.append(s)
-            s = self._fresh(us)
+        fresh: dict[tuple[int, str], int] = {}
+        for us, _, values, names in events:
+            if s is None or us - s["last"] > self.join_us or us > s["start"] + self.max_us:
+                if s is not None:
+                    done.append(self._finish(s, fresh))
+                s = self._fresh(us)
             self._add(s, us, values)
+            self._count(fresh, values, names)
         if s is not None and self._over(s) <= until_us:
-            done.append(s)
+            done.append(self._finish(s, fresh))
             s = None
+        self._keep(fresh)
         if s is None:
             self.open.clear()
         else:
@@ -111,19 +161,22 @@ def capped_sessions(rows: DataFrame, features: Sequence[Any], rule: SessionRule)
     """Session features in the output format, from base rows with one value column per feature."""
     from tidemark.plans.features import OUTPUT
 
-    unsupported = [f.name for f in features if f.aggregation not in SUPPORTED]
-    if unsupported:
-        raise ValueError(f"not available for length-limited sessions on streams: {unsupported}")
     cols = [F.col(f"v{i}") for i in range(len(features))]
-    slim = rows.select("entity_id", "ts", F.unix_micros("ts").alias("us"), _arrival(rows).alias("seq"), F.array(*cols).alias("v"))
+    names = [F.col(f"d{i}").cast("string") if f.aggregation == "distinct_count" else F.lit(None).cast("string") for i, f in enumerate(features)]
+    slim = rows.select(
+        "entity_id", "ts", F.unix_micros("ts").alias("us"), _arrival(rows).alias("seq"), F.array(*cols).alias("v"), F.array(*names).alias("d")
+    )
+    by_value = [{"distinct_count": "distinct_count", "percentile": f.percentile_value}.get(f.aggregation) for f in features]
     done = slim.groupBy("entity_id").transformWithStateInPandas(
-        CappedSessions(len(features), rule.join_micros, rule.gap_micros, rule.max_micros), OUT, "Append", "EventTime"
+        CappedSessions(by_value, rule.join_micros, rule.gap_micros, rule.max_micros), OUT, "Append", "EventTime"
     )
     pick = {"count": "n", "sum": "s", "min": "lo", "max": "hi", "first_value": "first", "last_value": "newest"}
     entries = []
     for i, f in enumerate(features):
         n = F.col("n")[i]
-        if f.aggregation == "avg":
+        if f.aggregation in BY_VALUE:
+            v = F.col("by_value")[i]
+        elif f.aggregation == "avg":
             v = F.col("s")[i] / n
         elif f.aggregation == "stddev":
             v = F.when(n > 1, F.sqrt(F.col("m2")[i] / (n - 1))).otherwise(F.lit(0.0))
