@@ -1067,6 +1067,77 @@ def wire_schema_defaults(spark, d):
     )
 
 
+# Version 2 has one field more, version 3 one less and a default for the correlation id.
+SCHEMA_VERSIONS = {
+    1: wire.V1, 2: (*wire.V1, wire.Field("unit", "string", "ms")),
+    3: (*[wire.Field("correlation_id", "string", "none") if f.name == "correlation_id" else f for f in wire.V1 if f.name != "event_type"], wire.Field("unit", "string", "us")),
+}
+
+
+@query(
+    "wire_schema_versions",
+    f"""WITH {EV}, v AS (SELECT *, 1 + event_id % 4 AS version FROM ev)
+    SELECT us AS timestamp_us, version, CASE WHEN version < 3 THEN 'kind-' || event_type ELSE 'feature_update' END AS event_type,
+    CASE WHEN version = 1 THEN 'ms' WHEN k::INT < 50 THEN 'unit-' || k WHEN version = 2 THEN 'ms' ELSE 'us' END AS unit,
+    CASE WHEN k::INT % 3 > 0 THEN 'c-' || event_id WHEN version >= 3 THEN 'none' ELSE '' END AS correlation_id,
+    CASE WHEN k::INT % 3 = 0 AND version < 3 THEN 'missing field: correlation_id' ELSE '' END AS error FROM v""",
+)
+def wire_schema_versions(spark, d):
+    ev, k = events(spark, d), F.col("properties.k").cast("int")
+    body = F.to_json(F.struct(
+        F.col("user_id").alias("entity_id"), F.col("event_type").alias("feature_name"), F.col("properties.value").alias("feature_value"),
+        (F.unix_micros("ts") / 1e6).alias("timestamp"), F.concat(F.lit("kind-"), "event_type").alias("event_type"),
+        F.when(k < 50, F.concat(F.lit("unit-"), k.cast("string"))).alias("unit"), F.when(k % 3 > 0, F.concat(F.lit("c-"), F.col("event_id").cast("string"))).alias("correlation_id"),
+    ))
+    msgs = ev.select(F.concat(wire.header(1 + F.col("event_id") % 4), F.encode(body, "UTF-8")).alias("value"))
+    got = wire.decode(msgs, SCHEMA_VERSIONS, reader=2)
+    return got.select(
+        F.round(F.col("timestamp") * 1e6).cast("bigint").alias("timestamp_us"), F.col("schema_version").alias("version"), "event_type", "unit",
+        F.coalesce("correlation_id", F.lit("")).alias("correlation_id"), F.coalesce("_error", F.lit("")).alias("error"),
+    )
+
+
+# Event times to the full six hours, so that many are equal; arrival is in the reverse order of the event numbers.
+TIED = f"""tied AS (SELECT CAST(user_id AS VARCHAR) AS entity_id, event_type, value, event_id,
+    epoch_us(ts) - epoch_us(ts) % {6 * HOUR * US} AS us, 1000000000 - event_id AS arrival FROM events)"""
+
+
+def broker_events(spark: SparkSession, d: str) -> DataFrame:
+    """Messages in files with the columns of a broker, read back as events."""
+    us6 = F.unix_micros("ts") - F.unix_micros("ts") % (6 * HOUR * US)
+    ev = events(spark, d)
+    payload = ev.select(
+        F.col("user_id").alias("entity_id"), F.col("event_type").alias("feature_name"), F.col("properties.value").alias("feature_value"),
+        (us6 / 1e6).alias("timestamp"), F.col("event_id").cast("string").alias("correlation_id"), "event_id",
+    )
+    sent = wire.encode(payload, "features").select("key", "value", "headers", "topic")
+    number = F.get_json_object(F.substring("value", 6, 1 << 30).cast("string"), "$.correlation_id").cast("bigint")
+    place = sent.withColumns({"partition": F.pmod(F.hash("key"), F.lit(4)), "offset": 1_000_000_000 - number, "timestamp": F.lit(None).cast("timestamp")})
+    path = runtime.scratch_path(spark, "broker")
+    place.write.parquet(path)
+    return wire.as_events(wire.good(wire.decode(spark.read.schema(place.schema).parquet(path))))
+
+
+@query(
+    "broker_order_last",
+    f"""WITH {TIED} SELECT entity_id, us - us % {DAY * US} AS window_start_us, us - us % {DAY * US} + {DAY * US} AS window_end_us,
+    round(arg_max(value, (us, arrival)), 6) AS feature_value, count(*) AS event_count FROM tied GROUP BY ALL""",
+)
+def broker_order_last(spark, d):
+    f = feature("last_value", "tumbling", window_size_seconds=DAY)
+    return tidy(FeatureSet((f,)).compute(broker_events(spark, d)))
+
+
+@query(
+    "broker_order_absence",
+    f"""WITH {TIED}, f AS (SELECT *, lead(us) OVER (PARTITION BY entity_id ORDER BY us, arrival) AS nxt FROM tied WHERE event_type IN ('click', 'purchase'))
+    SELECT entity_id, us + {48 * HOUR * US} AS match_ts_us, CAST(event_id AS VARCHAR) AS event_ids FROM f
+    WHERE event_type = 'click' AND (nxt IS NULL OR nxt > us + {48 * HOUR * US})""",
+)
+def broker_order_absence(spark, d):
+    return shown(detect(broker_events(spark, d), ABSENCE)).select("entity_id", "match_ts_us", "event_ids")
+
+
 @query(
     "partition_keys",
     f"""WITH {EV} SELECT event_id, entity_id AS key_hash, md5(entity_id || ':' || event_type) AS feature_group, '' AS round_robin FROM ev""",
@@ -1174,19 +1245,34 @@ def error_rate(spark, d):
 @query(
     "metrics_report",
     f"""WITH {SQL_LATE}, lat AS ({SQL_LATENCY} FROM (SELECT value FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000)),
-    win AS (SELECT DISTINCT entity_id, us - us % {DAY * US} + {DAY * US} AS e FROM ev)
-    SELECT 0::BIGINT AS filtered, (SELECT count(*) FROM wm WHERE wm - us <= 1800000000) AS processed,
+    win AS (SELECT entity_id, us - us % {DAY * US} + {DAY * US} AS e, sum(value) AS v FROM ev GROUP BY ALL),
+    flat AS ({SQL_LATENCY.replace("value", "v")} FROM (SELECT v FROM win ORDER BY e DESC, v DESC LIMIT 1000)),
+    bad AS (SELECT CASE WHEN value >= 50 THEN 'timeout' ELSE 'parse_error' END AS t, count(*) AS n FROM ev WHERE event_type = 'error' GROUP BY ALL),
+    used AS (SELECT avg(u) AS a, max(u) AS m, count(*) AS n FROM (SELECT least(value / 100.0, 1.0) AS u FROM events ORDER BY ts DESC, event_id DESC LIMIT 100)),
+    c AS (SELECT 0::BIGINT AS filtered, (SELECT count(*) FROM wm WHERE wm - us <= 1800000000) AS processed,
     (SELECT count(*) FROM wm WHERE us < wm) AS late, (SELECT count(*) FROM wm WHERE wm - us > 1800000000) AS dropped,
     (SELECT count(*) FROM win) AS features_computed, (SELECT count(*) FROM win WHERE e > {NOW_US}) AS windows_active,
-    (SELECT count(*) FROM win WHERE e <= {NOW_US}) AS windows_triggered, lat.count AS latency_samples,
-    lat.mean_ms, lat.p95_ms, lat.p99_ms FROM lat""",
+    (SELECT count(*) FROM win WHERE e <= {NOW_US}) AS windows_triggered)
+    SELECT c.*, lat.count AS latency_samples, lat.mean_ms, lat.p95_ms, lat.p99_ms, flat.median_ms AS feature_median_ms,
+    (SELECT round(count(*) / (({NOW_US} - min(us)) / 1e6), 6) FROM ev WHERE us BETWEEN {NOW_US - 3 * DAY * US} AND {NOW_US}) AS throughput_eps,
+    (SELECT round(count(*) / (({NOW_US} - min(e)) / 1e6), 6) FROM win WHERE e BETWEEN {NOW_US - 3 * DAY * US} AND {NOW_US}) AS throughput_fps,
+    (SELECT sum(n)::BIGINT FROM bad) AS errors, (SELECT string_agg(t || '=' || n, ',' ORDER BY t) FROM bad) AS errors_by_type,
+    round((SELECT sum(n) FROM bad) / c.processed, 6) AS error_rate, (SELECT round(({NOW_US} - max(e)) / 1e6, 2) FROM win) AS freshness_s,
+    CASE WHEN a > 0.9 THEN 'critical' WHEN a > 0.7 THEN 'high' WHEN a > 0.5 THEN 'moderate' ELSE 'none' END AS backpressure,
+    round(a, 3) AS avg_utilization, round(m, 3) AS max_utilization, used.n AS backpressure_samples FROM c, lat, flat, used""",
 )
 def metrics_report(spark, d):
-    t = tagged(spark, d).withColumn("value", F.col("properties.value"))
-    rep = monitor.report(t, DAILY_SUM.compute(events(spark, d)), moment(NOW_US))
+    v = F.col("properties.value")
+    rep = monitor.report(
+        tagged(spark, d).withColumn("value", v), DAILY_SUM.compute(events(spark, d)), moment(NOW_US), window_seconds=3 * DAY,
+        is_error=F.col("event_type") == "error", error_type=F.when(v >= 50, "timeout").otherwise("parse_error"),
+        utilization=F.least(v / 100.0, F.lit(1.0)), feature_latency="feature_value",
+    )
+    by_type = F.array_join(F.transform(F.map_entries("errors_by_type"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
     return rep.select(
-        "filtered", "processed", "late", "dropped", "features_computed", "windows_active", "windows_triggered",
-        "latency_samples", "mean_ms", "p95_ms", "p99_ms",
+        "filtered", "processed", "late", "dropped", "features_computed", "windows_active", "windows_triggered", "latency_samples", "mean_ms", "p95_ms", "p99_ms",
+        "feature_median_ms", r6("throughput_eps").alias("throughput_eps"), r6("throughput_fps").alias("throughput_fps"), "errors", by_type.alias("errors_by_type"),
+        "error_rate", F.map_values("freshness")[0].alias("freshness_s"), "backpressure", "avg_utilization", "max_utilization", "backpressure_samples",
     )
 
 

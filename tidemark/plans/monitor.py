@@ -123,26 +123,68 @@ def window_stats(computed: DataFrame, watermark: Column) -> DataFrame:
     return computed.agg(F.count_if(~fired).alias("active"), F.count_if(fired).alias("triggered"))
 
 
+def _counted(rows: DataFrame, name: Column, value: Column, out: str) -> DataFrame:
+    """One row with a map; ``name`` has few values, such as types of errors or features."""
+    groups = rows.groupBy(name.alias("k")).agg(value.alias("v")).filter(F.col("k").isNotNull())
+    return groups.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias(out))
+
+
 def report(
-    tagged: DataFrame, computed: DataFrame, now: Column, latency: str = "value", tie: str = "event_id"
+    tagged: DataFrame, computed: DataFrame, now: Column, latency: str = "value", tie: str = "event_id", window_seconds: float = 60.0,
+    kept: Column | None = None, is_error: Column | None = None, error_type: Column | None = None, utilization: Column | None = None,
+    computed_at: str = "window_end", feature_latency: str | None = None, started: Column | None = None,
 ) -> DataFrame:
-    """One row that combines counts, windows, latency and throughput (MET-6).
+    """The whole report as one row (MET-6).
 
-    ``tagged`` are events with lateness, ``computed`` the features. Every part is a single row.
-    """
-    from tidemark.operators.lateness import lateness_counts
+    ``tagged`` are events with lateness and ``computed`` the features; either is worked out once, reduced to what the
+    report needs. The other arguments say what of an event is its processing latency, an error and its type, and a
+    sample of the buffer's use (null: none), and when a feature was computed and how long that took.
 
+    Counts of events (``filtered, processed, late, dropped``), rates of the last window (``throughput_eps``,
+    ``throughput_fps``), ``features_computed``, ``freshness`` by feature, windows, ``errors``, ``errors_by_type``,
+    ``error_rate``, level and use of the buffer, and latency of events and, with ``feature_latency``, of features.
+    """
+    none = F.lit(None)
+    kept = F.lit(True) if kept is None else F.coalesce(kept, F.lit(False))
+    failed = F.lit(False) if is_error is None else F.coalesce(is_error, F.lit(False))
+    rows = runtime.pin(tagged.select(
+        "ts", F.col(tie).alias("tie"), F.col(latency).cast("double").alias("latency"), kept.alias("kept"), "is_late", "is_dropped", failed.alias("failed"),
+        F.when(failed, F.lit("unknown") if error_type is None else F.coalesce(error_type, F.lit("unknown"))).alias("error_type"),
+        (none if utilization is None else utilization).cast("double").alias("used"),
+    ))
+    done = runtime.pin(computed.select(
+        "feature_name", "window_end", F.col(computed_at).alias("at"), (none if feature_latency is None else F.col(feature_latency)).cast("double").alias("took"),
+    ))
+    recent = lambda time: F.when(F.col(time).between(shift(now, -window_seconds), now), F.unix_micros(time))
+
+    def rate(time: str) -> Column:
+        n, elapsed = F.count(recent(time)), (F.unix_micros(now) - F.min(recent(time))) / F.lit(1e6)
+        return F.when(n == 0, F.lit(0.0)).when(elapsed < 0.001, n.cast("double")).otherwise(n / elapsed)
+
+    processed = F.count_if(F.col("kept") & ~F.col("is_dropped"))
+    fired = F.col("window_end") <= now
     parts = [
-        lateness_counts(tagged),
-        throughput(tagged, now).withColumnsRenamed({"rate": "throughput_eps"}),
-        computed.agg(F.count(F.lit(1)).alias("features_computed")),
-        window_stats(computed, now).withColumnsRenamed({"active": "windows_active", "triggered": "windows_triggered"}),
-        latency_summary(tagged, latency, tie=tie).withColumnsRenamed({"count": "latency_samples"}),
+        rows.agg(
+            F.count_if(~F.col("kept")).alias("filtered"), processed.alias("processed"), F.count_if(F.col("kept") & F.col("is_late")).alias("late"),
+            F.count_if(F.col("kept") & F.col("is_dropped")).alias("dropped"), F.count(recent("ts")).alias("count_in_window"), rate("ts").alias("throughput_eps"),
+            F.count_if("failed").alias("errors"), F.round(F.count_if("failed") / F.greatest(processed, F.lit(1)), 6).alias("error_rate"),
+        ),
+        done.agg(
+            F.count(F.lit(1)).alias("features_computed"), rate("at").alias("throughput_fps"),
+            F.count_if(~fired).alias("windows_active"), F.count_if(fired).alias("windows_triggered"),
+        ),
+        _counted(rows, F.col("error_type"), F.count(F.lit(1)), "errors_by_type"),
+        _counted(done, F.col("feature_name"), F.round((F.unix_micros(now) - F.max(F.unix_micros("at"))) / F.lit(1e6), 2), "freshness"),
+        latency_summary(rows.filter(F.col("latency").isNotNull()), "latency", tie="tie").withColumnRenamed("count", "latency_samples"),
+        backpressure(rows.filter(F.col("used").isNotNull()), "used", tie="tie").withColumnsRenamed({"level": "backpressure", "samples": "backpressure_samples"}),
     ]
-    out = parts[0].withColumn("__one", F.lit(1))
-    for p in parts[1:]:
-        out = out.join(p.withColumn("__one", F.lit(1)), "__one", "left")
-    return out.drop("__one")
+    if feature_latency is not None:
+        own = latency_summary(done.filter(F.col("took").isNotNull()), "took", time="at", tie="took")
+        parts.append(own.select(*[F.col(c).alias(f"feature_{c}" if c != "count" else "feature_latency_samples") for c in own.columns]))
+    # Every part is one row: put below each other, the value of a column is the one that is there.
+    both = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    out = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+    return out if started is None else out.withColumn("uptime_seconds", F.round((F.unix_micros(now) - F.unix_micros(started)) / F.lit(1e6), 1))
 
 
 def alert_limits(report_row: DataFrame, max_error_rate: float = 0.01, max_p99_ms: float = 100.0) -> DataFrame:

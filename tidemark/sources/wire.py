@@ -8,36 +8,66 @@ works alike.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import to_epoch
+from tidemark.functions.columns import from_epoch, to_epoch
 
 # Fixed values of the message format.
 MAGIC = b"\x00"
 HEADER_BYTES = 5
 DEFAULT_EVENT_TYPE = "feature_update"
 
-PAYLOAD = T.StructType([
-    T.StructField("entity_id", T.StringType()),
-    T.StructField("feature_name", T.StringType()),
-    T.StructField("feature_value", T.VariantType()),
-    T.StructField("timestamp", T.DoubleType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("schema_version", T.LongType()),
-    T.StructField("correlation_id", T.StringType()),
-    T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("_corrupt_record", T.StringType()),
-])
-
-# Reader schema by version: fields with a default may be absent, the others are required (SRC-9).
-DEFAULTS: Mapping[int, Mapping[str, Any]] = {
-    1: {"event_type": DEFAULT_EVENT_TYPE, "schema_version": 1, "metadata": {}, "feature_value": None},
-}
-REQUIRED = ("entity_id", "feature_name", "timestamp", "correlation_id")
+# A field without a default must be there.
+REQUIRED = object()
+
+
+@dataclass(frozen=True)
+class Field:
+    """A field of a schema version: its Spark type, and its value where a message does not have it."""
+
+    name: str
+    kind: str
+    default: Any = REQUIRED
+
+
+Schema = tuple[Field, ...]
+
+V1: Schema = (
+    Field("entity_id", "string"),
+    Field("feature_name", "string"),
+    Field("feature_value", "variant", None),
+    Field("timestamp", "double"),
+    Field("event_type", "string", DEFAULT_EVENT_TYPE),
+    Field("schema_version", "bigint", 1),
+    Field("correlation_id", "string"),
+    Field("metadata", "map<string,string>", {}),
+)
+# Schemas by version; a message of a version that is not listed has the newest one below it (SRC-9).
+SCHEMAS: Mapping[int, Schema] = {1: V1}
+
+
+def unreadable(schemas: Mapping[int, Schema], reader: int | None = None) -> list[str]:
+    """Why the reader's version cannot read all messages of the others: a field they lack, without a default (SRC-9)."""
+    own = schemas[max(schemas) if reader is None else reader]
+    return [
+        f"version {v} has no field '{f.name}', which has no default" for v, fields in sorted(schemas.items())
+        for f in own if f.default is REQUIRED and f.name not in {x.name for x in fields}
+    ]
+
+
+def _payload(schemas: Mapping[int, Schema]) -> T.StructType:
+    """All fields of all versions, for one parse per message."""
+    kinds: dict[str, str] = {}
+    for fields in schemas.values():
+        for f in fields:
+            if kinds.setdefault(f.name, f.kind) != f.kind:
+                raise ValueError(f"field '{f.name}' has two types")
+    return T.StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in kinds.items()) + ", `_corrupt_record` string")
 
 PARTITION_STRATEGIES = ("key_hash", "entity_based", "feature_group", "round_robin")
 
@@ -102,15 +132,24 @@ def encode(
     )
 
 
-def _default(value: Any) -> Column:
-    return F.create_map().cast("map<string,string>") if value == {} else F.lit(value)
+def _default(f: Field) -> Column:
+    if isinstance(f.default, Mapping):
+        pairs = [x for k, v in f.default.items() for x in (F.lit(k), F.lit(v))]
+        return F.create_map(*pairs).cast(f.kind)
+    return F.lit(None if f.default is REQUIRED else f.default).cast(f.kind)
 
 
-def decode(messages: DataFrame, defaults: Mapping[int, Mapping[str, Any]] = DEFAULTS) -> DataFrame:
+def decode(messages: DataFrame, schemas: Mapping[int, Schema] = SCHEMAS, reader: int | None = None) -> DataFrame:
     """Decode in one pass; ``_error`` says what is wrong with a message, null when it is good (SRC-3, SRC-4, SRC-9).
 
-    The header's schema version replaces the payload's. Malformed messages never fail the job.
+    The result has the fields of the ``reader``'s version, the newest unless given. The header's version says how a
+    message was written: a field of that version is taken from the message, or from that version's default; a field it
+    does not have from the reader's default, whatever the message holds under the name; fields that the reader does not
+    have are left out. What is then missing is an error. Every message is parsed once, for all versions. The header's
+    version replaces the payload's. Malformed messages never fail the job.
     """
+    own = schemas[max(schemas) if reader is None else reader]
+    payload = _payload(schemas)
     value = F.col("value")
     magic_ok = F.substring(value, 1, 1) == F.lit(MAGIC)
     version = F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("bigint")
@@ -125,20 +164,29 @@ def decode(messages: DataFrame, defaults: Mapping[int, Mapping[str, Any]] = DEFA
     )
     # A filter on the outcome must not be moved below the parse, where it would parse again for every condition:
     # nothing moves through a generator.
-    parsed = parsed.select("*", F.explode(F.array(F.from_json("__text", PAYLOAD, opts))).alias("__p"))
+    parsed = parsed.select("*", F.explode(F.array(F.from_json("__text", payload, opts))).alias("__p"))
 
-    def filled(name: str) -> Column:
-        raw = F.col(f"__p.{name}")
-        cases = [(v, d[name]) for v, d in defaults.items() if d.get(name) is not None]
-        fallback = F.lit(None)
-        # The newest version not above the message's decides.
-        for v, d in sorted(cases, key=lambda c: c[0]):
-            fallback = F.when(F.col("__version") >= v, _default(d)).otherwise(fallback)
-        return F.coalesce(raw, fallback) if cases else raw
+    def resolved(f: Field) -> Column:
+        raw, versions = F.col(f"__p.`{f.name}`"), sorted(schemas)
+        out = F.lit(None).cast(f.kind)
+        for v in versions:
+            written = next((x for x in schemas[v] if x.name == f.name), None)
+            # A message below all versions is read as the oldest.
+            here = F.coalesce(raw, _default(written if written.default is not REQUIRED else Field(f.name, f.kind, None))) if written else _default(f)
+            out = here if v == versions[0] else F.when(F.col("__version") >= v, here).otherwise(out)
+        return out
 
+    fields = {f.name: F.col("__version") if f.name == "schema_version" else resolved(f) for f in own}
+    # Required: in the reader's version or in that of the message.
     absent = F.lit(None).cast("string")
-    for name in reversed(REQUIRED):
-        absent = F.when(F.col(f"__p.{name}").isNull(), F.lit(f"missing field: {name}")).otherwise(absent)
+    for f in reversed(own):
+        strict = [v for v in sorted(schemas) if f.default is REQUIRED or any(x.name == f.name and x.default is REQUIRED for x in schemas[v])]
+        if strict and f.name != "schema_version":
+            needed = F.lit(False)
+            for v in sorted(schemas):
+                written = next((x for x in schemas[v] if x.name == f.name), f)
+                needed = F.lit(written.default is REQUIRED) if v == min(schemas) else F.when(F.col("__version") >= v, F.lit(written.default is REQUIRED)).otherwise(needed)
+            absent = F.when(fields[f.name].isNull() & needed, F.lit(f"missing field: {f.name}")).otherwise(absent)
     error = (
         F.when(value.isNull(), "empty message")
         .when(F.length(value) < HEADER_BYTES, "truncated header")
@@ -147,17 +195,7 @@ def decode(messages: DataFrame, defaults: Mapping[int, Mapping[str, Any]] = DEFA
         .when(F.col("__p").isNull() | F.col("__p._corrupt_record").isNotNull(), "invalid JSON")
         .otherwise(absent)
     )
-    out = [
-        F.col("__p.entity_id").alias("entity_id"),
-        F.col("__p.feature_name").alias("feature_name"),
-        F.col("__p.feature_value").alias("feature_value"),
-        F.col("__p.timestamp").alias("timestamp"),
-        filled("event_type").alias("event_type"),
-        F.col("__version").alias("schema_version"),
-        F.col("__p.correlation_id").alias("correlation_id"),
-        filled("metadata").alias("metadata"),
-        *transport,
-    ]
+    out = [*[c.alias(n) for n, c in fields.items()], *transport]
     if "timestamp" in messages.columns:
         out.append(to_epoch(F.col("timestamp").cast("timestamp")).alias("broker_time"))
     if "headers" in messages.columns:
@@ -198,3 +236,32 @@ def resend_as_dead_letters(features: DataFrame, error: Column, topic: str, now:
     marked = features.withColumn("metadata", F.map_concat(F.map_filter(old, lambda k, _: ~k.isin("error", "original_timestamp")), extra))
     stamped = marked.withColumn("timestamp", to_epoch(F.current_timestamp() if now is None else now))
     return encode(stamped, topic, "entity_based")
+
+
+# Bits of a message's order that its place in the partition has.
+OFFSET_BITS = 47
+
+
+def broker_order(partition: Column, offset: Column) -> Column:
+    """One number that orders messages by (partition, offset), the order in which the broker has them (SRC-4).
+
+    Messages of one key are in one partition, so this is the order of their arrival. A partition above 65,535 or an offset
+    of 2^47 or more is an error.
+    """
+    fits = partition.between(0, 2**16 - 1) & offset.between(0, 2**OFFSET_BITS - 1)
+    number = F.shiftleft(partition.cast("bigint"), OFFSET_BITS).bitwiseOR(offset.cast("bigint"))
+    return F.when(fits, number).otherwise(F.raise_error(F.concat_ws(" ", F.lit("no order for partition and offset"), partition, offset)))
+
+
+def as_events(decoded: DataFrame) -> DataFrame:
+    """Good messages as events in the broker's order: ``event_id, user_id, event_type, ts, seq, properties`` (SRC-4, SRC-6).
+
+    The event's type is the feature's name and its property ``value`` the feature's value, beside the metadata. Equal
+    event times are ordered by arrival wherever events are: first and last values, patterns, lateness.
+    """
+    number = F.try_variant_get("feature_value", "$", "string")
+    return decoded.select(
+        F.col("correlation_id").alias("event_id"), F.col("entity_id").alias("user_id"), F.col("feature_name").alias("event_type"),
+        from_epoch(F.col("timestamp")).alias("ts"), broker_order(F.col("partition"), F.col("offset")).alias("seq"),
+        F.map_concat(F.map_filter("metadata", lambda k, _: k != "value"), F.create_map(F.lit("value"), number)).alias("properties"),
+    )
