@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable
+from typing import TypeVar
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import runtime
 
-# Rows handed to Python at a time, so that a batch of very long texts stays small.
-BATCH_ROWS = 256
+# Rows and bytes handed to Python at a time, so that a batch of very long texts stays small.
+BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 # A key with at least one in so many of the rows is hot; there are at most as many hot keys as this number.
 HOT_SHARE = 200
 
@@ -18,11 +24,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches short; a smaller setting of the user's stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Keep Arrow batches short, in rows and in bytes; smaller settings of the user's stay."""
+    parse = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(name)
+        if now.startswith("-") or not 0 < parse(now) <= most:
+            spark.conf.set(name, str(most))
+
+
+T = TypeVar("T")
+_SLOT: list[tuple[str, object, object]] = []
+
+
+def worker_slot(owner: str, key: object, make: Callable[[], T]) -> T:
+    """What this Python worker keeps between tasks: one object, that of the operator at work.
+
+    Spark uses a worker for many stages. When another operator, or one with other settings, takes the slot, what was in
+    it goes, and its memory is given back to the system.
+    """
+    if not _SLOT or _SLOT[0][:2] != (owner, key):
+        if _SLOT:
+            _SLOT.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # only glibc has it
+                pass
+        _SLOT.append((owner, key, make()))
+    return _SLOT[0][2]  # type: ignore[return-value]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -60,12 +91,14 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def may_match(left: DataFrame, column: str, wanted: DataFrame, slots: int = 1 << 18) -> DataFrame:
+def may_match(left: DataFrame, column: str, wanted: DataFrame, slots: int = 1 << 18, others: bool = False) -> DataFrame:
     """Rows of ``left`` whose key may be in ``wanted``: a cheap filter before a shuffled join, never too strict.
 
+    With ``others`` all the rest, whose key is surely not.
+
     The keys are reduced to at most ``slots`` hash slots, so what is broadcast has a fixed bound; with very many keys
     all slots are taken and all rows pass.
     """
     slot = F.pmod(F.xxhash64(column), F.lit(slots))
     taken = wanted.select(slot.alias("__slot")).distinct()
-    return left.withColumn("__slot", slot).join(F.broadcast(taken), "__slot", "left_semi").drop("__slot")
+    return left.withColumn("__slot", slot).join(F.broadcast(taken), "__slot", "left_anti" if others else "left_semi").drop("__slot")
