@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +21,11 @@ from tidemark.plans.features import FeatureDefinition, FeatureSet, summarize
 from tidemark.plans.patterns import PatternDefinition, PatternSet, alert_summary, detect
 from tidemark.sources import wire
 from tidemark.sources.events import map_columns, parse_json_records, to_json_records
-from tidemark.streaming.features import stream_all
+from tidemark.streaming.features import current_windows, stream_all, update_windows
 from tidemark.streaming.patterns import stream_pattern, stream_patterns
 from tidemark.streaming.run import drain
-from tidemark.streaming.sinks import FeatureStore, StoreSink, write_batch
+from tidemark.streaming.sinks import FeatureStore, StoreSink, dedup_stream, start, write_batch
+from tidemark.streaming.state import with_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -293,6 +295,12 @@ def window_late_but_allowed(spark, d):
     )
 
 
+@query("window_expired", f"SELECT entity_id, count(*) FILTER (window_end_us >= {MID_US}) AS kept, count(*) FILTER (window_end_us < {MID_US}) AS expired FROM ({SQL_DAILY}) GROUP BY entity_id")
+def window_expired(spark, d):
+    old = W.is_expired(F.col("window_end"), moment(MID_US))
+    return DAILY_SUM.compute(events(spark, d)).groupBy("entity_id").agg(F.count_if(~old).alias("kept"), F.count_if(old).alias("expired"))
+
+
 @query("window_stats", f"SELECT count(*) FILTER (window_end_us > {MID_US}) AS active, count(*) FILTER (window_end_us <= {MID_US}) AS triggered FROM ({SQL_DAILY})")
 def window_stats(spark, d):
     return monitor.window_stats(DAILY_SUM.compute(events(spark, d)), moment(MID_US))
@@ -388,6 +396,20 @@ def feature_summary(spark, d):
     return s.select("feature_name", "computations", "entities", r6("avg_value").alias("avg_value"), r6("max_value").alias("max_value"))
 
 
+@query(
+    "features_registered",
+    f"""SELECT 'b' AS feature_name, * FROM ({sql_windows("max", DAY)}) UNION ALL SELECT 'c', * FROM ({sql_windows("count", DAY)})""",
+)
+def features_registered(spark, d):
+    """Definitions are added, replaced by name and taken out again before anything is computed."""
+    daily = lambda name, agg: FeatureDefinition(name, agg, "tumbling", DAY, "value")
+    fs = FeatureSet((daily("a", "sum"), daily("b", "min"))).having(daily("c", "count"), daily("b", "max")).without("a")
+    if (list(fs), fs["b"].aggregation) != (["b", "c"], "max"):
+        raise AssertionError(list(fs))
+    out = fs.compute(events(spark, d))
+    return out.select("feature_name", *[F.col(c) for c in ("entity_id", "event_count")], us("window_start"), us("window_end"), r6("feature_value").alias("feature_value"))
+
+
 @query(
     "features_keyed_by_property",
     f"""WITH {EV} SELECT k AS entity_id, us - us % {DAY * US} AS window_start_us, us - us % {DAY * US} + {DAY * US} AS window_end_us,
@@ -470,6 +492,14 @@ def features_on_time(spark, d):
     return tidy(DAILY_SUM.compute(lateness.on_time(tagged(spark, d))))
 
 
+@query("lateness_processing_time", "SELECT count(*) AS processed, 0::BIGINT AS late, 0::BIGINT AS dropped, count(*) AS without_watermark FROM events")
+def lateness_processing_time(spark, d):
+    t = lateness.tag_lateness(out_of_order(spark, d), 5, 30, event_time=False)
+    counts = lateness.lateness_counts(t).select("processed", "late", "dropped")
+    without = t.agg(F.count_if(F.col("watermark").isNull()).alias("without_watermark"))
+    return counts.unionByName(without, allowMissingColumns=True).agg(*[F.first(c, ignorenulls=True).alias(c) for c in (*counts.columns, *without.columns)])
+
+
 @query("watermark_lag", f"SELECT round((max(epoch_us(ts)) - 900000000) / 1e6, 6) AS watermark, round(({NOW_US} - max(epoch_us(ts)) + 900000000) / 1e6, 6) AS lag_s FROM events")
 def watermark_lag(spark, d):
     out = lateness.watermark_lag(events(spark, d), moment(NOW_US), 900)
@@ -590,6 +620,15 @@ def alerts_by_pattern(spark, d):
     return alert_summary(PATTERNS.detect(ev, last_event(ev)))
 
 
+SQL_FREQ_BY_K = SQL_FREQ.replace("CAST(user_id AS VARCHAR) AS entity_id", "coalesce(json_extract_string(props, '$.k'), CAST(user_id AS VARCHAR)) AS entity_id")
+
+
+@query("cep_other_key", SQL_FREQ_BY_K + " SELECT entity_id, us AS match_ts_us, array_to_string(list_transform(kept, lambda x: x[2]), ',') AS event_ids FROM s WHERE hit")
+def cep_other_key(spark, d):
+    p = PatternDefinition("rapid_clicks", "frequency", ("click",), 48 * HOUR, min_occurrences=3, key_field="k")
+    return shown(detect(events(spark, d), p)).select("entity_id", "match_ts_us", "event_ids")
+
+
 # --- feature store -------------------------------------------------------------------------------------------------
 
 WEEK = 7 * DAY
@@ -851,6 +890,21 @@ def store_deletions_hold(spark, d):
     return view(_store_folder(spark, d, steps).online())
 
 
+@query(
+    "offline_range_in_folder",
+    f"""WITH {SQL_HIST}, {SQL_KEPT}, gone AS (SELECT DISTINCT entity_id FROM h WHERE feature_name = 'signup' AND value > 200)
+    SELECT entity_id, feature_name, value, et AS event_time_us, row_number() OVER (PARTITION BY entity_id, feature_name ORDER BY et DESC) AS newest_rank FROM k
+    WHERE n = 1 AND et BETWEEN {MID_US - WEEK * US} AND {MID_US + 2 * WEEK * US} AND (et >= {LATE_US} OR entity_id NOT IN (SELECT entity_id FROM gone))
+    QUALIFY newest_rank <= 3""",
+)
+def offline_range_in_folder(spark, d):
+    w = writes(spark, d)
+    users = w.filter((F.col("feature_name") == "signup") & (F.col("value") > 200)).select("entity_id").distinct()
+    folder = _store_folder(spark, d, lambda folder: folder.delete(users, moment(NOW_US + 2 * US)))
+    out = folder.time_range(moment(MID_US - WEEK * US), moment(MID_US + 2 * WEEK * US), limit=3)
+    return out.select("entity_id", "feature_name", "value", us("event_time"), F.col("newest_rank").cast("bigint").alias("newest_rank"))
+
+
 @query(
     "offline_history_dropped",
     f"""WITH {SQL_HIST}, {SQL_KEPT} SELECT entity_id, feature_name, value, et AS event_time_us, version FROM k
@@ -1443,6 +1497,147 @@ def _register_disordered() -> None:
 _register_disordered()
 
 
+@query("stream_windows_open", sql_windows("sum", DAY))
+def stream_windows_open(spark, d):
+    path, checkpoint = runtime.scratch_path(spark, "open-windows"), runtime.scratch_path(spark, "open-windows-state")
+    f = FeatureSet((feature("sum", "tumbling", window_size_seconds=DAY),))
+    for q in update_windows(f, disordered_stream(spark, d), path, checkpoint, WAIT, availableNow=True):
+        q.awaitTermination()
+    return tidy(current_windows(spark, path))
+
+
+@query(
+    "stream_windows_active",
+    f"""WITH w AS (SELECT *, window_end_us > {MID_US} AS open FROM ({sql_windows("count", 6 * HOUR)}))
+    SELECT entity_id, count(*) FILTER (open) AS open, count(*) FILTER (NOT open) AS closed FROM w GROUP BY entity_id""",
+)
+def stream_windows_active(spark, d):
+    path, checkpoint = runtime.scratch_path(spark, "open-windows"), runtime.scratch_path(spark, "open-windows-state")
+    f = FeatureSet((feature("count", "tumbling", window_size_seconds=6 * HOUR),))
+    for q in update_windows(f, event_stream(spark, d), path, checkpoint, 600, availableNow=True):
+        q.awaitTermination()
+    closed = W.is_ready(F.col("window_end"), moment(MID_US))
+    return current_windows(spark, path).groupBy("entity_id").agg(F.count_if(~closed).alias("open"), F.count_if(closed).alias("closed"))
+
+
+@query(
+    "session_open_closed",
+    f"""SELECT entity_id, count(*) FILTER (window_end_us <= {MID_US}) AS closed, count(*) FILTER (window_end_us > {MID_US}) AS open
+    FROM ({sql_sessions("count", GAP * US)}) GROUP BY entity_id""",
+)
+def session_open_closed(spark, d):
+    f = FeatureSet((feature("count", "session", session_gap_seconds=GAP, max_session_seconds=None),))
+    closed = W.is_ready(F.col("window_end"), moment(MID_US))
+    return f.compute(events(spark, d)).groupBy("entity_id").agg(F.count_if(closed).alias("closed"), F.count_if(~closed).alias("open"))
+
+
+SQL_STORED = _closed(sql_windows("sum", DAY), 630)
+
+
+def _stored_stream(spark: SparkSession, d: str, strategy: str, failing: str = ""):
+    """Daily sums of a stream in a store folder; every batch comes twice, as after a failure, and one target may be down."""
+    path, checkpoint = runtime.scratch_path(spark, "stored"), runtime.scratch_path(spark, "stored-state")
+
+    def writer(rows: DataFrame, target: str, batch: str) -> None:
+        if failing and target.endswith(failing):
+            raise OSError(f"{failing} is down")
+        write_batch(rows, target, batch)
+
+    sink = StoreSink(path, strategy, "queue_retry", now=moment(NOW_US), writer=writer)
+    seen: list[int] = []
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            sink(batch, batch_id)
+        seen.append(batch_id)
+
+    start(stream_all(FeatureSet((feature("sum", "tumbling", window_size_seconds=DAY),)), event_stream(spark, d), 600), twice, checkpoint, availableNow=True).awaitTermination()
+    return FeatureStore(spark, path), sink, seen
+
+
+def _stored_view(rows: DataFrame) -> DataFrame:
+    return rows.select("entity_id", us("event_time").alias("window_end_us"), r6("value").alias("feature_value"), F.col("metadata")["event_count"].cast("bigint").alias("event_count"))
+
+
+@query("sink_exactly_once", f"SELECT entity_id, window_end_us, feature_value, event_count FROM ({SQL_STORED})")
+def sink_exactly_once(spark, d):
+    return _stored_view(_stored_stream(spark, d, "sync_both")[0].history())
+
+
+@query(
+    "sink_failed_target",
+    f"""SELECT entity_id, window_end_us, feature_value, event_count FROM ({SQL_STORED})
+    QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY window_end_us DESC) = 1""",
+)
+def sink_failed_target(spark, d):
+    """The online target is down for the whole stream and is written from the queue afterwards."""
+    folder, _, _ = _stored_stream(spark, d, "offline_first", "online")
+    folder.retry_failed()
+    return _stored_view(folder.online())
+
+
+@query("sink_counters", f"SELECT count(*)::BIGINT AS records_written, 0::BIGINT AS batch_errors FROM ({SQL_STORED})")
+def sink_counters(spark, d):
+    """What a sink has counted over a stream: a batch that is repeated counts once."""
+    folder, sink, seen = _stored_stream(spark, d, "online_first")
+    counted = folder.history().limit(0).agg(F.lit(sink.metrics["records_written"]).cast("bigint").alias("records_written"), F.lit(sink.metrics["batch_errors"]).cast("bigint").alias("batch_errors"))
+    if sink.metrics["batches"] != len(seen):
+        raise AssertionError(sink.metrics)
+    return counted
+
+
+@query("stream_handled_batches", "SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
+def stream_handled_batches(spark, d):
+    """Every micro-batch is handed to a function, which writes it by its number."""
+    path, checkpoint = runtime.scratch_path(spark, "handled"), runtime.scratch_path(spark, "handled-state")
+
+    def handler(batch: DataFrame, batch_id: int) -> None:
+        batch.select("event_id", "event_type").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    rows.handle_batches(disordered_stream(spark, d), handler, checkpoint, availableNow=True).awaitTermination()
+    return monitor.event_types(spark.read.schema("event_id long, event_type string, batch_id long").parquet(path))
+
+
+@query(
+    "stream_dedup_disordered",
+    f"""WITH {EV}, r AS (SELECT entity_id, event_type AS feature_name, us - us % {DAY * US} AS day_us, event_id, value FROM ev)
+    SELECT entity_id, feature_name, day_us, event_id, value FROM r
+    WHERE day_us <= (SELECT max(day_us) FROM r) - {WAIT * US}
+    QUALIFY row_number() OVER (PARTITION BY entity_id, feature_name, day_us ORDER BY event_id) = 1""",
+)
+def stream_dedup_disordered(spark, d):
+    day = F.timestamp_micros(F.unix_micros("ts") - F.unix_micros("ts") % (DAY * US))
+    rec = disordered_stream(spark, d).select(
+        F.col("user_id").alias("entity_id"), F.col("event_type").alias("feature_name"), day.alias("window_end"), "event_id", F.col("properties.value").alias("value")
+    )
+    out = drain(dedup_stream(rec, within_seconds=WAIT, order=F.col("event_id")))
+    return out.select("entity_id", "feature_name", F.unix_micros("window_end").alias("day_us"), "event_id", "value")
+
+
+@query(
+    "keyed_state",
+    f"""WITH {EV}, s AS (SELECT *, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY entity_id ORDER BY us, event_id) AS n,
+    lag(event_type) OVER (PARTITION BY entity_id ORDER BY us, event_id) AS before FROM ev)
+    SELECT entity_id, event_id, n::BIGINT AS purchases, coalesce(before, '') AS before FROM s WHERE event_type = 'purchase'""",
+)
+def keyed_state(spark, d):
+    """The number of purchases and the event before each, from state that a user's function keeps per key."""
+    rows = events(spark, d).select(F.col("user_id").alias("entity_id"), "event_id", "event_type", "ts", "seq")
+
+    def count(key, batch, state):
+        n, before, out = state.get("n", 0), state.get("before", ""), []
+        for event_id, kind in zip(batch["event_id"], batch["event_type"]):
+            if kind == "purchase":
+                n += 1
+                out.append((key, int(event_id), n, before))
+            before = kind
+        state.set("n", n)
+        state.set("before", before)
+        return pd.DataFrame(out, columns=["entity_id", "event_id", "purchases", "before"])
+
+    return with_state(rows, count, "entity_id string, event_id long, purchases long, before string", order=("ts", "seq"))
+
+
 @query(
     "stream_patterns",
     f"""WITH w AS (SELECT (max(epoch_us(ts)) // 1000) * 1000 AS upto FROM events WHERE event_type = 'click')

@@ -298,16 +298,19 @@ def offline(history: DataFrame) -> DataFrame:
 
 def time_range(
     history: DataFrame, start: Moment, end: Moment, entities: DataFrame | None = None, names: Sequence[str] = (),
-    limit: int | None = DEFAULT_RANGE_LIMIT,
+    limit: int | None = DEFAULT_RANGE_LIMIT, deletions: DataFrame | None = None,
 ) -> DataFrame:
-    """Records in [start, end], newest first, at most ``limit`` per key (OFF-2)."""
+    """Records in [start, end], newest first, at most ``limit`` per key (OFF-2).
+
+    ``deletions`` are deletion marks where they are kept apart; else they are looked for in the whole history.
+    """
     rows = history.filter((F.col("op") == "set") & F.col("event_time").between(_at(start), _at(end)))
     if names:
         rows = rows.filter(F.col("feature_name").isin(*names))
     if entities is not None:
         rows = join_on(rows, entities.select("entity_id").distinct(), ["entity_id"], "left_semi")
     # Deletions count whenever they happened; kept apart, the range still prunes the scan.
-    rows = rows.unionByName(history.filter(F.col("op") == "delete_entity"))
+    rows = rows.unionByName((history if deletions is None else deletions).filter(F.col("op") == "delete_entity"))
     w = Window.partitionBy(*KEYS).orderBy(F.col("event_time").desc())
     ranked = offline(rows).withColumn("newest_rank", F.row_number().over(w))
     return ranked if limit is None else ranked.filter(F.col("newest_rank") <= limit)

@@ -6,14 +6,18 @@ The same feature set as in batch. Windows are emitted once, when the watermark p
 from __future__ import annotations
 
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import runtime
 from tidemark.functions import aggregates as A
 from tidemark.functions import windows as W
 from tidemark.functions.columns import interval
 from tidemark.plans.features import OUTPUT, FeatureSet, _base_rows, _long, _order, _Spec
+from tidemark.streaming.run import state_settings
 from tidemark.streaming.sessions import capped_sessions
 
 
@@ -87,3 +91,32 @@ def stream_all(features: FeatureSet, events: DataFrame, delay_seconds: float = 5
     return reduce(DataFrame.unionByName, stream_features(features, events, delay_seconds))
 
 
+
+
+def update_windows(features: FeatureSet, events: DataFrame, path: str, checkpoint: str, delay_seconds: float = 5.0, **trigger: Any) -> list[StreamingQuery]:
+    """Keep the open windows of a stream in a table as they change (WIN-8): a query per specification.
+
+    Every micro-batch writes the windows that it has changed, in a directory of its own that a repeat overwrites;
+    ``current_windows`` reads the newest state of each. Sessions and exact distinct counts have no such form in Spark.
+    """
+    queries = []
+    for n, (frame, spec) in enumerate(zip(stream_features(features, events, delay_seconds), features.specs())):
+        if spec.window[0] == "session" or any(f.aggregation == "distinct_count" and not f.approx for f in spec.features):
+            raise ValueError("open sessions and exact distinct counts are not available as updates")
+
+        def write(batch: DataFrame, batch_id: int, n: int = n) -> None:
+            batch.write.mode("overwrite").parquet(f"{path}/spec={n}/batch_id={batch_id}")
+
+        with runtime.settings(events.sparkSession, state_settings(events.sparkSession)):
+            writer = frame.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{checkpoint}/{n}")
+            queries.append((writer.trigger(**trigger) if trigger else writer).start())
+    return queries
+
+
+def current_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The newest state of every window written by ``update_windows``, open and closed ones."""
+    kinds = "entity_id string, feature_name string, feature_value double, window_start timestamp, window_end timestamp, event_count bigint, spec int, batch_id bigint"
+    key = ["entity_id", "feature_name", "window_start", "window_end"]
+    rows = spark.read.schema(kinds).option("basePath", path).parquet(path)
+    newest = rows.groupBy(*key).agg(F.max_by(F.struct("feature_value", "event_count"), "batch_id").alias("r"))
+    return newest.select(*key, "r.*").select(*OUTPUT)

@@ -37,6 +37,8 @@ STRATEGIES: dict[str, tuple[tuple[str, ...], bool]] = {
 }
 FAILURES = ("fail_fast", "best_effort", "queue_retry")
 TIMES = "batch long, at long"
+# Writers of deletion marks have names that begin so: their partitions are found by name.
+DELETIONS = "delete-"
 
 
 def unit(writer: str, batch_id: int) -> str:
@@ -190,6 +192,16 @@ class FeatureStore:
     def history(self) -> DataFrame:
         return read_batches(self.spark, f"{self.path}/offline").select(*store.HISTORY.names)
 
+    def time_range(
+        self, start: store.Moment, end: store.Moment, entities: DataFrame | None = None, names: Sequence[str] = (),
+        limit: int | None = store.DEFAULT_RANGE_LIMIT,
+    ) -> DataFrame:
+        """Records of the history in [start, end] (OFF-2): the dates of the range are read, and the deletions' partitions."""
+        log = read_batches(self.spark, f"{self.path}/offline")
+        days = F.col("event_date").between(F.to_date(store._at(start)), F.to_date(store._at(end)))
+        marks = log.filter(F.col("writer").startswith(DELETIONS)).select(*store.HISTORY.names)
+        return store.time_range(log.filter(days).select(*store.HISTORY.names), start, end, entities, names, limit, marks)
+
     def online_log(self) -> DataFrame:
         return read_batches(self.spark, f"{self.path}/online").select(*store.HISTORY.names)
 
@@ -206,7 +218,7 @@ class FeatureStore:
 
     def delete(self, targets: DataFrame, now: Column | None = None) -> str:
         """Delete features or whole entities, under a writer name of its own (FS-9, ON-4)."""
-        name = f"delete-{uuid.uuid4().hex}"
+        name = f"{DELETIONS}{uuid.uuid4().hex}"
         marks = store.tombstones(targets, now)
         for target in ("online", "offline"):
             write_batch(marks, f"{self.path}/{target}", unit(name, 0))
@@ -300,11 +312,21 @@ def start(stream: DataFrame, sink: Callable[[DataFrame, int], Any], checkpoint:
 
 def dedup_stream(
     features: DataFrame, keys: Sequence[str] = ("entity_id", "feature_name", "window_end"), time: str = "window_end",
-    within_seconds: float = 300.0,
+    within_seconds: float = 300.0, order: Column | None = None,
 ) -> DataFrame:
     """A stream of feature records without repeats (SINK-2, DUAL-2).
 
-    For records read from a topic or files. Repeats are found for at least ``within_seconds`` of event time. Windows
-    computed by this package are emitted once and need no such step.
+    For records read from a topic or files. Windows computed by this package are emitted once and need no such step. With
+    ``order`` the first record of its key by that order is the one that is emitted, whichever micro-batch brings it: the
+    key must hold the time, and its record comes when the watermark has passed it. Without it a record goes on at once,
+    and of repeats within a micro-batch any may be the one. Repeats are found for at least ``within_seconds``.
     """
-    return features.withWatermark(time, interval(within_seconds)).dropDuplicatesWithinWatermark(list(keys))
+    bounded = features.withWatermark(time, interval(within_seconds))
+    if order is None:
+        return bounded.dropDuplicatesWithinWatermark(list(keys))
+    if time not in keys:
+        raise ValueError("a defined winner needs the time among the keys")
+    # One record per key in state.
+    rest = [c for c in features.columns if c not in keys]
+    first = bounded.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("__first"))
+    return first.select(*keys, "__first.*").select(*features.columns)

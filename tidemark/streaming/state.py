@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
@@ -49,8 +49,14 @@ class _Handler(StatefulProcessor):
         pass
 
 
-def with_state(stream: DataFrame, fn: Handler, schema: T.StructType, key: str = "entity_id") -> DataFrame:
-    """Apply ``fn(key, rows, state)`` to the rows of each key; rows come in Arrow batches."""
-    return stream.withColumn(key, F.col(key).cast("string")).groupBy(key).transformWithStateInPandas(
-        _Handler(fn), schema, "Append", "None"
-    )
+def with_state(rows: DataFrame, fn: Handler, schema: T.StructType, key: str = "entity_id", order: Sequence[str] = ("ts",)) -> DataFrame:
+    """Apply ``fn(key, rows, state)`` to the rows of each key; rows come in Arrow batches.
+
+    On a stream each micro-batch brings rows as they arrive. A table's rows come in ``order``, so the same function gives
+    in batch what it gives on a stream whose rows arrive in that order. No key's rows are held in memory together.
+    """
+    keyed = rows.withColumn(key, F.col(key).cast("string"))
+    if not rows.isStreaming:
+        # Sorting by key is what grouping asks for; the finer order within a key stays.
+        keyed = keyed.repartition(key).sortWithinPartitions(key, *order)
+    return keyed.groupBy(key).transformWithStateInPandas(_Handler(fn), schema, "Append", "None")
