@@ -132,6 +132,17 @@ def test_all_patterns_in_one_pass(make_events, row_limit):
     alerts.unpersist()
 
 
+def test_numbers_without_a_small_common_multiple(make_events, monkeypatch):
+    monkeypatch.setattr("tidemark.plans.patterns.COMMON_MULTIPLE", 12)
+    ev = [(i, "u", "a", 1000 + 2 * i) for i in range(60)]
+    df = make_events([(f"{i:04d}", u, k, ts, None) for i, u, k, ts in ev])
+    patterns = PatternSet(tuple(PatternDefinition(f"f{n}", "frequency", ("a",), 60, min_occurrences=n) for n in (2, 3, 5, 6, 7)))
+    alerts = patterns.detect(df).collect()
+    for n in (2, 3, 5, 6, 7):
+        mine = sorted((r.entity_id, r.match_ts.timestamp(), tuple(int(e.event_id) for e in r.matched_events)) for r in alerts if r.pattern_name == f"f{n}")
+        assert mine == replay.frequency(ev, ("a",), n, 60)
+
+
 def test_one_scan_for_all_patterns(spark, make_events):
     ev = simple(make_events, *[("abcd"[i % 4], 1000 + i, {"v": i}) for i in range(50)])
     patterns = PatternSet((

@@ -32,6 +32,8 @@ ALERT_COLUMNS = (
 )
 
 ORDER = ["__us", "seq"]
+# Scaled row numbers stay below the largest whole number for up to 10^12 rows of a key.
+COMMON_MULTIPLE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -293,7 +295,14 @@ def _matches(
         return out.select("entity_id", F.inline("__hits"))
     of_any = reduce(Column.__or__, [F.col(f"__rn{i}").isNotNull() for i in repeats])
     out = runtime.pin(out.filter(of_any | (F.size("__hits") > 0) if found else of_any))
-    repeated = _frequencies(out, repeats, piece is not None, row_limit)
+    # Patterns whose numbers have a small common multiple are followed together.
+    together: list[dict[int, PatternDefinition]] = []
+    for i, p in repeats.items():
+        group = next((g for g in together if lcm(p.min_occurrences, *[x.min_occurrences for x in g.values()]) <= COMMON_MULTIPLE), None)
+        if group is None:
+            together.append(group := {})
+        group[i] = p
+    repeated = reduce(DataFrame.unionByName, [_frequencies(out, g, piece is not None, row_limit) for g in together])
     return out.select("entity_id", F.inline("__hits")).unionByName(repeated) if found else repeated
 
 
