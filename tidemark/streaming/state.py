@@ -57,6 +57,8 @@ def with_state(rows: DataFrame, fn: Handler, schema: T.StructType, key: str = "e
     """
     keyed = rows.withColumn(key, F.col(key).cast("string"))
     if not rows.isStreaming:
+        # State in a table's query needs the coordinator of state, which Spark starts with its stream manager.
+        _ = rows.sparkSession.streams.active
         # Sorting by key is what grouping asks for; the finer order within a key stays.
         keyed = keyed.repartition(key).sortWithinPartitions(key, *order)
     return keyed.groupBy(key).transformWithStateInPandas(_Handler(fn), schema, "Append", "None")
