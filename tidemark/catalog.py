@@ -1339,8 +1339,8 @@ def metrics_report(spark, d):
 def alert_limits(spark, d):
     s = samples(spark, d)
     is_error = F.col("event_type") == "error"
-    rate = monitor.error_rate(s, is_error, ~is_error).withColumn("one", F.lit(1))
-    both = rate.join(monitor.latency_summary(s, tie="event_id").withColumn("one", F.lit(1)), "one")
+    both = monitor.error_rate(s, is_error, ~is_error).unionByName(monitor.latency_summary(s, tie="event_id"), allowMissingColumns=True)
+    both = both.agg(F.max("error_rate").alias("error_rate"), F.max("p99_ms").alias("p99_ms"))
     return monitor.alert_limits(both)
 
 
