@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
@@ -21,19 +22,22 @@ def within_one(a, b):
 
 
 def brute(rows, least):
-    lines = []
-    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0])):
-        lines += [(i, p, x, x.strip(" \t\r")) for p, x in enumerate(t.split("\n"))] if t is not None else []
-    out, seen = {i: (0, 0, 0, []) for i, _ in rows}, []
-    for i, _, raw, x in lines:
-        n, again, near, kept = out[i]
-        a = b = False
-        if len(x) >= least:
-            a = x in seen
-            b = not a and any(within_one(x, y) for y in seen)
+    """Rows in order: identifier (none last), then the first characters and the digest of the text."""
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, (r[1] or "")[:64], hashlib.sha256((r[1] or "").encode()).hexdigest()))
+    out, seen = [], []
+    for i, t in order:
+        n = again = near = 0
+        kept = []
+        for raw in t.split("\n") if t is not None else []:
+            x = raw.strip(" \t\r")
+            a = x != "" and x in seen
+            b = not a and len(x) >= least and any(len(y) >= least and within_one(x, y) for y in seen)
             seen.append(x)
-        out[i] = (n + 1, again + a, near + b, kept if a or b else [*kept, raw])
-    return sorted(((i, *out[i][:3], None if t is None else "\n".join(out[i][3])) for i, t in rows), key=str)
+            n, again, near = n + 1, again + a, near + b
+            if not (a or b):
+                kept.append(raw)
+        out.append((i, n, again, near, None if t is None else "\n".join(kept)))
+    return sorted(out, key=str)
 
 
 def result(df):
@@ -55,6 +59,21 @@ def test_random_lines(spark, long_chars):
     assert result(line_dedup(df, min_chars=4, long_chars=long_chars)) == brute(rows, 4)
 
 
+def test_rows_without_or_with_shared_identifiers(spark):
+    """Lines belong to rows: no row loses what another one with its identifier repeats."""
+    one, two, own = "a line that is found here twice", "another line that stands in two", "a line nobody else has at all"
+    rows = [(5, one), (None, f"{one}\n{own}"), (None, f"{own} either\n{two}"), (None, two), (None, two), (7, two), (7, two), (7, f"{own}, says seven\n{one}"), (3, "}\n}\nshort"), (9, "short\n\n")]
+    rows += [(None, None), (8, None), (8, ""), (None, "same line, many copies\nof one row"), (None, "same line, many copies\nof one row"), (4, one)]
+    for parts in (1, 5):
+        df = spark.createDataFrame([(*r, "x", 0) for r in rows], SCHEMA).repartition(parts)
+        assert result(line_dedup(df)) == brute(rows, 24)
+    # All rows under one identifier, or under none.
+    for i in (1, None):
+        rows = [(i, f"a row with the number {k * 7919} in it\nand a line for {k % 5} to {k % 7}\nx{k % 3}") for k in range(200)]
+        df = spark.createDataFrame([(*r, "x", 0) for r in rows], SCHEMA).repartition(4)
+        assert result(line_dedup(df)) == brute(rows, 24)
+
+
 def test_one_common_line(spark):
     rows = [(i, f"a line that all documents share\nline number {i * 7919} of its own") for i in range(1500)]
     df = spark.createDataFrame([(*r, "x", 0) for r in rows], SCHEMA)

@@ -1,7 +1,8 @@
 """Removal of repeated lines, exact and within one edit, with DataFrame operations only.
 
-Lines are compared without surrounding blanks. Of equal lines the earliest stays, by (document identifier, position). A
-line within one insertion, deletion or substitution of an earlier line goes too. Such pairs are found by the join of
+Lines are compared without surrounding blanks. Of equal lines the earliest stays, by (document identifier, position);
+blank lines always stay. A line within one insertion, deletion or substitution of an earlier line goes too, if both have a
+least length: short lines that differ by one character are different. Such pairs are found by the join of
 deletion neighbourhoods: every line emits the hashes of itself and of itself without each of its characters.
 
 * Equal variants that lack the character at the same place: the lines differ by a substitution at most.
@@ -27,15 +28,53 @@ BLANKS = " \t\r"
 LONG_CHARS = 16_384
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    at = docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode_outer(F.split(F.col(text_col).cast("string"), "\n", -1)).alias("pos", "raw"))
-    return at.select("id", "pos", F.btrim("raw", F.lit(BLANKS)).alias("line"))
+def with_row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with ``__row``, a key of each row that grows with the identifier.
+
+    A row that has its identifier for itself is known by it. Rows that share one, or have none, are stored in order of
+    (identifier, first characters, digest of the text) and numbered in it, so that equal rows too have keys of their own;
+    those without an identifier come last.
+    """
+    own_id, wide = F.col(id_col).cast("long"), "decimal(38,0)"
+    base = lambda c: (c.cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)")).cast(wide)
+    ids = docs.select(own_id.alias("__id")).groupBy("__id").agg(F.count(F.lit(1)).alias("__rows"))
+    shared = stored(ids.filter(F.col("__id").isNull() | (F.col("__rows") > 1)), "line-shared")
+    if shared.isEmpty():
+        return docs.withColumn("__row", base(own_id))
+    known, wanted = docs.withColumn("__id", own_id).filter(own_id.isNotNull()), shared.filter(F.col("__id").isNotNull())
+    odd = may_match(known, "__id", wanted).join(wanted.select("__id"), "__id", "left_semi")
+    own = may_match(known, "__id", wanted, others=True).unionByName(may_match(known, "__id", wanted).join(wanted.select("__id"), "__id", "left_anti"))
+    odd = odd.select(*docs.columns, "__id").unionByName(docs.withColumn("__id", own_id).filter(own_id.isNull()).select(*docs.columns, "__id"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    order = [F.col("__id").asc_nulls_last(), F.substring(text, 1, 64), F.sha2(text, 256)]
+    odd = stored(odd.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__n", F.monotonically_increasing_id()), "line-odd")
+    # Numbers without gaps: what earlier partitions hold is added, one row for each of them.
+    part = F.shiftright("__n", 33)
+    parts = odd.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows")).orderBy("__part").collect()
+    before, total = [], 0
+    for r in parts:
+        before.append((r["__part"], total))
+        total += r["__rows"]
+    offsets = F.broadcast(odd.sparkSession.createDataFrame(before, "__part long, __before long"))  # one row per partition
+    odd = odd.withColumn("__part", part).join(offsets, "__part").withColumn("__n", F.col("__before") + F.col("__n").bitwiseAND(F.lit(2**33 - 1)))
+    nobody = odd.filter(F.col("__id").isNull()).withColumn("__row", base(F.expr("9223372036854775808BD + __n")))
+    firsts = stored(odd.filter(F.col("__id").isNotNull()).groupBy("__id").agg(F.min("__n").alias("__first"), F.count(F.lit(1)).alias("__rows")), "line-firsts")
+    several = attach(odd.filter(F.col("__id").isNotNull()), firsts, "__id", "__rows")
+    at = F.col("__n") - F.col("__first")
+    at = F.when(at < 2**31, at).otherwise(F.raise_error(F.lit("more than 2^31 rows share an identifier")))
+    several = several.withColumn("__row", (base(F.col("__id")) + at.cast("decimal(10,0)")).cast(wide))
+    columns = [*docs.columns, "__row"]
+    return own.withColumn("__row", base(F.col("__id"))).select(*columns).unionByName(several.select(*columns)).unionByName(nobody.select(*columns))
+
+
+def _lines(rows: DataFrame, text_col: str) -> DataFrame:
+    at = rows.select("__row", F.posexplode_outer(F.split(F.col(text_col).cast("string"), "\n", -1)).alias("pos", "raw"))
+    return at.select("__row", "pos", F.btrim("raw", F.lit(BLANKS)).alias("line"))
 
 
 def _order() -> Column:
-    """Position of a line among all lines; documents without an identifier come last."""
-    last = F.lit(2**63 - 1)
-    return (F.coalesce(F.col("id"), last).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")).cast("decimal(32,0)")
+    """Position of a line among all lines."""
+    return (F.col("__row") * F.lit(2**31).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")
 
 
 def _half_keys() -> dict[str, Column]:
@@ -95,43 +134,40 @@ def _near(candidates: DataFrame, long_chars: int) -> DataFrame:
     return both.filter(F.levenshtein("line", "near_line", 1).between(0, 1)).select("ord", "near_ord")
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 24, long_chars: int = LONG_CHARS) -> DataFrame:
-    """The lines to remove: ``id, pos, edits`` with ``edits`` 0 for a repeated line and 1 for a line within one edit.
+def repeated_lines(rows: DataFrame, text_col: str = "text", min_chars: int = 24, long_chars: int = LONG_CHARS) -> DataFrame:
+    """The lines to remove from rows with a key ``__row``: ``__row, pos, edits``.
 
-    Lines of fewer than ``min_chars`` characters always stay. Documents without an identifier come after the others.
-    Rows that share an identifier (or have none) share their positions too: equal lines at one position of theirs stay
-    or go together. A null text has no lines.
+    ``edits`` is 0 for a repeated line and 1 for a line within one edit; lines of fewer than ``min_chars`` characters are
+    not compared for the latter. A null text has no lines.
     """
-    lines = _lines(docs, id_col, text_col).withColumn("n", F.char_length("line")).filter(F.col("n") >= min_chars)
-    keys = _half_keys()
+    lines = _lines(rows, text_col).withColumn("n", F.char_length("line")).filter(F.col("n") > 0)
+    keys = {k: F.when(F.col("n") >= min_chars, c) for k, c in _half_keys().items()}
     hashed = lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line"), "ord": _order(), **keys})
     hashed = stored(hashed.drop("line", "n"), "line-hashes")
     distinct = hashed.groupBy("h1", "h2").agg(F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("times"), *[F.max(k).alias(k) for k in keys])
     distinct = stored(distinct, "line-distinct")
     halves = distinct.select("first_ord", F.explode(F.array(*[F.struct(F.col(k).alias("half"), F.lit(k.endswith("head")).alias("head")) for k in keys])).alias("h"))
-    halves = halves.select("first_ord", "h.half", "h.head")
+    halves = halves.select("first_ord", "h.half", "h.head").filter(F.col("half").isNotNull())
     shared = halves.groupBy("half").agg(F.min("first_ord").alias("lo"), F.max("first_ord").alias("hi")).filter(F.col("lo") != F.col("hi")).select("half")
     shared = stored(shared, "line-halves")
     able = stored(may_match(halves, "half", shared).join(shared, "half", "left_semi").groupBy("first_ord").agg(
         F.bool_or("head").alias("by_head"), F.bool_or(~F.col("head")).alias("by_tail")
     ), "line-able")
-    pos, whole = F.expr("pmod(first_ord, 2147483648BD)"), F.expr("(first_ord - pmod(first_ord, 2147483648BD)) div 2147483648BD")
-    places = able.select("first_ord", "by_head", "by_tail", F.when(whole != 2**63 - 1, whole).alias("id"), pos.cast("int").alias("pos"))
-    wanted = places.groupBy("id").agg(F.collect_list(F.struct("pos", "first_ord", "by_head", "by_tail")).alias("places"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    holders = may_match(texts, "id", wanted)
-    holders = holders.join(wanted, holders["id"].eqNullSafe(wanted["id"])).select(F.split("text", "\n", -1).alias("all"), F.explode("places").alias("p"))
+    pos, row = F.expr("pmod(first_ord, 2147483648BD)"), F.expr("(first_ord - pmod(first_ord, 2147483648BD)) / 2147483648BD")
+    places = able.select("first_ord", "by_head", "by_tail", row.cast("decimal(38,0)").alias("__row"), pos.cast("int").alias("pos"))
+    # A row's lines: bounded by its text.
+    wanted = places.groupBy("__row").agg(F.collect_list(F.struct("pos", "first_ord", "by_head", "by_tail")).alias("places"))
+    holders = may_match(rows.select("__row", F.col(text_col).cast("string").alias("text")), "__row", wanted)
+    holders = holders.join(wanted, "__row").select(F.split("text", "\n", -1).alias("all"), F.explode("places").alias("p"))
     line = F.btrim(F.get(F.col("all"), F.col("p.pos")), F.lit(BLANKS))
     candidates = holders.select(F.col("p.first_ord").alias("ord"), F.col("p.by_head"), F.col("p.by_tail"), line.alias("line")).withColumn("n", F.char_length("line"))
-    candidates = candidates.filter(F.col("n") >= min_chars)
-    # Rows that share an identifier may give several lines for one place; all of them are compared.
-    candidates = stored(candidates.distinct(), "line-candidates")
+    candidates = stored(candidates, "line-candidates")
     near = stored(_near(candidates, long_chars), "line-near")
-    firsts = attach(hashed.select("id", "pos", "ord", "h1", "h2"), distinct.select("h1", F.col("h2").alias("g2"), "first_ord", "times"), "h1", "times")
+    firsts = attach(hashed.select("__row", "pos", "ord", "h1", "h2"), distinct.select("h1", F.col("h2").alias("g2"), "first_ord", "times"), "h1", "times")
     firsts = firsts.filter(F.col("h2") == F.col("g2"))
-    again = firsts.filter(F.col("ord") != F.col("first_ord")).select("id", "pos", F.lit(0).alias("edits"))
+    again = firsts.filter(F.col("ord") != F.col("first_ord")).select("__row", "pos", F.lit(0).alias("edits"))
     first = may_match(firsts.filter(F.col("ord") == F.col("first_ord")), "ord", near)
-    close = first.join(near.select("ord"), "ord", "left_semi").select("id", "pos", F.lit(1).alias("edits"))
+    close = first.join(near.select("ord"), "ord", "left_semi").select("__row", "pos", F.lit(1).alias("edits"))
     return again.unionByName(close)
 
 
@@ -139,18 +175,19 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with the remaining text, plus ``__lines``, ``__repeated`` and ``__near``: lines, and lines removed.
 
     All rows stay, also those that lose every line (their text is empty then) and those with a null text (it stays
-    null). Other columns pass unchanged.
+    null). Rows that share an identifier come in the order of their texts' first 64 characters and SHA-256, rows without
+    one come after all others in that order; of equal rows one is the first. Other columns pass unchanged.
     """
-    gone = repeated_lines(docs, id_col, text_col, min_chars, long_chars).distinct()
-    gone = gone.groupBy(F.col("id").alias("__id")).agg(
+    rows = with_row_keys(docs, id_col, text_col)
+    gone = repeated_lines(rows, text_col, min_chars, long_chars)
+    gone = gone.groupBy("__row").agg(
         F.collect_set("pos").alias("__gone"), F.count_if(F.col("edits") == 0).alias("__repeated"), F.count_if(F.col("edits") == 1).alias("__near")
     )
     gone = stored(gone, "line-gone")
     split = F.split(F.col(text_col).cast("string"), "\n", -1)
     kept = F.filter(F.transform(split, lambda x, i: F.when(~F.array_contains("__gone", i), x)), lambda x: x.isNotNull())
-    key = docs.withColumn("__id", F.col(id_col).cast("long"))
     # What goes grows with the documents: no broadcast that holds on small tables only.
-    found = key.join(gone.withColumnRenamed("__id", "__gone_id").hint("merge"), key["__id"].eqNullSafe(F.col("__gone_id")), "left")
+    found = rows.join(gone.hint("merge"), "__row", "left")
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     zero = F.lit(0).cast("long")
     done = found.withColumns({

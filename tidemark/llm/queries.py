@@ -77,8 +77,8 @@ LINE_MIN_CHARS = 24
 LINES_SQL = f"""
     lines AS (SELECT doc_id, p AS pos, raw, trim(raw, chr(32) || chr(9) || chr(13)) AS line
               FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM documents)),
-    firsts AS (SELECT line, length(line) AS n, min(doc_id::HUGEINT * 2147483648 + pos) AS ord FROM lines WHERE length(line) >= {LINE_MIN_CHARS} GROUP BY line),
-    halves AS (SELECT line, n, ord, unnest([n, n + 1]) AS m FROM firsts),
+    firsts AS (SELECT line, length(line) AS n, min(doc_id::HUGEINT * 2147483648 + pos) AS ord FROM lines WHERE line <> '' GROUP BY line),
+    halves AS (SELECT line, n, ord, unnest([n, n + 1]) AS m FROM firsts WHERE n >= {LINE_MIN_CHARS}),
     keyed AS (SELECT line, ord, m, unnest(['h' || left(line, (m - 1) // 2), 't' || right(line, (m - 1) // 2)]) AS half FROM halves),
     near AS (SELECT DISTINCT b.line FROM keyed a JOIN keyed b ON a.half = b.half AND a.m = b.m AND a.ord < b.ord
              WHERE abs(length(a.line) - length(b.line)) <= 1 AND levenshtein(a.line, b.line) = 1),
