@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 
@@ -74,3 +76,34 @@ def test_query(spark):
     rows = df.collect()
     assert len(rows) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert all(0 <= r.severity <= 2 and r.toxic == (r.severity >= 0.5) for r in rows)
+
+
+def test_query_against_plain_python(spark):
+    """Counts, choice of features, grades and scores of the query by loops; only the fit itself is shared."""
+    data = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    grade = {}
+    for r in spark.read.parquet(f"{data}/labels.parquet").collect():
+        if r.doc_id in texts and r.toxic is not None:
+            grade[r.doc_id] = max(grade.get(r.doc_id, 0), r.toxic)
+    ids = sorted(grade)
+    bad, good = sum(grade[i] > 0 for i in ids), sum(grade[i] <= 0 for i in ids)
+    counts = {}
+    for i in ids:
+        for f in toxicity.all_features(texts[i]):
+            counts.setdefault(f, [0, 0])[grade[i] <= 0] += 1
+    z = {}
+    for f, (a, c) in counts.items():
+        odds = math.log((a + 0.5) / (bad - a + 0.5)) - math.log((c + 0.5) / (good - c + 0.5))
+        z[f] = odds / math.sqrt(1 / (a + 0.5) + 1 / (c + 0.5))
+    names = sorted((f for f in z if sum(counts[f]) >= 3 and abs(z[f]) >= toxicity.LEAST_Z), key=lambda f: (-abs(z[f]), f))[: toxicity.FEATURES]
+    number = {f: k for k, f in enumerate(names)}
+    found = {i: sorted(number[f] for f in toxicity.all_features(t) if f in number) for i, t in texts.items()}
+    grades = np.array([grade[i] for i in ids])
+    telling = {k for f, k in number.items() if z[f] > 0}
+    marks = np.array([len(telling.intersection(found[i])) for i in ids])
+    grades[(grades > 0) & (marks >= np.median(marks[grades > 0]))] += 1
+    model = toxicity.fit_ordinal([found[i] for i in ids], grades, names)
+    want = {i: float((1 / (1 + np.exp(model.thresholds - model.weights[f].sum()))).sum()) for i, f in found.items()}
+    got = {r.doc_id: r.severity for r in QUERIES["op4_toxicity"](spark, data).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-6, abs_tol=1e-9) for i in want)

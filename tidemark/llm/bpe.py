@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, text_of
+from tidemark.llm.common import bounded_batches, text_of, worker_slot
 
 START = 0
 # Words and whitespace-free pieces remembered by a Python worker; beyond this number they are forgotten and met again.
@@ -87,7 +87,7 @@ class Automaton:
         key = state << 20 | token
         known = self.table.get(key)
         if known is None:
-            if len(self.table) > 1_000_000:
+            if len(self.table) > 500_000:
                 self.table.clear()
             known = self.table[key] = self.arc(state, token)
         return known
@@ -200,15 +200,9 @@ class Encoder:
         return " ".join(self.labels[np.frombuffer(ids, "<u4")])
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
 def encoder(spec: bytes) -> Encoder:
     """The encoder of a specification, built once in each Python worker."""
-    key = hash(spec)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(spec)
-    return _ENCODERS[key]
+    return worker_slot("bpe", hash(spec), lambda: Encoder(spec))
 
 
 def read_spec(path: str) -> bytes:

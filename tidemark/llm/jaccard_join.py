@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import attach, bounded_batches, may_match, stored, text_of
+from tidemark.llm.common import attach, bounded_batches, may_match, stored, text_of, worker_slot
 
 SHINGLE = 3
 PERCENT = 90
@@ -40,6 +40,8 @@ TRIED = 3
 PARITY_LONGS = 16
 # Sets with more elements than this have more parity bits besides, which are looked at pair by pair.
 WIDE_FROM, WIDE_LONGS = 1000, 256
+# Words whose hash a worker keeps, and the longest of them.
+KEPT, KEPT_BYTES = 200_000, 48
 # What a candidate costs in index entries.
 CANDIDATE_COST = 4
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -55,21 +57,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         made = xxhash.xxh3_64_intdigest(word)
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = made
+        if len(word) <= KEPT_BYTES:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = made
         return made
 
 
-_WORDS = _Words()
-
-
 def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles; fewer words than ``size`` are one shingle."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters and white space only
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    known = worker_slot("jaccard", None, _Words)
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     size = min(size, len(words))
     n = len(h) - size + 1
     total = np.full(n, np.uint64(size))

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, text_of
+from tidemark.llm.common import bounded_batches, text_of, worker_slot
 
 MAGIC = b"WVM1"
 BLOCK = 512
@@ -222,14 +222,8 @@ class PieceEncoder:
         return out
 
 
-_ENCODERS: dict[int, PieceEncoder] = {}
-
-
 def piece_encoder(spec: bytes) -> PieceEncoder:
-    key = hash(spec)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(spec)
-    return _ENCODERS[key]
+    return worker_slot("token files", hash(spec), lambda: PieceEncoder(spec))
 
 
 def write_tokens(docs: DataFrame, spec: bytes, path: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:

@@ -29,6 +29,8 @@ LEAST_Z = 3.0
 PREFIXES = (4, 5, 6)
 # A word is frequent if it is at least one in so many words of its text.
 OFTEN = 250
+# Words that a worker keeps, and the longest of them.
+KEPT, KEPT_CHARS = 200_000, 32
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -59,9 +61,10 @@ class _Lookup(dict):
 
     def __missing__(self, word: str) -> tuple[str, ...]:
         made = tuple(f for f in word_features(word) if f in self.bases)
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = made
+        if len(word) <= KEPT_CHARS:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = made
         return made
 
 
