@@ -54,6 +54,17 @@ def test_pieces_give_what_the_library_gives(spec, library):
     assert got == want + want
 
 
+def test_words_of_letters_skip_the_splitting(spec, library):
+    own, seen, ids = PieceEncoder(spec), [], PieceEncoder._ids
+    own._ids = lambda texts: (seen.extend(texts), ids(own, texts))[1]
+    texts = ["plain words geprüft, niños***\nÉté fin.", "fin plain\nwords&&&"] * 3
+    got = own.encode(texts)
+    assert got == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert sorted(seen) == ["&&&", "***", ",", "."]  # not a word, and no sign twice
+    others = ["слово мир! 日本語? ǅ ɐɐ. ªº \U00031350!! ա\u0301 don't!! \u0378x", "\n", "a ", " a", "x\n"]
+    assert own.encode(others) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in others]
+
+
 def brute(rows, library, end=2):
     out, start = [], 0
     for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0])):

@@ -12,6 +12,7 @@ document, and the planes.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -20,10 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import byte_letters
 from tidemark.llm.common import bounded_batches, text_of, worker_slot
 
 MAGIC = b"WVM1"
@@ -31,11 +34,15 @@ BLOCK = 512
 # A shard is closed when it has so many tokens; a longer document is a shard of its own.
 SHARD_TOKENS = 1 << 18
 # Stretches remembered by a Python worker, in each of two generations.
-CACHED = 300_000
+CACHED = 500_000
 CACHED_CHARS = 64
+# Texts encoded together: so many bytes, or one batch.
+TOGETHER_BYTES = 4 << 20
 # Marks the first stretch of a text; white space that is neither a blank nor a line end, and what Python takes for it.
 FIRST = "\0"
-SIGNS = ".,!?;:"
+SIGNS = ".,!?;:#$%&*|"
+# Up to here Python and the library agree on which signs are letters.
+LAST_LETTER = "\u024f"
 SPACES = tuple("\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") + tuple(chr(c) for c in range(0x2000, 0x200B))
 
 
@@ -56,7 +63,7 @@ class WaveletMatrix:
         for level in range(levels - 1, -1, -1):
             bit = (rest & (1 << level)) != 0
             planes.append(np.packbits(bit, bitorder="little"))
-            rest = np.concatenate([rest[~bit], rest[bit]])
+            rest = np.concatenate([rest.take(np.flatnonzero(~bit)), rest.take(np.flatnonzero(bit))])
         return cls(len(ids), planes)
 
     def _bit(self, level: int, at: int) -> int:
@@ -114,14 +121,21 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids in order, by undoing the splits from the last plane up."""
-        values = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        values = np.zeros(self.n, kind)
         for level in range(len(self.planes) - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
+            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             merged = np.empty_like(values)
-            merged[~bit] = values[: self.zeros[level]]
-            merged[bit] = values[self.zeros[level] :]
-            values = merged | bit.astype(np.uint32) << np.uint32(len(self.planes) - 1 - level)
-        return values
+            merged[np.flatnonzero(~bit)] = values[: self.zeros[level]]
+            merged[np.flatnonzero(bit)] = values[self.zeros[level] :] | kind(1 << (len(self.planes) - 1 - level))
+            values = merged
+        return values.astype(np.uint32)
+
+
+def deflated(data: bytes) -> bytes:
+    """Planes have runs but hardly repeats: looking for runs only is faster and packs them closer."""
+    packer = zlib.compressobj(1, strategy=zlib.Z_RLE)
+    return packer.compress(data) + packer.flush()
 
 
 class Shard:
@@ -140,7 +154,7 @@ class Shard:
         parts = [keys, missing, self.lengths.astype("<i8"), *self.matrix.planes]
         out = [MAGIC, struct.pack("<BQQ", len(self.matrix.planes), len(self.doc_ids), self.matrix.n)]
         for part in parts:
-            packed = zlib.compress(part.tobytes(), 1)
+            packed = deflated(part.tobytes())
             out += [struct.pack("<Q", len(packed)), packed]
         return b"".join(out)
 
@@ -163,7 +177,8 @@ class PieceEncoder:
     """Encoding by the tokenizers library, which sees a stretch without white space once while it is remembered.
 
     Merges never cross from one stretch, with the blank or line end before it, to the next. Texts with special tokens,
-    or with white space other than single blanks and line ends, go to the library whole.
+    or with white space other than single blanks and line ends, go to the library whole. A stretch of letters only is one
+    word to the library's splitting, so it goes to the library's model at once.
     """
 
     def __init__(self, spec: bytes) -> None:
@@ -173,6 +188,13 @@ class PieceEncoder:
         self.library = Tokenizer.from_str(spec.decode())
         self.library.no_padding()
         self.library.no_truncation()
+        made = json.loads(spec)
+        # Whether words are what GPT-2's expression makes of the text as it is, in letters that stand for bytes.
+        split = made.get("pre_tokenizer") or {}
+        self.by_words = made.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space", True) and split.get("use_regex", True)
+        self.model = self.library.model
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.line_end = self._ids(["\n"])[0]
         self.whole = (*[t.content for t in self.library.get_added_tokens_decoder().values()], "  ", "\n\n", " \n", "\n ", FIRST, *SPACES)
         # Two generations: what is still used when the younger is full moves on, the rest is forgotten.
         self.young: dict[str, bytes] = {}
@@ -181,46 +203,107 @@ class PieceEncoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def _word(self, piece: str) -> bytes | None:
+        """Ids of a piece whose signs are letters, after a blank, after a line end or first in its text; None for others."""
+        lead = piece[0:1]
+        word = piece[1:] if lead == "\n" or lead == FIRST else piece
+        if not self.by_words or not word.isalpha():
+            return None
+        before = " " if word is piece else ""
+        if word.isascii():
+            word = self.letters[32] + word if before else word
+        elif max(word) <= LAST_LETTER:
+            word = (before + word).encode().decode("latin-1").translate(self.letters)
+        else:
+            return None
+        ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        return self.line_end + ids if lead == "\n" else ids
+
+    def _look_up(self, wanted: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that the younger generation does not have."""
+        got: dict[str, bytes] = {}
+        parts: dict[str, tuple[str, str]] = {}
+        new: list[str] = []
+
+        def find(p: str) -> None:
+            ids = self.old.get(p) or self._word(p)
+            if ids is None:
+                new.append(p)
+            else:
+                got[p] = ids
+
+        # Signs after a letter are pieces of their own, so a word is looked up without them.
+        for p in wanted:
+            word = p.rstrip(SIGNS)
+            if len(word) < len(p) and word[-1:].isalpha() and word[-1] <= LAST_LETTER and p not in self.old:
+                parts[p] = word, FIRST + p[len(word) :]
+            else:
+                find(p)
+        for p in {q for pair in parts.values() for q in pair}:
+            if p not in got and p not in self.young and p not in wanted:
+                find(p)
+        # A piece stands after a blank, unless it is a text's first or begins with a line end.
+        got.update(zip(new, self._ids([p[1:] if p[0:1] == FIRST else p if p[0:1] == "\n" else " " + p for p in new])))
+        for p, pair in parts.items():
+            got[p] = b"".join(got[q] if q in got else self.young[q] for q in pair)
+        return got
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        pieces: list[str] = []
+        cut: list[str] = []
         ends, whole = [], {}
+        count = 0
         for k, text in enumerate(texts):
             if any(x in text for x in self.whole):
                 whole[k] = text
             elif text:
-                pieces += (FIRST + text.replace("\n", " \n")).split(" ")
-            ends.append(len(pieces))
-        found = list(map(self.young.get, pieces))
-        if None in found:
-            missing = [i for i, x in enumerate(found) if x is None]
-            wanted = {pieces[i] for i in missing}
-            got = {p: x for p in wanted if (x := self.old.get(p)) is not None}
-            # Signs after a letter are pieces of their own, so a word is looked up without them.
-            parts = {}
-            for p in wanted:
-                if p not in got and (word := p.rstrip(SIGNS)) != p and word[-1:].isalpha():
-                    parts[p] = (word, FIRST + p[len(word) :])
-            more = {q for pair in parts.values() for q in pair if q not in self.young}
-            got.update((q, x) for q in more if (x := self.old.get(q)) is not None)
-            new = [p for p in wanted | more if p not in got and p not in parts]
-            # A piece stands after a blank, unless it is a text's first or begins with a line end.
-            got.update(zip(new, self._ids([p[1:] if p[0:1] == FIRST else p if p[0:1] == "\n" else " " + p for p in new])))
-            for p, pair in parts.items():
-                got[p] = b"".join(got[q] if q in got else self.young[q] for q in pair)
-            for i in missing:
-                found[i] = got[pieces[i]]
-            if len(self.young) + len(got) > CACHED:
-                self.old, self.young = self.young, {}
-            if len(got) <= CACHED:
-                self.young.update((p, x) for p, x in got.items() if len(p) <= CACHED_CHARS)
+                cut.append(FIRST + text.replace("\n", " \n"))
+                count += 1 + text.count(" ") + text.count("\n")
+            ends.append(count)
+        ids, places = self._joined(" ".join(cut)) if cut else (np.zeros(0, "<u4"), np.zeros(1, np.int64))
         direct = dict(zip(whole, self._ids(list(whole.values())))) if whole else {}
         out, start = [], 0
         for k, end in enumerate(ends):
-            out.append(direct[k] if k in direct else b"".join(found[start:end]))
+            out.append(direct[k] if k in direct else ids[places[start] : places[end]].tobytes())
             start = end
         return out
 
+    def _joined(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces between the blanks of a text, and where each piece's begin and the last one's end.
+
+        Every different piece is looked up once, and its ids are taken as often as it is there.
+        """
+        pieces = pc.split_pattern(pa.array([text], pa.large_string()), " ").values.dictionary_encode()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.young.get, distinct))
+        if None in found:
+            got = self._look_up({p for p, x in zip(distinct, found) if x is None})
+            found = [got[p] if x is None else x for p, x in zip(distinct, found)]
+            if len(self.young) + len(got) > CACHED:
+                self.old, self.young = self.young, {}
+            if len(got) <= CACHED:
+                self.young.update((p, x) for p, x in got.items() if len(p) <= CACHED_CHARS)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = pieces.indices.to_numpy()
+        taken = sizes[which]
+        places = np.concatenate([[0], np.cumsum(taken)])
+        at = np.repeat((np.cumsum(sizes) - sizes)[which] - places[:-1], taken)
+        at += np.arange(len(at))
+        return np.frombuffer(b"".join(found), "<u4")[at], places
+
+
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about ``TOGETHER_BYTES``, so that a piece is looked up once for more texts."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > TOGETHER_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield held
+
 
 def piece_encoder(spec: bytes) -> PieceEncoder:
     return worker_slot("token files", hash(spec), lambda: PieceEncoder(spec))
@@ -250,8 +333,8 @@ def write_tokens(docs: DataFrame, spec: bytes, path: str, end_id: int | None = 2
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             return pa.record_batch([pa.array(x, k) for x, k in zip(row, kinds)], names=["part", "seq", "docs", "tokens", "before", "file"])
 
-        for batch in batches:
-            for key, ids in zip(batch.column(0).to_pylist(), own.encode(batch.column(1).to_pylist())):
+        for some in together(batches):
+            for key, ids in zip((i for b in some for i in b.column(0).to_pylist()), own.encode([t for b in some for t in b.column(1).to_pylist()])):
                 if held and tokens + len(ids) // 4 > shard_tokens:
                     yield closed()
                     seq, before, tokens = seq + 1, before + tokens, 0
