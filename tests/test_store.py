@@ -157,6 +157,29 @@ def computed(spark, *rows):
     return df.select("entity_id", "feature_name", "feature_value", from_epoch(F.col("t") - 60).alias("window_start"), from_epoch(F.col("t")).alias("window_end"), F.lit(1).alias("event_count"))
 
 
+def test_rows_are_picked_by_a_limit_before_the_shuffle(make_history):
+    """No sort-based aggregation of whole rows: what a key does not need stays in its task."""
+    h = make_history([("a", "f", 1, 100, 1, 0), ("a", "f", 2, 100, 2, 0), ("a", "f", 3, 200, 3, 0)])
+    for df in (dual.dedup(h, ["entity_id", "feature_name", "event_time"]), dual.last_per_feature(h)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "WindowGroupLimit" in plan and "Partial" in plan
+        assert df.columns == h.columns
+
+
+def test_deletions_look_for_their_targets_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    targets = spark.createDataFrame([("u",), ("v",)], "entity_id string").mapInArrow(count, "entity_id string")
+    fs = FeatureStore(spark, str(tmp_path))
+    fs.delete(targets)
+    assert seen.value == 2 and sorted(r.entity_id for r in fs.history().collect()) == ["u", "v"]
+
+
 def test_sink_is_replay_safe(spark, tmp_path):
     sink = StoreSink(str(tmp_path), now=at(1000))
     batch = computed(spark, ("u", "f", 1, 60), ("u", "f", 2, 120), ("u", "f", 2, 120))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import join_on
-from tidemark.plans.store import KEYS, write_order
+from tidemark.plans.store import KEYS, WRITE_ORDER
 
 MAX_DRIFT_SECONDS = 60.0
 
@@ -87,19 +87,22 @@ def repair_rows(online: DataFrame, offline: DataFrame, source: str = "offline",
     return join_on(online if source == "online" else offline, bad, KEYS, "left_semi")
 
 
+def _first(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row per key. Spark applies the limit within each task before the shuffle, so a key with many rows sends few."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("__at", F.row_number().over(w)).filter(F.col("__at") == 1).drop("__at")
+
+
 def dedup(rows: DataFrame, keys: Sequence[str], order: Column | None = None) -> DataFrame:
     """The first row per key, with all of its own columns (SINK-2, SINK-3, D-14)."""
-    order = write_order() if order is None else order
-    rest = [c for c in rows.columns if c not in keys]
-    picked = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("r"))
-    return picked.select(*keys, "r.*").select(*rows.columns)
+    by = [F.col(c) for c in WRITE_ORDER] if order is None else [order]
+    return _first(rows, keys, [c.asc_nulls_last() for c in by])
 
 
-def last_per_feature(rows: DataFrame, order: Column | None = None) -> DataFrame:
+def last_per_feature(rows: DataFrame, order: Column | Sequence[Column] | None = None) -> DataFrame:
     """The last row per (entity, feature), keeping its own time, version and TTL (SINK-3)."""
-    order = write_order() if order is None else order
-    rest = [c for c in rows.columns if c not in KEYS]
-    return rows.groupBy(*KEYS).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*KEYS, "r.*").select(*rows.columns)
+    by = [F.col(c) for c in WRITE_ORDER] if order is None else [order] if isinstance(order, Column) else order
+    return _first(rows, KEYS, [c.desc_nulls_last() for c in by])
 
 
 def unseen(writes: DataFrame, history: DataFrame) -> DataFrame:

@@ -36,6 +36,8 @@ STRATEGIES: dict[str, tuple[tuple[str, ...], bool]] = {
     "offline_first": (("offline", "online"), True),
 }
 FAILURES = ("fail_fast", "best_effort", "queue_retry")
+# What decides on the last of a feature's rows.
+LAST = ("event_time", *store.WRITE_ORDER)
 TIMES = "batch long, at long"
 # Writers of deletion marks have names that begin so: their partitions are found by name.
 DELETIONS = "delete-"
@@ -168,7 +170,7 @@ class StoreSink:
                 break
             try:
                 # The online target only needs the last value per feature (SINK-3).
-                part = dual.last_per_feature(rows, F.struct("event_time", store.write_order())) if target == "online" else rows
+                part = dual.last_per_feature(rows, [F.col(c) for c in LAST]) if target == "online" else rows
                 self.writer(part, f"{self.path}/{target}", batch)
                 remove(rows.sparkSession, f"{self.path}/failed/{target}/{batch}")  # of an attempt before this one
             except Exception as e:  # noqa: BLE001
@@ -219,9 +221,13 @@ class FeatureStore:
     def delete(self, targets: DataFrame, now: Column | None = None) -> str:
         """Delete features or whole entities, under a writer name of its own (FS-9, ON-4)."""
         name = f"{DELETIONS}{uuid.uuid4().hex}"
-        marks = store.tombstones(targets, now)
-        for target in ("online", "offline"):
-            write_batch(marks, f"{self.path}/{target}", unit(name, 0))
+        # Looked for once: both targets get the same marks, also if what they are made from changes.
+        marks = store.tombstones(targets, now).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for target in ("online", "offline"):
+                write_batch(marks, f"{self.path}/{target}", unit(name, 0))
+        finally:
+            marks.unpersist()
         return name
 
     def compact(self, now: Column | None = None) -> int:
@@ -287,7 +293,7 @@ class FeatureStore:
             failed, done = f"{self.path}/failed/{target}", f"{self.path}/{target}"
             for b in batches(self.spark, failed):
                 rows = read_batches(self.spark, failed, b).select(*store.HISTORY.names)
-                part = dual.last_per_feature(rows, F.struct("event_time", store.write_order())) if target == "online" else rows
+                part = dual.last_per_feature(rows, [F.col(c) for c in LAST]) if target == "online" else rows
                 try:
                     write_batch(part, done, b)
                     ok += 1
