@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import byte_letters
-from tidemark.llm.common import bounded_batches, text_of, worker_slot
+from tidemark.llm.common import bounded_batches, text_of, together, worker_slot
 
 MAGIC = b"WVM1"
 BLOCK = 512
@@ -36,8 +36,6 @@ SHARD_TOKENS = 1 << 18
 # Stretches remembered by a Python worker, in each of two generations.
 CACHED = 500_000
 CACHED_CHARS = 64
-# Texts encoded together: so many bytes, or one batch.
-TOGETHER_BYTES = 4 << 20
 # Marks the first stretch of a text; white space that is neither a blank nor a line end, and what Python takes for it.
 FIRST = "\0"
 SIGNS = ".,!?;:#$%&*|"
@@ -292,19 +290,6 @@ class PieceEncoder:
         return np.frombuffer(b"".join(found), "<u4")[at], places
 
 
-def together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
-    """Batches in groups of about ``TOGETHER_BYTES``, so that a piece is looked up once for more texts."""
-    held, size = [], 0
-    for batch in batches:
-        if held and size + batch.nbytes > TOGETHER_BYTES:
-            yield held
-            held, size = [], 0
-        held.append(batch)
-        size += batch.nbytes
-    if held:
-        yield held
-
-
 def piece_encoder(spec: bytes) -> PieceEncoder:
     return worker_slot("token files", hash(spec), lambda: PieceEncoder(spec))
 
