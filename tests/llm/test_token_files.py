@@ -91,3 +91,14 @@ def test_query(spark, library):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
     got = sorted((tuple(r) for r in QUERIES["op8_token_files"](spark, data).collect()), key=lambda r: r[1])
     assert got == brute(rows, library)
+
+
+def test_ascii_words_go_to_the_model_at_once(spec, library):
+    """Neither to the splitting nor to the general way of a word; long stretches are not remembered."""
+    own, seen, word = PieceEncoder(spec), [], PieceEncoder._word
+    own._word = lambda p: (seen.append(p), word(own, p))[1]
+    texts = ["first plain words, été again plain\nline " + "x" * 100, "words plain", ""]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.encode(texts) == want and own.encode(texts) == want
+    assert not {"plain", "words", "again", "x" * 100} & set(seen) and "été" in seen
+    assert "x" * 100 not in own.young and "plain" in own.young

@@ -36,6 +36,8 @@ SHARD_TOKENS = 1 << 18
 # Stretches remembered by a Python worker, in each of two generations.
 CACHED = 500_000
 CACHED_CHARS = 64
+# Texts encoded together: so many bytes, or one batch.
+PIECES_BYTES = 8 << 20
 # Marks the first stretch of a text; white space that is neither a blank nor a line end, and what Python takes for it.
 FIRST = "\0"
 SIGNS = ".,!?;:#$%&*|"
@@ -222,28 +224,36 @@ class PieceEncoder:
         got: dict[str, bytes] = {}
         parts: dict[str, tuple[str, str]] = {}
         new: list[str] = []
+        old, tokenize, blank, by_words = self.old.get, self.model.tokenize, self.letters[32], self.by_words
 
         def find(p: str) -> None:
-            ids = self.old.get(p) or self._word(p)
-            if ids is None:
-                new.append(p)
-            else:
+            # Most pieces are words of ASCII letters after a blank: they go to the model from here.
+            if by_words and p.isascii() and p.isalpha():
+                got[p] = array("I", [t.id for t in tokenize(blank + p)]).tobytes()
+            elif (ids := self._word(p)) is not None:
                 got[p] = ids
+            else:
+                new.append(p)
 
-        # Signs after a letter are pieces of their own, so a word is looked up without them.
         for p in wanted:
-            word = p.rstrip(SIGNS)
-            if len(word) < len(p) and word[-1:].isalpha() and word[-1] <= LAST_LETTER and p not in self.old:
+            if (ids := old(p)) is not None:
+                got[p] = ids
+            elif p[-1:] in SIGNS and (word := p.rstrip(SIGNS))[-1:].isalpha() and word[-1] <= LAST_LETTER:
+                # Signs after a letter are pieces of their own, so a word is looked up without them.
                 parts[p] = word, FIRST + p[len(word) :]
             else:
                 find(p)
-        for p in {q for pair in parts.values() for q in pair}:
-            if p not in got and p not in self.young and p not in wanted:
-                find(p)
+        for q in {q for pair in parts.values() for q in pair}:
+            if q not in got and q not in self.young and q not in wanted:
+                if (ids := old(q)) is not None:
+                    got[q] = ids
+                else:
+                    find(q)
         # A piece stands after a blank, unless it is a text's first or begins with a line end.
         got.update(zip(new, self._ids([p[1:] if p[0:1] == FIRST else p if p[0:1] == "\n" else " " + p for p in new])))
         for p, pair in parts.items():
-            got[p] = b"".join(got[q] if q in got else self.young[q] for q in pair)
+            word, signs = pair
+            got[p] = (got[word] if word in got else self.young[word]) + (got[signs] if signs in got else self.young[signs])
         return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -251,8 +261,11 @@ class PieceEncoder:
         cut: list[str] = []
         ends, whole = [], {}
         count = 0
+        # What is in none of the texts is looked for once.
+        every = FIRST.join(texts)
+        signs = [x for x in self.whole if x != FIRST and x in every] + [FIRST]
         for k, text in enumerate(texts):
-            if any(x in text for x in self.whole):
+            if any(x in text for x in signs):
                 whole[k] = text
             elif text:
                 cut.append(FIRST + text.replace("\n", " \n"))
@@ -280,7 +293,9 @@ class PieceEncoder:
             if len(self.young) + len(got) > CACHED:
                 self.old, self.young = self.young, {}
             if len(got) <= CACHED:
-                self.young.update((p, x) for p, x in got.items() if len(p) <= CACHED_CHARS)
+                self.young.update(got)
+                for p in [p for p in got if len(p) > CACHED_CHARS]:
+                    del self.young[p]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         which = pieces.indices.to_numpy()
         taken = sizes[which]
@@ -318,7 +333,7 @@ def write_tokens(docs: DataFrame, spec: bytes, path: str, end_id: int | None = 2
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             return pa.record_batch([pa.array(x, k) for x, k in zip(row, kinds)], names=["part", "seq", "docs", "tokens", "before", "file"])
 
-        for some in together(batches):
+        for some in together(batches, PIECES_BYTES):
             for key, ids in zip((i for b in some for i in b.column(0).to_pylist()), own.encode([t for b in some for t in b.column(1).to_pylist()])):
                 if held and tokens + len(ids) // 4 > shard_tokens:
                     yield closed()
@@ -349,13 +364,14 @@ def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataF
             for start, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 shard = Shard.from_bytes(data.as_py())
                 ends = np.cumsum(shard.lengths)
-                ids = shard.matrix.ids()
+                ids = shard.matrix.ids().astype("<u4", copy=False)
+                places = np.append(0, 4 * ends).astype(np.int32)
                 for a in range(0, len(ends), 256):
                     b = min(a + 256, len(ends))
                     firsts = (ends - shard.lengths)[a:b]
-                    cut = [ids[f:e].astype("<u4").tobytes() for f, e in zip(firsts, ends[a:b])]
+                    cut = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(places[a : b + 1]), pa.py_buffer(ids)])
                     yield pa.record_batch(
-                        [pa.array(shard.doc_ids[a:b], pa.int64()), pa.array(firsts + start), pa.array(shard.lengths[a:b]), pa.array(cut, pa.binary())],
+                        [pa.array(shard.doc_ids[a:b], pa.int64()), pa.array(firsts + start), pa.array(shard.lengths[a:b]), cut],
                         names=[id_col, "start", "n_tokens", "ids"],
                     )
 
